@@ -10,6 +10,10 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 DECIMALS = 6
+# Added before rounding: 2**-32, exact in binary. Averages of products of
+# 6-place similarities and half-step ratings land exactly on decimal ties;
+# the nudge rounds such ties up no matter in which order a sum was added.
+ROUND_NUDGE = 2.0 ** -32
 
 
 def _c(c) -> Column:
@@ -18,7 +22,7 @@ def _c(c) -> Column:
 
 def round6(c) -> Column:
     """Round a non-exact double before it is filtered, ranked or compared."""
-    return F.round(_c(c), DECIMALS)
+    return F.round(_c(c) + F.lit(ROUND_NUDGE), DECIMALS)
 
 
 def yearmonth(ts) -> Column:

@@ -7,6 +7,11 @@ from __future__ import annotations
 
 from cinerank.sources.fixtures import GENRES
 
+def _r6(expr: str) -> str:
+    """The rounding convention of `cinerank.functions.columns.round6`."""
+    return f"round(({expr}) + CAST(2.3283064365386963e-10 AS DOUBLE), 6)"
+
+
 _RATINGS = """ratings AS (
   SELECT o.o_custkey AS uid, l.l_partkey AS mid,
          CAST(ceil(l.l_quantity / CAST(5 AS DOUBLE)) / CAST(2 AS DOUBLE) AS DOUBLE) AS score,
@@ -61,7 +66,7 @@ dots AS (
   FROM w a JOIN w b ON a.bucket = b.bucket AND a.mid <> b.mid GROUP BY 1, 2),
 sim AS (
   SELECT mid, rec_mid, score FROM (
-    SELECT d.mid, d.rec_mid, round(d.dot / (na.norm * nb.norm), 6) AS score
+    SELECT d.mid, d.rec_mid, {_r6("d.dot / (na.norm * nb.norm)")} AS score
     FROM dots d JOIN norms na ON d.mid = na.mid JOIN norms nb ON d.rec_mid = nb.mid
     WHERE na.norm > 0 AND nb.norm > 0)
   WHERE score > CAST({threshold} AS DOUBLE))"""
@@ -89,8 +94,8 @@ _RECENTS = """recents AS (
 
 _SCORES = """scores AS (
   SELECT uid, mid, rec_mid,
-         round(avg(sim * r_score) + log10(greatest(count_if(r_score > 3), 1))
-               - log10(greatest(count_if(r_score <= 3), 1)), 6) AS score
+         """ + _r6("""avg(sim * r_score) + log10(greatest(count_if(r_score > 3), 1))
+               - log10(greatest(count_if(r_score <= 3), 1))""") + """ AS score
   FROM (
     SELECT c.uid, c.mid, c.rec_mid, r.score AS r_score, s.score AS sim
     FROM cand c JOIN recents r ON c.uid = r.uid
@@ -123,12 +128,12 @@ WHERE rank <= 10"""
          CAST(row_number() OVER (PARTITION BY uid ORDER BY ts DESC, mid, score DESC) AS INTEGER) AS rank
   FROM ratings) WHERE rank <= 20"""
     q["content_tf_idf"] = _with(_MOVIES, _tfidf()) + \
-        "SELECT mid, bucket, tf, round(idf, 6) AS idf, round(weight, 6) AS weight FROM w"
+        "SELECT mid, bucket, tf, " + _r6("idf") + " AS idf, " + _r6("weight") + " AS weight FROM w"
     q["content_movie_recs"] = _with(_MOVIES, _content_sim()) + "SELECT mid, rec_mid, score FROM sim"
     q["embedding_movie_recs"] = """WITH f AS (SELECT vec_id AS mid, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 n AS (SELECT mid, v, sqrt(list_dot_product(v, v)) AS norm FROM f)
 SELECT mid, rec_mid, score FROM (
-  SELECT a.mid, b.mid AS rec_mid, round(list_dot_product(a.v, b.v) / (a.norm * b.norm), 6) AS score
+  SELECT a.mid, b.mid AS rec_mid, """ + _r6("list_dot_product(a.v, b.v) / (a.norm * b.norm)") + """ AS score
   FROM n a JOIN n b ON a.mid <> b.mid WHERE a.norm > 0 AND b.norm > 0)
 WHERE score >= CAST(0.3 AS DOUBLE)"""
     chain = [_RATINGS, _MOVIES, _LIVE, _content_sim()]
@@ -150,6 +155,6 @@ FROM req u LEFT JOIN (
   SELECT *, (('0x' || substr(md5(concat_ws('|', CAST(uid AS VARCHAR), CAST(mid AS VARCHAR), CAST(ts AS VARCHAR))), 1, 8))::BIGINT % 100) < 20 AS is_test
   FROM ratings),
 pred AS (SELECT mid, avg(score) AS pred FROM flagged WHERE NOT is_test GROUP BY mid)
-SELECT count(*) AS n, round(sqrt(avg((t.score - p.pred) * (t.score - p.pred))), 6) AS rmse
+SELECT count(*) AS n, """ + _r6("sqrt(avg((t.score - p.pred) * (t.score - p.pred)))") + """ AS rmse
 FROM flagged t JOIN pred p ON t.mid = p.mid WHERE t.is_test"""
     return q
