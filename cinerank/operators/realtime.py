@@ -38,9 +38,13 @@ def recent_ratings(ratings: DataFrame, k: int = MAX_USER_RATINGS) -> DataFrame:
 
 
 def latest_event_per_user(events: DataFrame) -> DataFrame:
-    """The last event of every user (by ts, then event_id): a per-user
-    upsert keeps only what the last write produced."""
-    order = [F.desc("ts")] + ([F.desc("event_id")] if "event_id" in events.columns else [])
+    """The last event of every user: a per-user upsert keeps only what the
+    last write produced. Ties on ts are broken by event_id when the events
+    carry one, else by the message content (mid, then score, descending)."""
+    if "event_id" in events.columns:
+        order = [F.desc("ts"), F.desc("event_id")]
+    else:
+        order = [F.desc("ts"), F.desc("mid"), F.desc("score")]
     return top_n(events, ["uid"], order, 1).drop("rank")
 
 

@@ -150,7 +150,9 @@ FROM req u LEFT JOIN (
   SELECT uid, CAST(row_number() OVER (PARTITION BY uid ORDER BY score DESC, rec_mid) AS INTEGER) AS rank,
          rec_mid AS mid, score
   FROM scores) r ON u.uid = r.uid"""
-    q["stream_recommender_available_now"] = q["stream_recs_batch"]
+    # messages carry no event id: equal timestamps are ordered by mid, score
+    q["stream_recommender_available_now"] = q["stream_recs_batch"].replace(
+        "ORDER BY ts DESC, event_id DESC", "ORDER BY ts DESC, mid DESC, score DESC")
     q["rmse_of_mean_predictor"] = _with(_RATINGS) + """, flagged AS (
   SELECT *, (('0x' || substr(md5(concat_ws('|', CAST(uid AS VARCHAR), CAST(mid AS VARCHAR), CAST(ts AS VARCHAR))), 1, 8))::BIGINT % 100) < 20 AS is_test
   FROM ratings),
