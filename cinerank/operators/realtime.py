@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from cinerank.functions.columns import log10_at_least_one, round6
 from cinerank.functions.ranking import top_n
+from cinerank.operators.simindex import as_sim
 
 MAX_USER_RATINGS = 20
 MAX_SIM_MOVIES = 20
@@ -48,35 +49,51 @@ def latest_event_per_user(events: DataFrame) -> DataFrame:
     return top_n(events, ["uid"], order, 1).drop("rank")
 
 
-def candidate_movies(requests: DataFrame, sim: DataFrame, rated: DataFrame,
+def candidate_movies(requests: DataFrame, sim, rated: DataFrame,
                      n: int = MAX_SIM_MOVIES) -> DataFrame:
     """(uid, mid, rank, rec_mid, score): for each requested (uid, mid), the n
     items most similar to mid that uid has not rated (rated items are removed
     before the top-n is taken). An unknown mid yields no candidates.
+
+    Exact bounded fetch: a user with s ratings can hide at most s partners,
+    so the n best unseen partners are among the first n + s partners of mid
+    (fewer if mid has fewer). Only those ranks are fetched, by an equi-join
+    on (mid, partner rank), instead of every partner of mid for every
+    request; a heavy user still gets exactly as many rows as needed.
+    `sim` is a pair table or a `PairSim`/`ProfileSim`.
     """
+    sim = as_sim(sim)
     req = requests.select("uid", "mid").distinct()
-    c = req.join(sim.select("mid", "rec_mid", "score"), "mid")
+    partners = sim.for_mids(req)
+    n_seen = rated.groupBy("uid").agg(F.count(F.lit(1)).alias("n_seen"))
+    n_partners = partners.groupBy("mid").agg(F.count(F.lit(1)).alias("n_partners"))
+    bounded = (req.join(n_seen, "uid", "left").join(n_partners, "mid")
+               .select("uid", "mid", F.least(F.lit(n) + F.coalesce(F.col("n_seen"), F.lit(0)),
+                                             F.col("n_partners")).cast("int").alias("bound")))
+    k_max = bounded.agg(F.max("bound")).first()[0] or 0
+    ranked = top_n(partners, ["mid"], [F.desc("score"), F.asc("rec_mid")], int(k_max), "prank")
+    fetch = bounded.select("uid", "mid", F.explode(F.sequence(F.lit(1), F.col("bound"))).alias("prank"))
+    c = fetch.join(ranked, ["mid", "prank"]).select("uid", "mid", "rec_mid", "score")
     seen = rated.select("uid", F.col("mid").alias("rec_mid"))
     c = c.join(seen, ["uid", "rec_mid"], "left_anti")
-    ranked = top_n(c, ["uid", "mid"], [F.desc("score"), F.asc("rec_mid")], n)
-    return ranked.select("uid", "mid", "rank", "rec_mid", "score")
+    out = top_n(c, ["uid", "mid"], [F.desc("score"), F.asc("rec_mid")], n)
+    return out.select("uid", "mid", "rank", "rec_mid", "score")
 
 
-def stream_scores(candidates: DataFrame, recents: DataFrame, sim: DataFrame,
+def stream_scores(candidates: DataFrame, recents: DataFrame, sim,
                   min_sim: float = SCORE_SIM_MIN, like_above: float = LIKE_ABOVE) -> DataFrame:
     """(uid, mid, rec_mid, score): priority of every candidate of a request.
 
     Each candidate meets at most k recent ratings of its user (bounded fan
-    out), then one equi-join on the (candidate, recent item) pair looks up
-    the similarity. A missing pair means similarity 0, which the gate drops,
-    so the lookup is an inner join. A candidate with no qualifying recent
+    out); the similarity of each (candidate, recent item) pair is then
+    looked up. A missing pair means similarity 0, which the gate drops, so
+    the lookup is an inner join. A candidate with no qualifying recent
     rating gets no score.
     """
+    sim = as_sim(sim)
     c = candidates.select("uid", "mid", "rec_mid")
     r = recents.select("uid", F.col("mid").alias("r_mid"), F.col("score").alias("r_score"))
-    s = sim.select(F.col("mid").alias("rec_mid"), F.col("rec_mid").alias("r_mid"), F.col("score").alias("sim"))
-    j = (c.join(r, "uid").join(s, ["rec_mid", "r_mid"])
-         .where(F.col("sim") >= F.lit(float(min_sim))))
+    j = sim.lookup(c.join(r, "uid"), "rec_mid", "r_mid", "sim").where(F.col("sim") >= F.lit(float(min_sim)))
     agg = j.groupBy("uid", "mid", "rec_mid").agg(
         F.avg(F.col("sim") * F.col("r_score")).alias("base"),
         F.count_if(F.col("r_score") > F.lit(like_above)).alias("incr"),
@@ -85,7 +102,7 @@ def stream_scores(candidates: DataFrame, recents: DataFrame, sim: DataFrame,
     return agg.select("uid", "mid", "rec_mid", round6(score).alias("score"))
 
 
-def stream_recs(events: DataFrame, sim: DataFrame, ratings: DataFrame,
+def stream_recs(events: DataFrame, sim, ratings: DataFrame,
                 k_recent: int = MAX_USER_RATINGS, n_candidates: int = MAX_SIM_MOVIES) -> DataFrame:
     """(uid, rank, mid, score): the list a batch of events leaves per user.
 

@@ -16,8 +16,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 EMBEDDING_THRESHOLD = 0.3  # factor cosine >= 0.6 is empty on the fixture embeddings
 
 
-def _content_sim(spark: SparkSession, d: str) -> DataFrame:
-    return content.content_movie_recs(fx.movies(spark, d))
+def _content_sim(spark: SparkSession, d: str):
+    return content.content_similarity(fx.movies(spark, d))
 
 
 def q_rate_more_movies(spark, d):
@@ -70,7 +70,7 @@ def q_content_tf_idf(spark, d):
 
 
 def q_content_movie_recs(spark, d):
-    return _content_sim(spark, d)
+    return content.content_movie_recs(fx.movies(spark, d))
 
 
 def q_content_movie_recs_ml(spark, d):

@@ -73,3 +73,34 @@ def local_fs_path(path: str) -> str:
 
 def exists_local(path: str) -> bool:
     return is_local_path(path) and os.path.exists(local_fs_path(path))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make `cinerank` importable in executor Python workers (once per
+    application), like `spark-submit --py-files`. Needed by the operators
+    that run Pandas functions (`applyInPandas`, keyed state)."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    base = shared_dir(spark)
+    folder = local_fs_path(base) if is_local_path(base) else tempfile.mkdtemp(prefix="cinerank-pyfiles-")
+    os.makedirs(folder, exist_ok=True)
+    target = os.path.join(folder, f"cinerank-{app}-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _dirs, files in os.walk(pkg_dir):
+            if "__pycache__" in dirpath:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(target)
+    _SHIPPED.add(app)

@@ -104,4 +104,7 @@ def item_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def genres(spark: SparkSession, names: list[str] | None = None) -> DataFrame:
-    return spark.createDataFrame([(g,) for g in (names or GENRES)], "genre string")
+    """The genre list as a one-column DataFrame, built JVM-side (no Python
+    worker is started for a literal list)."""
+    lits = [F.lit(g) for g in (names or GENRES)]
+    return spark.range(1).select(F.explode(F.array(*lits)).alias("genre"))

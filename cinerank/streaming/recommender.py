@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from cinerank.functions.ranking import top_n
 from cinerank.operators import realtime
+from cinerank.operators.simindex import load_sim
 from cinerank.session import scratch_path
 from cinerank.sources import fixtures as fx
 from cinerank.sources import tables, text
@@ -33,7 +34,7 @@ def _nest(users: DataFrame, ranked: DataFrame) -> DataFrame:
         s["mid"].alias("mid"), s["score"].alias("score"))).alias("recs"))
 
 
-def recs_for_batch(events: DataFrame, sim: DataFrame, ratings: DataFrame,
+def recs_for_batch(events: DataFrame, sim, ratings: DataFrame,
                    k_recent: int = realtime.MAX_USER_RATINGS,
                    n_candidates: int = realtime.MAX_SIM_MOVIES) -> DataFrame:
     """Nested per-user lists for one batch; recent ratings from history."""
@@ -41,7 +42,7 @@ def recs_for_batch(events: DataFrame, sim: DataFrame, ratings: DataFrame,
     return _nest(long.select("uid").distinct(), long.where(F.col("rank").isNotNull()))
 
 
-def recs_from_state(latest: DataFrame, sim: DataFrame, ratings: DataFrame,
+def recs_from_state(latest: DataFrame, sim, ratings: DataFrame,
                     n_candidates: int = realtime.MAX_SIM_MOVIES) -> DataFrame:
     """Nested lists when the recent ratings come from the stream's own state
     (`latest` = output of `recent_ratings_state`)."""
@@ -60,7 +61,7 @@ def _batch_writer(sim_path: str, ratings_path: str, out_path: str, rejects_path:
                   from_state: bool, k_recent: int, n_candidates: int):
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        sim = tables.load_table(spark, sim_path)
+        sim = load_sim(spark, sim_path)
         ratings = tables.load_table(spark, ratings_path)
         if from_state:
             recs = recs_from_state(batch, sim, ratings, n_candidates)
@@ -130,8 +131,8 @@ def stage_fixture_inputs(spark: SparkSession, sf_dir: str, base: str) -> dict[st
     """Write what the offline jobs and the message producer would provide:
     the similarity table, the rating history and the messages as text."""
     paths = {"sim": f"{base}/sim", "ratings": f"{base}/ratings", "messages": f"{base}/messages"}
-    from cinerank.operators.content import content_movie_recs
-    tables.save_table(content_movie_recs(fx.movies(spark, sf_dir)), paths["sim"])
+    from cinerank.operators.content import content_similarity
+    content_similarity(fx.movies(spark, sf_dir)).save(paths["sim"])
     tables.save_table(fx.ratings(spark, sf_dir), paths["ratings"])
     live = fx.live_ratings(spark, sf_dir)
     text.render_rating_messages(live).write.text(paths["messages"])

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from cinerank.session import ship_package
+
 STATE_SCHEMA = "recents array<struct<mid:bigint,score:double,ts:bigint>>"
 OUTPUT_SCHEMA = ("uid bigint, mid bigint, score double, ts bigint, "
                  "recents array<struct<mid:bigint,score:double,ts:bigint>>")
@@ -44,5 +46,6 @@ def _update_fn(k: int):
 
 def recent_ratings_state(ratings_stream: DataFrame, k: int = 20) -> DataFrame:
     """Streaming (uid, mid, score, ts, recents) in update mode."""
+    ship_package(ratings_stream.sparkSession)
     return ratings_stream.select("uid", "mid", "score", "ts").groupBy("uid").applyInPandasWithState(
         _update_fn(k), OUTPUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
