@@ -1,0 +1,34 @@
+"""Physical-plan properties that matter at scale."""
+
+from cinerank.plans import catalog
+from tests.conftest import SF_SMALL
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_topk_has_partial_limit_before_shuffle(spark):
+    p = _plan(catalog.q_recent_ratings(spark, SF_SMALL))
+    assert "WindowGroupLimit" in p and "Partial" in p
+
+
+def test_scan_prunes_columns_and_pushes_filters(spark):
+    df = catalog.q_movie_tags(spark, SF_SMALL)
+    p = df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "EqualTo(l_returnflag,R)" in p and "GreaterThanOrEqual(l_discount,0.1)" in p
+    # only the five lineitem columns the tag view needs are read
+    assert ("ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,"
+            "l_discount:double,l_returnflag:string>") in p
+    assert "ReadSchema: struct<o_orderkey:bigint>" in p
+
+
+def test_genre_list_is_the_only_hinted_broadcast(spark):
+    p = _plan(catalog.q_genres_top_movies(spark, SF_SMALL))
+    assert "BroadcastNestedLoopJoin" in p
+
+
+def test_no_cartesian_products(spark):
+    for name in ["content_movie_recs", "candidate_movies", "stream_scores", "genres_top_movies"]:
+        p = _plan(catalog.queries()[name](spark, SF_SMALL))
+        assert "CartesianProduct" not in p, name
