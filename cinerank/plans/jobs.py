@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cinerank.functions.columns import round6
 from cinerank.operators import content, lfm, stats
+from cinerank.operators.simindex import PairSim
 from cinerank.session import scratch_path
 from cinerank.sources import fixtures as fx
 from cinerank.sources import tables, text
@@ -71,13 +72,13 @@ def offline_job(spark: SparkSession, ratings: DataFrame, out_dir: str, threshold
     out = out_dir.rstrip("/")
     model = lfm.train_als(ratings)
     tables.save_table(lfm.user_recs(model), f"{out}/UserRecs", sort_by=["uid"])
-    tables.save_table(lfm.lfm_movie_recs(lfm.item_factors(model), threshold), f"{out}/MovieRecs",
-                      sort_by=["mid"])
+    PairSim(lfm.lfm_movie_recs(lfm.item_factors(model), threshold)).save(f"{out}/MovieRecs")
 
 
 def content_job(spark: SparkSession, movies: DataFrame, out_dir: str) -> None:
-    tables.save_table(content.content_movie_recs(movies), f"{out_dir.rstrip('/')}/ContentMovieRecs",
-                      sort_by=["mid"])
+    """Content similarity, saved factorised (members + profile pairs); the
+    streaming job can use it in place of MovieRecs."""
+    content.content_similarity(movies).save(f"{out_dir.rstrip('/')}/ContentMovieRecs")
 
 
 def tuning_job(spark: SparkSession, ratings: DataFrame, out_dir: str) -> DataFrame:
