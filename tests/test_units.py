@@ -238,3 +238,15 @@ def test_pair_and_profile_sim_agree(spark):
     assert a == b and len(a) > 0
     mids = spark.createDataFrame([(1,), (3,)], "mid bigint")
     assert sorted(map(tuple, ps.for_mids(mids).collect())) == sorted(map(tuple, plain.for_mids(mids).collect()))
+
+
+def test_hot_profile_split_equals_plain(spark):
+    from cinerank.operators.simindex import ProfileSim
+    m = movies_df(spark, [(i, "x", "Action|Comedy" if i % 3 else "Action|Drama") for i in range(40)])
+    ps = content.content_similarity(m, threshold=0.1)
+    plain = sorted(map(tuple, ps.pairs().collect()))
+    split = ProfileSim(ps.members, ps.profile_pairs, split_rows=4)
+    assert split._has_hot_profile()
+    assert sorted(map(tuple, split.pairs().collect())) == plain
+    mids = spark.createDataFrame([(1,), (3,)], "mid bigint")
+    assert sorted(map(tuple, split.for_mids(mids).collect())) == sorted(map(tuple, ps.for_mids(mids).collect()))
