@@ -93,7 +93,7 @@ def stream_scores(candidates: DataFrame, recents: DataFrame, sim,
     sim = as_sim(sim)
     c = candidates.select("uid", "mid", "rec_mid")
     r = recents.select("uid", F.col("mid").alias("r_mid"), F.col("score").alias("r_score"))
-    j = sim.lookup(c.join(r, "uid"), "rec_mid", "r_mid", "sim").where(F.col("sim") >= F.lit(float(min_sim)))
+    j = sim.pair_join(c, r, "uid", "rec_mid", "r_mid", "sim").where(F.col("sim") >= F.lit(float(min_sim)))
     agg = j.groupBy("uid", "mid", "rec_mid").agg(
         F.avg(F.col("sim") * F.col("r_score")).alias("base"),
         F.count_if(F.col("r_score") > F.lit(like_above)).alias("incr"),

@@ -238,6 +238,10 @@ def test_pair_and_profile_sim_agree(spark):
     assert a == b and len(a) > 0
     mids = spark.createDataFrame([(1,), (3,)], "mid bigint")
     assert sorted(map(tuple, ps.for_mids(mids).collect())) == sorted(map(tuple, plain.for_mids(mids).collect()))
+    left = spark.createDataFrame([(7, a) for a in range(1, 6)], "u bigint, x bigint")
+    right = spark.createDataFrame([(7, b) for b in range(1, 6)], "u bigint, y bigint")
+    pj = sorted(map(tuple, ps.pair_join(left, right, "u", "x", "y").select("u", "x", "y", "sim").collect()))
+    assert pj == sorted(map(tuple, plain.pair_join(left, right, "u", "x", "y").select("u", "x", "y", "sim").collect()))
 
 
 def test_hot_profile_split_equals_plain(spark):
