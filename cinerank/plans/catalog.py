@@ -122,6 +122,12 @@ def q_stream_recommender_available_now(spark, d):
     return run_available_now_over_fixture(spark, d)
 
 
+def q_stream_recommender_stateful(spark, d):
+    """The streaming recommender with recent ratings kept as keyed state."""
+    from cinerank.streaming.recommender import run_available_now_over_fixture
+    return run_available_now_over_fixture(spark, d, recents_from="stream")
+
+
 def q_ingest_roundtrip(spark, d):
     from cinerank.plans.jobs import ingest_roundtrip
     return ingest_roundtrip(spark, d)
@@ -147,6 +153,7 @@ def queries() -> dict[str, Query]:
         "stream_scores": q_stream_scores,
         "stream_recs_batch": q_stream_recs_batch,
         "stream_recommender_available_now": q_stream_recommender_available_now,
+        "stream_recommender_stateful": q_stream_recommender_stateful,
         "ingest_roundtrip": q_ingest_roundtrip,
         "rmse_of_mean_predictor": q_rmse_of_mean_predictor,
         "user_recs_als": q_user_recs_als,

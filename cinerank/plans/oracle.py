@@ -153,6 +153,11 @@ FROM req u LEFT JOIN (
     # messages carry no event id: equal timestamps are ordered by mid, score
     q["stream_recommender_available_now"] = q["stream_recs_batch"].replace(
         "ORDER BY ts DESC, event_id DESC", "ORDER BY ts DESC, mid DESC, score DESC")
+    # recents from the stream's own state: the user's 20 newest live ratings
+    stateful = q["stream_recommender_available_now"].replace(
+        "FROM ratings WHERE uid IN (SELECT uid FROM req))", "FROM live WHERE uid IN (SELECT uid FROM req))")
+    assert stateful != q["stream_recommender_available_now"]
+    q["stream_recommender_stateful"] = stateful
     q["rmse_of_mean_predictor"] = _with(_RATINGS) + """, flagged AS (
   SELECT *, (('0x' || substr(md5(concat_ws('|', CAST(uid AS VARCHAR), CAST(mid AS VARCHAR), CAST(ts AS VARCHAR))), 1, 8))::BIGINT % 100) < 20 AS is_test
   FROM ratings),

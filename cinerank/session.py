@@ -81,17 +81,25 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make `cinerank` importable in executor Python workers (once per
     application), like `spark-submit --py-files`. Needed by the operators
-    that run Pandas functions (`applyInPandas`, keyed state)."""
+    that run Pandas functions (`applyInPandas`, keyed state).
+
+    Only done when the shared folder is on a file system this process can
+    write directly (local runs, tests). On a cluster with a remote shared
+    folder the deployment ships the package (`--py-files` or installed).
+    """
     sc = spark.sparkContext
     app = sc.applicationId
     if app in _SHIPPED:
         return
+    base = shared_dir(spark)
+    if not is_local_path(base):
+        _SHIPPED.add(app)
+        return
     import zipfile
 
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg_dir)
-    base = shared_dir(spark)
-    folder = local_fs_path(base) if is_local_path(base) else tempfile.mkdtemp(prefix="cinerank-pyfiles-")
+    folder = f"{local_fs_path(base)}/cinerank-pyfiles"
     os.makedirs(folder, exist_ok=True)
     target = os.path.join(folder, f"cinerank-{app}-{uuid.uuid4().hex[:8]}.zip")
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
