@@ -63,6 +63,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/cinerank/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df, name: str):
+    """Write `df` as Parquet under the shared folder and read it back.
+
+    Cuts the lineage (the table survives executor loss and is computed
+    exactly once) and gives the optimizer real size statistics for the
+    consumers' join planning.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def is_local_path(path: str) -> bool:
     return path.startswith("/") or path.startswith("file:")
 
