@@ -11,6 +11,7 @@ persisted, as functions over DataFrames and table paths.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from cinerank.functions.columns import round6
@@ -31,14 +32,22 @@ def ingest_job(spark: SparkSession, movies_path: str, ratings_path: str, tags_pa
     `<table>_rejects` instead of failing the load.
     """
     out = out_dir.rstrip("/")
-    movies, movies_bad = text.load_movies(spark, movies_path, with_rejects=True)
-    ratings, ratings_bad = text.load_ratings(spark, ratings_path, with_rejects=True)
-    tags, tags_bad = text.load_tags(spark, tags_path, with_rejects=True)
-    tables.save_table(movies, f"{out}/movies", sort_by=["mid"])
-    tables.save_table(ratings, f"{out}/ratings", sort_by=["uid", "mid"])
-    tables.save_table(tags, f"{out}/tags", sort_by=["uid", "mid"])
-    for name, bad in (("movies", movies_bad), ("ratings", ratings_bad), ("tags", tags_bad)):
-        tables.save_table(bad, f"{out}/{name}_rejects")
+    # each input is read once: the lines stay cached while both the parsed
+    # table and its rejects are written, and are released afterwards
+    lines = {n: spark.read.text(p).persist(StorageLevel.MEMORY_AND_DISK)
+             for n, p in (("movies", movies_path), ("ratings", ratings_path), ("tags", tags_path))}
+    try:
+        movies, movies_bad = text.parse_movies(lines["movies"])
+        ratings, ratings_bad = text.parse_ratings(lines["ratings"])
+        tags, tags_bad = text.parse_tags(lines["tags"])
+        tables.save_table(movies, f"{out}/movies", sort_by=["mid"])
+        tables.save_table(ratings, f"{out}/ratings", sort_by=["uid", "mid"])
+        tables.save_table(tags, f"{out}/tags", sort_by=["uid", "mid"])
+        for name, bad in (("movies", movies_bad), ("ratings", ratings_bad), ("tags", tags_bad)):
+            tables.save_table(bad, f"{out}/{name}_rejects")
+    finally:
+        for df in lines.values():
+            df.unpersist()
     stored = {n: tables.load_table(spark, f"{out}/{n}") for n in ("movies", "ratings", "tags")}
     tables.save_table(stats.movies_with_tags(stored["movies"], stored["tags"]),
                       f"{out}/movies_with_tags", sort_by=["mid"])

@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from cinerank.sources.schema import MOVIE_FIELDS
 
-_JTRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
+# Java's String.trim removes every character <= U+0020 from both ends.
+_JTRIM_CHARS = "".join(chr(i) for i in range(0x21))
 
 
 def jtrim(c: Column) -> Column:
-    return F.regexp_replace(c, _JTRIM, "")
+    return F.btrim(c, F.lit(_JTRIM_CHARS))
 
 
 def _num(c: Column, typ: str) -> Column:
