@@ -81,7 +81,8 @@ def start_stream_recommender(messages: DataFrame, sim_path: str, ratings_path: s
                              checkpoint: str | None = None, trigger: dict | None = None,
                              rejects_path: str | None = None, recents_from: str = "history",
                              k_recent: int = realtime.MAX_USER_RATINGS,
-                             n_candidates: int = realtime.MAX_SIM_MOVIES):
+                             n_candidates: int = realtime.MAX_SIM_MOVIES,
+                             state_partitions: int | None = None):
     """Start the query. `messages` is a streaming DataFrame with a string
     column `value` (Kafka `value` cast to string, a text/file source, ...).
 
@@ -91,6 +92,11 @@ def start_stream_recommender(messages: DataFrame, sim_path: str, ratings_path: s
     Default trigger: every 2 seconds. The checkpoint makes a restarted
     query resume at the first unfinished batch; the upsert of a replayed
     batch overwrites its own output.
+
+    With keyed state the number of state partitions is fixed when the
+    checkpoint is created (from `spark.sql.shuffle.partitions`); it is set
+    to `state_partitions` (default: the cluster's default parallelism) for
+    the creation of this query only.
     """
     spark = messages.sparkSession
     checkpoint = checkpoint or scratch_path(spark, "stream-checkpoint")
@@ -105,7 +111,15 @@ def start_stream_recommender(messages: DataFrame, sim_path: str, ratings_path: s
          .option("checkpointLocation", checkpoint)
          .outputMode("update" if from_state else "append"))
     w = w.trigger(**(trigger or {"processingTime": "2 seconds"}))
-    return w.start()
+    if not from_state:
+        return w.start()
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
+    try:
+        return w.start()
+    finally:
+        spark.conf.set(key, before)
 
 
 def kafka_messages(spark: SparkSession, bootstrap_servers: str, topic: str,
