@@ -58,7 +58,7 @@ def recs_from_state(latest: DataFrame, sim, ratings: DataFrame,
 
 
 def _batch_writer(sim_path: str, ratings_path: str, out_path: str, rejects_path: str | None,
-                  from_state: bool, k_recent: int, n_candidates: int):
+                  from_state: bool, k_recent: int, n_candidates: int, compact_every: int):
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         sim = load_sim(spark, sim_path)
@@ -74,6 +74,8 @@ def _batch_writer(sim_path: str, ratings_path: str, out_path: str, rejects_path:
         tables.upsert_by_key(recs, out_path, batch_id)
         if not from_state:
             good.unpersist()
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            tables.compact_upserted(spark, out_path, "uid", batch_id)
     return write
 
 
@@ -82,7 +84,7 @@ def start_stream_recommender(messages: DataFrame, sim_path: str, ratings_path: s
                              rejects_path: str | None = None, recents_from: str = "history",
                              k_recent: int = realtime.MAX_USER_RATINGS,
                              n_candidates: int = realtime.MAX_SIM_MOVIES,
-                             state_partitions: int | None = None):
+                             state_partitions: int | None = None, compact_every: int = 100):
     """Start the query. `messages` is a streaming DataFrame with a string
     column `value` (Kafka `value` cast to string, a text/file source, ...).
 
@@ -107,7 +109,7 @@ def start_stream_recommender(messages: DataFrame, sim_path: str, ratings_path: s
         src = recent_ratings_state(good, k_recent)
     w = (src.writeStream
          .foreachBatch(_batch_writer(sim_path, ratings_path, out_path, rejects_path, from_state,
-                                     k_recent, n_candidates))
+                                     k_recent, n_candidates, compact_every))
          .option("checkpointLocation", checkpoint)
          .outputMode("update" if from_state else "append"))
     w = w.trigger(**(trigger or {"processingTime": "2 seconds"}))

@@ -72,6 +72,23 @@ def test_replayed_batch_id_is_idempotent(spark):
     assert got == [(1, 7), (2, 6)]
 
 
+def test_compaction_keeps_state(spark):
+    base = scratch_path(spark, "test-compact")
+    for b in range(5):
+        rows = [(u, b * 10 + u) for u in range(b, b + 3)]
+        tables.upsert_by_key(spark.createDataFrame(rows, "uid bigint, v bigint"), base, b)
+        if b == 2:
+            before = sorted(map(tuple, tables.read_upserted(spark, base, "uid").collect()))
+            tables.compact_upserted(spark, base, "uid", 2)
+            assert sorted(map(tuple, tables.read_upserted(spark, base, "uid").collect())) == before
+    got = dict(map(tuple, tables.read_upserted(spark, base, "uid").collect()))
+    # every uid keeps the value of the last batch that wrote it
+    assert got == {0: 0, 1: 11, 2: 22, 3: 33, 4: 44, 5: 45, 6: 46}
+    # a base without its commit marker is ignored
+    spark.createDataFrame([(0, -1)], "uid bigint, v bigint").write.parquet(f"{base}/bases/upto=4")
+    assert dict(map(tuple, tables.read_upserted(spark, base, "uid").collect()))[0] == 0
+
+
 def test_stateful_recents_feed_themselves(spark):
     sim_rows = [(1, 2, 0.9), (2, 1, 0.9), (2, 3, 0.8), (3, 2, 0.8)]
     base = _setup(spark, sim_rows, [(5, 99, 1.0, 1)])
