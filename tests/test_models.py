@@ -19,7 +19,7 @@ def test_user_recs_bounds_and_positive(spark):
     # recommendForAllUsers equals scoring the whole grid and taking the top
     u = recs.select("uid").distinct().limit(3)
     grid = u.crossJoin(r.select("mid").distinct())
-    pred = model.transform(grid.select(F.col("uid").cast("int").alias("uid_i"), F.col("mid").cast("int").alias("mid_i")))
+    pred = model.model.transform(grid.select(F.col("uid").cast("int").alias("uid_i"), F.col("mid").cast("int").alias("mid_i")))
     best = pred.groupBy("uid_i").agg(F.max("prediction").alias("p")).collect()
     top1 = {x.uid: x.score for x in recs.where("rank = 1").collect()}
     for b in best:
@@ -42,3 +42,21 @@ def test_ml_featurisation_runs(spark):
     recs = content.content_movie_recs_ml(fx.movies(spark, SF_SMALL))
     assert recs.where("score <= 0.6 or mid = rec_mid").count() == 0
     assert recs.count() > 0
+
+
+def test_dense_ids_exact(spark):
+    ids = spark.range(0, 5000, numPartitions=7).selectExpr("id * 1000003 + 5000000000 AS uid")
+    m = lfm.dense_ids(ids, "uid", "uid_i").collect()
+    assert sorted(r.uid_i for r in m) == list(range(5000))
+    assert len({r.uid for r in m}) == 5000
+
+
+def test_als_with_64bit_ids(spark):
+    r = fx.ratings(spark, SF_SMALL).withColumn("uid", F.col("uid") + F.lit(10 ** 12)).withColumn(
+        "mid", F.col("mid") + F.lit(3 * 10 ** 12))
+    fm = lfm.train_als(r, rank=4, max_iter=2)
+    assert fm.users is not None
+    recs = lfm.user_recs(fm, k=3)
+    assert recs.where(F.col("uid") < 10 ** 12).count() == 0 and recs.where(F.col("mid") < 3 * 10 ** 12).count() == 0
+    assert recs.select("uid").distinct().count() == r.select("uid").distinct().count()
+    assert lfm.item_factors(fm).where(F.col("mid") < 3 * 10 ** 12).count() == 0
