@@ -254,3 +254,20 @@ def test_hot_profile_split_equals_plain(spark):
     assert sorted(map(tuple, split.pairs().collect())) == plain
     mids = spark.createDataFrame([(1,), (3,)], "mid bigint")
     assert sorted(map(tuple, split.for_mids(mids).collect())) == sorted(map(tuple, ps.for_mids(mids).collect()))
+
+
+def test_top_k_inner_product_equals_brute_force(spark):
+    import numpy as np
+    from cinerank.operators.similarity import top_k_inner_product
+    rng = np.random.default_rng(5)
+    uv = rng.integers(-2, 3, size=(70, 3)).astype(float)  # small ints: many exact ties
+    iv = rng.integers(-2, 3, size=(90, 3)).astype(float)
+    users = spark.createDataFrame([(i, uv[i].tolist()) for i in range(70)], "id bigint, features array<double>")
+    items = spark.createDataFrame([(100 + j, iv[j].tolist()) for j in range(90)], "id bigint, features array<double>")
+    got = sorted(map(tuple, top_k_inner_product(users, items, k=5, block_rows=16)
+                     .select("id", "rank", "other", "score").collect()))
+    want = []
+    for i in range(70):
+        scores = sorted(((-float(uv[i] @ iv[j]), 100 + j) for j in range(90) if uv[i] @ iv[j] > 0))[:5]
+        want += [(i, r + 1, m, -s) for r, (s, m) in enumerate(scores)]
+    assert got == sorted(want)
