@@ -63,17 +63,20 @@ def _batch_writer(sim_path: str, ratings_path: str, out_path: str, rejects_path:
         spark = batch.sparkSession
         sim = load_sim(spark, sim_path)
         ratings = tables.load_table(spark, ratings_path)
-        if from_state:
-            recs = recs_from_state(batch, sim, ratings, n_candidates)
-        else:
-            good, bad = text.parse_rating_messages(batch)
-            good = good.persist()
-            if rejects_path:
-                tables.upsert_by_key(bad, rejects_path, batch_id)
-            recs = recs_for_batch(good, sim, ratings, k_recent, n_candidates)
-        tables.upsert_by_key(recs, out_path, batch_id)
-        if not from_state:
-            good.unpersist()
+        # the micro-batch feeds several actions: keep it, so the source (and
+        # the stateful operator) run once per batch
+        kept = batch.persist()
+        try:
+            if from_state:
+                recs = recs_from_state(kept, sim, ratings, n_candidates)
+            else:
+                good, bad = text.parse_rating_messages(kept)
+                if rejects_path:
+                    tables.upsert_by_key(bad, rejects_path, batch_id)
+                recs = recs_for_batch(good, sim, ratings, k_recent, n_candidates)
+            tables.upsert_by_key(recs, out_path, batch_id)
+        finally:
+            kept.unpersist()
         if compact_every and batch_id > 0 and batch_id % compact_every == 0:
             tables.compact_upserted(spark, out_path, "uid", batch_id)
     return write
