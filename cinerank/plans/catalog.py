@@ -45,6 +45,11 @@ def q_genres_top_movies(spark, d):
     return stats.genres_top_movies(fx.movies(spark, d), fx.ratings(spark, d), fx.genres(spark))
 
 
+def q_genres_top_movies_token(spark, d):
+    """Genre top-10 with whole-field matching ("old" does not hit "cold")."""
+    return stats.genres_top_movies(fx.movies(spark, d), fx.ratings(spark, d), fx.genres(spark), match="token")
+
+
 def q_movie_tags(spark, d):
     return stats.movie_tags(fx.tags(spark, d))
 
@@ -140,6 +145,7 @@ def queries() -> dict[str, Query]:
         "rate_more_recently_movies_sql": q_rate_more_recently_movies_sql,
         "average_movies": q_average_movies,
         "genres_top_movies": q_genres_top_movies,
+        "genres_top_movies_token": q_genres_top_movies_token,
         "movie_tags": q_movie_tags,
         "movies_with_tags": q_movies_with_tags,
         "distinct_users": q_distinct_users,

@@ -117,6 +117,10 @@ def oracle_sql() -> dict[str, str]:
          CAST(row_number() OVER (PARTITION BY g.genre ORDER BY a.avg DESC, m.mid) AS INTEGER) AS rank
   FROM movies m JOIN avgs a ON m.mid = a.mid JOIN genres g ON contains(lower(m.genres), lower(g.genre)))
 WHERE rank <= 10"""
+    q["genres_top_movies_token"] = q["genres_top_movies"].replace(
+        "contains(lower(m.genres), lower(g.genre))",
+        "list_contains(string_split(lower(m.genres), '|'), lower(g.genre))")
+    assert q["genres_top_movies_token"] != q["genres_top_movies"]
     q["movie_tags"] = _with(_TAGS) + "SELECT mid, string_agg(DISTINCT tag, '|' ORDER BY tag) AS tags FROM tags GROUP BY mid"
     q["movies_with_tags"] = _with(_MOVIES, _TAGS) + """SELECT m.*, t.tags FROM movies m LEFT JOIN (
   SELECT mid, string_agg(DISTINCT tag, '|' ORDER BY tag) AS tags FROM tags GROUP BY mid) t ON m.mid = t.mid"""
