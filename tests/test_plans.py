@@ -29,6 +29,6 @@ def test_genre_list_is_the_only_hinted_broadcast(spark):
 
 
 def test_no_cartesian_products(spark):
-    for name in ["content_movie_recs", "candidate_movies", "stream_scores", "genres_top_movies"]:
+    for name in ["content_movie_recs", "candidate_movies", "stream_scores", "genres_top_movies", "user_recs_als"]:
         p = _plan(catalog.queries()[name](spark, SF_SMALL))
         assert "CartesianProduct" not in p, name
