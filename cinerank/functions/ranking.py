@@ -42,3 +42,15 @@ def explode_recs(df: DataFrame, key: str, recs: str = "recs", rank: str = "rank"
     return df.select(key, F.posexplode(recs).alias("pos", "rec")).select(
         key, (F.col("pos") + 1).cast("int").alias(rank),
         F.col("rec.mid").alias("mid"), F.col("rec.score").alias("score"))
+
+
+def sorted_pairs(pairs: DataFrame, key: str = "mid", other: str = "rec_mid",
+                 score: str = "score") -> DataFrame:
+    """Every key's full similarity list in order (score descending, then
+    the other id), with no limit.
+
+    A global sort is range-partitioned on (key, score, other), so a key with
+    a very long list is spread over several tasks instead of being sorted in
+    one window partition.
+    """
+    return pairs.orderBy(F.asc(key), F.desc(score), F.asc(other))

@@ -271,3 +271,10 @@ def test_top_k_inner_product_equals_brute_force(spark):
         scores = sorted(((-float(uv[i] @ iv[j]), 100 + j) for j in range(90) if uv[i] @ iv[j] > 0))[:5]
         want += [(i, r + 1, m, -s) for r, (s, m) in enumerate(scores)]
     assert got == sorted(want)
+
+
+def test_sorted_pairs_order(spark):
+    from cinerank.functions.ranking import sorted_pairs
+    df = spark.createDataFrame([(2, 5, 0.7), (1, 3, 0.9), (1, 4, 0.9), (1, 2, 0.95), (2, 1, 0.8)],
+                               "mid bigint, rec_mid bigint, score double")
+    assert [(r.mid, r.rec_mid) for r in sorted_pairs(df).collect()] == [(1, 2), (1, 3), (1, 4), (2, 1), (2, 5)]
