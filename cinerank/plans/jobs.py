@@ -15,6 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from cinerank.functions.columns import round6
+from cinerank.functions.ranking import nest_recs
 from cinerank.operators import content, lfm, stats
 from cinerank.operators.simindex import PairSim
 from cinerank.session import scratch_path
@@ -72,7 +73,9 @@ def statistics_job(spark: SparkSession, movies: DataFrame, ratings: DataFrame, g
     tables.save_table(stats.rate_more_movies(ratings), f"{out}/RateMoreMovies")
     tables.save_table(stats.rate_more_recently_movies(ratings), f"{out}/RateMoreRecentlyMovies")
     tables.save_table(stats.average_movies(ratings), f"{out}/AverageMovies")
-    tables.save_table(stats.genres_top_movies(movies, ratings, genres), f"{out}/GenresTopMovies")
+    top = stats.genres_top_movies(movies, ratings, genres)
+    # persisted as the original's GenresRecommendation(genres, recs): lists of at most k
+    tables.save_table(nest_recs(top, "genre").withColumnRenamed("genre", "genres"), f"{out}/GenresTopMovies")
 
 
 def offline_job(spark: SparkSession, ratings: DataFrame, out_dir: str, threshold: float = 0.6) -> None:
@@ -80,7 +83,8 @@ def offline_job(spark: SparkSession, ratings: DataFrame, out_dir: str, threshold
     streaming job reads."""
     out = out_dir.rstrip("/")
     model = lfm.train_als(ratings)
-    tables.save_table(lfm.user_recs(model), f"{out}/UserRecs", sort_by=["uid"])
+    # UserRecs(uid, recs): at most 20 entries per user, nested as stored originally
+    tables.save_table(nest_recs(lfm.user_recs(model), "uid"), f"{out}/UserRecs", sort_by=["uid"])
     PairSim(lfm.lfm_movie_recs(lfm.item_factors(model), threshold)).save(f"{out}/MovieRecs")
 
 
