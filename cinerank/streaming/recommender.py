@@ -128,13 +128,20 @@ def start_stream_recommender(messages: DataFrame, sim_path: str, ratings_path: s
 
 
 def kafka_messages(spark: SparkSession, bootstrap_servers: str, topic: str,
-                   starting_offsets: str = "latest") -> DataFrame:
+                   starting_offsets: str = "latest",
+                   max_offsets_per_trigger: int | None = None) -> DataFrame:
     """Rating messages from a Kafka topic (needs the Kafka connector on the
-    classpath; offsets are tracked by the query checkpoint)."""
-    return (spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", bootstrap_servers)
-            .option("subscribe", topic).option("startingOffsets", starting_offsets).load()
-            .select(F.col("value").cast("string").alias("value")))
+    classpath; offsets are tracked by the query checkpoint).
+
+    `max_offsets_per_trigger` bounds a micro-batch, so a backlog after a
+    restart is worked off in several bounded batches.
+    """
+    r = (spark.readStream.format("kafka")
+         .option("kafka.bootstrap.servers", bootstrap_servers)
+         .option("subscribe", topic).option("startingOffsets", starting_offsets))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", str(int(max_offsets_per_trigger)))
+    return r.load().select(F.col("value").cast("string").alias("value"))
 
 
 def stream_recs_long(spark: SparkSession, out_path: str) -> DataFrame:
