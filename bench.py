@@ -45,6 +45,11 @@ def main() -> None:
     for name, fn in qs.items():
         runs = []
         for _ in range(repeat):
+            # same starting state for every timed run: no leftover caches,
+            # no garbage from the previous query pending in the driver JVM
+            spark.catalog.clearCache()
+            spark.sparkContext._jvm.System.gc()
+            time.sleep(0.5)
             t0 = time.perf_counter()
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - t0)
