@@ -107,3 +107,11 @@ def test_recent_k_bounded_in_batch_form(spark):
     r = spark.createDataFrame([(1, m, 1.0, m) for m in range(50)], "uid bigint, mid bigint, score double, ts bigint")
     got = realtime.recent_ratings(r, k=20)
     assert got.count() == 20 and got.agg({"mid": "min"}).collect()[0][0] == 30
+
+
+def test_kafka_source_reports_missing_connector(spark):
+    import pytest
+    # the connector jar is not installed here: resolving the source fails
+    # before any connection is attempted
+    with pytest.raises(Exception, match="(?i)kafka"):
+        R.kafka_messages(spark, "localhost:9092", "ratings", max_offsets_per_trigger=1000)
