@@ -25,6 +25,8 @@ MAX_USER_RATINGS = 20
 MAX_SIM_MOVIES = 20
 SCORE_SIM_MIN = 0.7
 LIKE_ABOVE = 3.0
+# A user with more candidate rows than this is split into salted parts.
+HOT_USER_ROWS = 1_000_000
 
 
 def recent_ratings(ratings: DataFrame, k: int = MAX_USER_RATINGS) -> DataFrame:
@@ -80,8 +82,23 @@ def candidate_movies(requests: DataFrame, sim, rated: DataFrame,
     return out.select("uid", "mid", "rank", "rec_mid", "score")
 
 
+def hot_users(requests: DataFrame, n: int = MAX_SIM_MOVIES, hot_user_rows: int = HOT_USER_ROWS) -> DataFrame:
+    """(uid, _salts) for users whose candidate rows can exceed `hot_user_rows`.
+
+    A user with q distinct requests has at most n * q candidate rows, so
+    salts = ceil(n * q / hot_user_rows) is always enough. The table has at
+    most (n * requests / hot_user_rows) rows, a bound that makes it safe to
+    broadcast; it is computed from the requests, not from the candidates.
+    """
+    q = requests.select("uid", "mid").distinct().groupBy("uid").agg(F.count(F.lit(1)).alias("_q"))
+    rows = F.col("_q") * F.lit(int(n))
+    return q.where(rows > F.lit(int(hot_user_rows))).select(
+        "uid", F.ceil(rows / F.lit(int(hot_user_rows))).cast("int").alias("_salts"))
+
+
 def stream_scores(candidates: DataFrame, recents: DataFrame, sim,
-                  min_sim: float = SCORE_SIM_MIN, like_above: float = LIKE_ABOVE) -> DataFrame:
+                  min_sim: float = SCORE_SIM_MIN, like_above: float = LIKE_ABOVE,
+                  hot: DataFrame | None = None) -> DataFrame:
     """(uid, mid, rec_mid, score): priority of every candidate of a request.
 
     Each candidate meets at most k recent ratings of its user (bounded fan
@@ -89,11 +106,27 @@ def stream_scores(candidates: DataFrame, recents: DataFrame, sim,
     looked up. A missing pair means similarity 0, which the gate drops, so
     the lookup is an inner join. A candidate with no qualifying recent
     rating gets no score.
+
+    Hot users (`hot`, from `hot_users`): their candidate rows are hashed
+    over their salts and their (at most k) recent ratings are copied to
+    each salt, so no single task joins a hot user's rows. The hot-user table
+    is bounded (see `hot_users`) and broadcast; every other user keeps one
+    salt. Without `hot` (one request per user, as in `stream_recs`) no
+    user can be hot and the join is on the user alone.
     """
     sim = as_sim(sim)
     c = candidates.select("uid", "mid", "rec_mid")
     r = recents.select("uid", F.col("mid").alias("r_mid"), F.col("score").alias("r_score"))
-    j = sim.pair_join(c, r, "uid", "rec_mid", "r_mid", "sim").where(F.col("sim") >= F.lit(float(min_sim)))
+    on = "uid"
+    if hot is not None:
+        hb = F.broadcast(hot.select("uid", "_salts"))
+        salts = F.coalesce(F.col("_salts"), F.lit(1))
+        c = c.join(hb, "uid", "left").select(
+            "uid", "mid", "rec_mid", F.pmod(F.xxhash64("mid", "rec_mid"), salts).cast("int").alias("_salt"))
+        r = r.join(hb, "uid", "left").select(
+            "uid", "r_mid", "r_score", F.explode(F.sequence(F.lit(0), salts - 1)).alias("_salt"))
+        on = ["uid", "_salt"]
+    j = sim.pair_join(c, r, on, "rec_mid", "r_mid", "sim").where(F.col("sim") >= F.lit(float(min_sim)))
     agg = j.groupBy("uid", "mid", "rec_mid").agg(
         F.avg(F.col("sim") * F.col("r_score")).alias("base"),
         F.count_if(F.col("r_score") > F.lit(like_above)).alias("incr"),
@@ -115,6 +148,7 @@ def stream_recs(events: DataFrame, sim, ratings: DataFrame,
     cands = candidate_movies(latest, sim, ratings, n_candidates)
     history = ratings.join(users, "uid", "left_semi")
     recents = recent_ratings(history, k_recent)
+    # one request per user: at most n_candidates rows each, never a hot user
     scores = stream_scores(cands, recents, sim)
     ranked = top_n(scores, ["uid"], [F.desc("score"), F.asc("rec_mid")], None)
     return users.join(ranked.select("uid", "rank", F.col("rec_mid").alias("mid"), "score"), "uid", "left")

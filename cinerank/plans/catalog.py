@@ -97,7 +97,8 @@ def q_stream_scores(spark, d):
     sim = _content_sim(spark, d)
     cands = realtime.candidate_movies(live, sim, ratings)
     recents = realtime.recent_ratings(ratings.join(live.select("uid"), "uid", "left_semi"))
-    return realtime.stream_scores(cands, recents, sim)
+    # many events per user here: users with very many requests are salted
+    return realtime.stream_scores(cands, recents, sim, hot=realtime.hot_users(live))
 
 
 def q_stream_recs_batch(spark, d):

@@ -51,7 +51,7 @@ def recs_from_state(latest: DataFrame, sim, ratings: DataFrame,
         "uid", (F.col("pos") + 1).cast("int").alias("rank"), F.col("r.mid").alias("mid"),
         F.col("r.score").alias("score"))
     cands = realtime.candidate_movies(req, sim, ratings, n_candidates)
-    scores = realtime.stream_scores(cands, recents, sim)
+    scores = realtime.stream_scores(cands, recents, sim)  # one request per user: none is hot
     ranked = top_n(scores, ["uid"], [F.desc("score"), F.asc("rec_mid")], None).select(
         "uid", "rank", F.col("rec_mid").alias("mid"), "score")
     return _nest(req.select("uid"), ranked)

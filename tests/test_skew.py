@@ -70,3 +70,21 @@ def test_hot_user_and_hot_item(spark):
     assert set(got) == set(want)
     for u in want:
         assert [(m, s) for _, m, s in sorted(got[u])] == want[u], u
+
+
+def test_hot_user_salting_equals_plain(spark):
+    rnd = random.Random(5)
+    sim_rows = [(a, b, round(0.6 + 0.4 * rnd.random(), 3)) for a in range(30) for b in range(30) if a != b]
+    sim = spark.createDataFrame(sim_rows, "mid bigint, rec_mid bigint, score double")
+    cands = spark.createDataFrame(
+        [(0 if i % 2 else rnd.randrange(1, 6), rnd.randrange(30), 1, rnd.randrange(30), 0.9) for i in range(400)],
+        "uid bigint, mid bigint, rank int, rec_mid bigint, score double").dropDuplicates(["uid", "mid", "rec_mid"])
+    rec = spark.createDataFrame([(u, i + 1, rnd.randrange(30), float(rnd.randrange(1, 11)) / 2, 0)
+                                 for u in range(6) for i in range(8)],
+                                "uid bigint, rank int, mid bigint, score double, ts bigint")
+    plain = sorted(map(tuple, realtime.stream_scores(cands, rec, sim).collect()))
+    hot = realtime.hot_users(cands, n=20, hot_user_rows=20)
+    assert hot.where("uid = 0").count() == 1
+    salted = realtime.stream_scores(cands, rec, sim, hot=hot)
+    assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, salted.collect())) == plain and len(plain) > 0
