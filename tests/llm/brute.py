@@ -1,0 +1,78 @@
+"""Plain versions of the operators' rules for small tables."""
+
+import re
+
+WORDS = re.compile(r"[^ \t-\r]+")
+
+
+def lower_ascii(t):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t)
+
+
+def shingle_set(text, width=4):
+    w = WORDS.findall(lower_ascii(text or ""))
+    if not w:
+        return frozenset()
+    return frozenset(tuple(w[i:i + width]) for i in range(max(1, len(w) - width + 1)))
+
+
+def components(ids, links):
+    up = {i: i for i in ids}
+
+    def find(x):
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+    for a, b in links:
+        a, b = find(a), find(b)
+        if a != b:
+            up[max(a, b)] = min(a, b)
+    return {i: find(i) for i in ids}
+
+
+def jaccard_components(docs, width=4, percent=85):
+    """docs: {doc_id: text}; every pair is looked at that shares a shingle."""
+    sets = {i: shingle_set(t, width) for i, t in docs.items()}
+    lists = {}
+    for i, s in sets.items():
+        for x in s:
+            lists.setdefault(x, []).append(i)
+    links = []
+    for i, s in sets.items():
+        hits = {}
+        for x in s:
+            for j in lists[x]:
+                if j < i:
+                    hits[j] = hits.get(j, 0) + 1
+        links += [(j, i) for j, k in hits.items() if 100 * k >= percent * (len(s) + len(sets[j]) - k)]
+    c = components(docs, links)
+    return {i: (len(sets[i]), c[i]) for i in docs}
+
+
+KINDS = ("email", "ip", "card", "phone")
+PII = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+       "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+       "card": r"[0-9]([\x20-]?[0-9])+",
+       "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def luhn(d):
+    total = 0
+    for i, c in enumerate(reversed(d)):
+        v = int(c) * (1 + i % 2)
+        total += v - 9 if v > 9 else v
+    return total % 10 == 0
+
+
+def pii_spans(text):
+    out = []
+    for rank, kind in enumerate(KINDS):
+        for m in re.finditer(PII[kind], text or ""):
+            d = re.sub("[^0-9]", "", m[0])
+            ok = {"email": True, "ip": all(int(x) <= 255 for x in m[0].split(".")) if kind == "ip" else True,
+                  "card": 12 <= len(d) <= 19 and luhn(d) if kind == "card" else True,
+                  "phone": 9 <= len(d) <= 15}[kind]
+            if ok:
+                out.append((m.start(), rank, m.end(), kind))
+    return [f"{k}:{s}:{e}" for s, _, e, k in sorted(out)]

@@ -1,0 +1,73 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from cinerank.llm.packing import WordIds, pack, sum_of_squares
+from tests.conftest import SF_MID
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def check(docs, capacity=4096, **more):
+    t = Tokenizer.from_file(PATH)
+    rows = docs.select("doc_id", "text").collect()
+    got = pack(docs, PATH, capacity=capacity, with_ids=True, **more).collect()
+    pieces = {}
+    for r in got:
+        pieces.setdefault(r["doc_id"], []).append(r)
+    want = {}
+    for r in rows:
+        want.setdefault(r["doc_id"], []).append(t.encode(r["text"] or "", add_special_tokens=False).ids + [1])
+    assert set(want) == set(pieces)
+    for i, lists in want.items():
+        cut = sorted((k, s, tuple(ids[s:s + capacity])) for ids in lists for k, s in enumerate(range(0, len(ids), capacity)))
+        have = sorted((r["piece"], r["start"], tuple(np.frombuffer(r["ids"], dtype="<u4").tolist())) for r in pieces[i])
+        assert cut == have
+    seqs = {}
+    for r in got:
+        assert r["length"] == len(r["ids"]) // 4 and r["ids_crc32"] == zlib.crc32(r["ids"])
+        seqs.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for s in seqs.values():
+        at = 0
+        for offset, length in sorted(s):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(seqs), sum(r["length"] for r in got)
+
+
+def test_whole_table_is_packed_tightly(spark):
+    n, total = check(spark.read.parquet(f"{SF_MID}/documents.parquet"))
+    assert n <= 1.01 * total / 4096 + 1
+
+
+def test_several_shards_pack_as_well(spark):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    n, total = check(docs, shard=150)
+    assert n <= 1.01 * total / 4096 + 1
+
+
+def test_awkward_rows(spark):
+    rows = [(1, None, 5), (2, "", 5), (3, " \n ", 5), (None, "word", 5), (4, "x " * 9000, 5), (4, "other", 5), (5, "dup", 5), (5, "dup", 5),
+            (6, "Σας ΟΔΟΣ <|endoftext|>don't it's,, A.B", 5), (7, "café é ́x ＡＢＣ İI ﬁ \x1c\x85 z y", 5), (8, "1234 a1b2 12.5,000", 5)]
+    check(spark.createDataFrame(rows, "doc_id long, text string, piece int"), capacity=64)
+    assert pack(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []
+
+
+def test_words_equal_the_tokenizer_on_random_texts():
+    t = Tokenizer.from_file(PATH)
+    words = WordIds(open(PATH).read())
+    rng = random.Random(2)
+    letters = "abcXYZéßΣσ'.,!?%#$&*<|>_- \t\n\r  \x1c\x0b0123٣漢字é\U0001f600"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(60))) for _ in range(2000)]
+    for text, ids in zip(texts, words.of(texts), strict=True):
+        assert np.frombuffer(ids, dtype="<u4").tolist() == t.encode(text, add_special_tokens=False).ids, text
+
+
+def test_sum_of_squares_puts_items_where_counts_even_out():
+    bins, offsets, gaps = sum_of_squares(np.array([7, 3, 3, 7, 10]), 10)
+    assert sorted(gaps.tolist()) == [0, 0, 0]
+    assert bins[0] != bins[3]
