@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cinerank.llm import jaccard_join, langid, packing, pii
+from cinerank.llm import bpe, embedding_dedup, jaccard_join, langid, packing, pii, urlfilter
 from cinerank.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -18,6 +18,10 @@ def op1_ngram_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, d, "documents"))
 
 
+def op2_embedding_near_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return embedding_dedup.near_copies(table(spark, d, "embeddings"))
+
+
 def op5_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(spark, d, "documents"), public_tokenizers.path(WORD_BPE))
 
@@ -34,13 +38,28 @@ def op8_pii(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
 
 
+URL_RULES = "VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')"
+
+
+def op9_url_filter(spark: SparkSession, d: str) -> DataFrame:
+    rules = spark.sql(f"SELECT * FROM {URL_RULES} AS t(host, path, verdict)")
+    return urlfilter.judge(table(spark, d, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op10_bpe(spark: SparkSession, d: str) -> DataFrame:
+    return bpe.digests(table(spark, d, "documents"), public_tokenizers.path(BYTE_BPE))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+        "op2_embedding_near_dedup": op2_embedding_near_dedup,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op7_language_id": op7_language_id,
         "op8_pii": op8_pii,
+        "op9_url_filter": op9_url_filter,
+        "op10_bpe": op10_bpe,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -63,5 +82,33 @@ SELECT s.doc_id, s.n AS n_shingles, min(r.other) AS component_id FROM sizes s JO
 """
 
 
+# All pairs of a label by cosine in double precision.
+OP2_SQL = r"""
+WITH RECURSIVE ok AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id
+          AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+counts AS (SELECT x, count(*) AS n FROM links GROUP BY x),
+reach AS (SELECT vec_id, vec_id AS other FROM embeddings UNION SELECT r.vec_id, l.y FROM reach r JOIN links l ON l.x = r.other),
+low AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id)
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, l.component_id, l.component_id = e.vec_id AS kept
+FROM embeddings e JOIN low l USING (vec_id) LEFT JOIN counts c ON c.x = e.vec_id
+"""
+
+# Host and path by position, then the rules, longest written first.
+OP9_SQL = f"""
+WITH rest AS (SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+parts AS (SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                 regexp_extract(r, '^([^/?#]*)([^?#]*)', 2) AS path FROM rest),
+rules AS (SELECT * FROM ({URL_RULES}) AS t(h, p, v)),
+fits AS (SELECT page_id, h || p AS rule, v, row_number() OVER (PARTITION BY page_id ORDER BY length(h || p) DESC, length(h) DESC, v DESC) AS k
+         FROM parts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
+SELECT a.page_id, a.host, a.path, f.rule, coalesce(f.v, 'allow') AS verdict
+FROM parts a LEFT JOIN fits f ON f.page_id = a.page_id AND f.k = 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_jaccard_join": OP1_SQL}
+    return {"op1_ngram_jaccard_join": OP1_SQL, "op2_embedding_near_dedup": OP2_SQL, "op9_url_filter": OP9_SQL}

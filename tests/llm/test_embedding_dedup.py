@@ -1,0 +1,65 @@
+import numpy as np
+import pytest
+
+from cinerank.llm.embedding_dedup import near_copies
+from tests.conftest import SF_MID
+from tests.llm.brute import components
+
+
+def brute(rows, cosine=0.98):
+    good = {}
+    for k, (i, e, label) in enumerate(rows):
+        if i is not None and label is not None and e and all(x is not None and np.isfinite(x) for x in e) and any(e):
+            good[k] = np.array(e, dtype=np.float64)
+    links = []
+    ks = list(good)
+    for a, x in enumerate(ks):
+        for y in ks[:a]:
+            p, q = good[x], good[y]
+            if rows[x][2] == rows[y][2] and len(p) == len(q) and p @ q / (np.linalg.norm(p) * np.linalg.norm(q)) >= cosine:
+                links.append((y, x))
+    c = components(range(len(rows)), links)
+    low = {}
+    for k, top in c.items():
+        i = rows[k][0]
+        low[top] = i if low.get(top) is None else min(low[top], i)
+    n = [0] * len(rows)
+    for a, b in links:
+        n[a] += 1
+        n[b] += 1
+    return sorted(((rows[k][0], n[k], low[c[k]]) for k in range(len(rows))), key=str)
+
+
+def got(df, **how):
+    out = near_copies(df, **how).collect()
+    assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in out if r["vec_id"] is not None)
+    return sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in out), key=str)
+
+
+def test_whole_table_equals_brute_force(spark):
+    df = spark.read.parquet(f"{SF_MID}/embeddings.parquet")
+    want = brute([(r["vec_id"], r["embedding"], r["label"]) for r in df.collect()])
+    assert got(df) == want
+
+
+@pytest.mark.parametrize("how", [{"max_copies": 6, "block": 40}, {"max_copies": 1000, "max_pivots": 9, "block": 25}])
+def test_clusters_copies_and_many_cells(spark, how):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(12, 8))
+    x = centres[rng.integers(0, 12, 300)] * (1 + rng.random((300, 1))) + rng.normal(size=(300, 8)) * 0.12
+    rows = [(int(i), [float(np.float32(v)) for v in e], int(i) % 2) for i, e in enumerate(x)]
+    rows += [(1000 + i, rows[5][1], 1) for i in range(30)]
+    rows += [(5000 - i, [2 * v for v in rows[7][1]], 1) for i in range(3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    rows = [(r["vec_id"], r["embedding"], r["label"]) for r in df.collect()]
+    assert got(df, **how) == brute(rows)
+
+
+def test_awkward_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [1.0, 0.0], 1), (2, [2.0, 0.01], 1), (2, [2.0, 0.01], 1), (3, [1.0, 0.0], None), (4, None, 1), (5, [], 1), (6, [0.0, 0.0], 1),
+            (7, [nan, 1.0], 1), (8, [inf, 1.0], 1), (9, [None, 1.0], 1), (None, [1.0, 0.0], 1), (10, [1.0, 0.0, 0.0], 1), (11, [1.0, 0.0], 2),
+            (12, [1e-30, 0.0], 1)]
+    df = spark.createDataFrame([(*r, 0) for r in rows], "vec_id long, embedding array<float>, label int, n_links int")
+    assert got(df) == brute(rows)
+    assert got(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")) == []

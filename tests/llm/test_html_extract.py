@@ -1,0 +1,64 @@
+import html
+import itertools
+import random
+import re
+
+from cinerank.llm.html_extract import blocks, extract
+from cinerank.llm.mincut import labels
+from tests.conftest import SF_MID
+
+
+def plain(page):
+    """The article of the generated pages, by its tags."""
+    body = re.search(r"<article>(.*?)(?:</article>|<footer>|$)", page, re.S)[1]
+    body = re.sub(r"</?(?:p|h1|br)>", " ", body)
+    return " ".join(html.unescape(re.sub(r"<[^>]*>", "", body)).split())
+
+
+def test_whole_table_equals_the_articles(spark):
+    pages = spark.read.parquet(f"{SF_MID}/pages.parquet")
+    got = {r["page_id"]: r for r in extract(pages).collect()}
+    for r in pages.collect():
+        assert got[r["page_id"]]["text"] == plain(r["html"])
+        assert got[r["page_id"]]["n_chars"] == len(plain(r["html"]))
+
+
+PROSE = "This is a sentence of the story, and it goes on for some time. It has commas, and it has ends."
+PAGE = f"""<html><body><header><a href=/>Site</a></header><div id="cookie-notice">We use cookies, accept them all please.</div>
+<main><article><h1>A &lt;title&gt;&nbsp;here</h1><p>{PROSE} One.<p>Two<b>three</b>, <i>four</i>.<br>{PROSE}<aside>Read more here</aside>
+<p>Short.</p><ul><li>First point of the story</li><li>Second point of it</li></ul><script>if (a<b) x("<p>no</p>")</script><p>{PROSE} End.</article></main>
+<form><label>Name</label><input></form><section class="comments"><p>Nice story, I say. {PROSE}</p></section>
+<footer>&copy; Somebody</footer>"""
+BARE = f"""<body><div class="menu"><a href=1>Home</a> <a href=2>News</a></div><div><h2>Title of it</h2><div>{PROSE}</div>
+<div>{PROSE} &amp;amp; &#x41;</div></div><div><a href=a>One</a><a href=b>Two</a></div><div>Copyright 2020</div>"""
+
+
+def test_parts_and_awkward_pages(spark):
+    rows = [(1, "u", PAGE, 0), (2, None, BARE, 0), (3, "u", None, 0), (4, "u", "", 0), (5, "u", "<p>" * 3000 + PROSE, 0), (None, "u", "plain <", 0),
+            (6, "u", "<script>never closed", 0), (7, "u", '<a href="x>' + "y" * 50, 0), (1, "u", PAGE, 0), (8, "u", "<!-- open " + PROSE, 0)]
+    got = {}
+    for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string, text int")).collect():
+        got.setdefault(r["page_id"], []).append(r["text"])
+    text = f"A <title> here {PROSE} One. Twothree, four. {PROSE} Short. First point of the story Second point of it {PROSE} End."
+    assert got[1] == [text, text]
+    assert got[2] == [f"Title of it {PROSE} {PROSE} &amp; A"]
+    assert got[3] == got[4] == got[6] == got[8] == [""]
+    assert got[5] == [PROSE]
+    assert extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_blocks_follow_block_elements():
+    assert [b.text for b in blocks("a<p>b<b>c</b>\n d</P>e")] == ["a", "bc d", "e"]
+
+
+def test_cut_is_minimal():
+    rng = random.Random(3)
+    for _ in range(150):
+        n = rng.randrange(1, 8)
+        s, t = [rng.random() * 2 for _ in range(n)], [rng.random() * 2 for _ in range(n)]
+        edges = [(rng.randrange(n), rng.randrange(n), rng.random()) for _ in range(rng.randrange(12))]
+
+        def cost(side):
+            return (sum(t[i] if x else s[i] for i, x in enumerate(side))
+                    + sum(w for a, b, w in edges if side[a] != side[b]))
+        assert cost(labels(s, t, edges)) < min(map(cost, itertools.product([True, False], repeat=n))) + 1e-9
