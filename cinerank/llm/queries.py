@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cinerank.llm import bpe, embedding_dedup, jaccard_join, langid, packing, pii, urlfilter
+from cinerank.llm import ann, bpe, embedding_dedup, html_extract, jaccard_join, langid, licenses, packing, pii, urlfilter
 from cinerank.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -22,10 +22,22 @@ def op2_embedding_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     return embedding_dedup.near_copies(table(spark, d, "embeddings"))
 
 
+def op3_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    return licenses.scan(table(spark, d, "documents"))
+
+
+def op4_nearest_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    return ann.nearest(table(spark, d, "embeddings"))
+
+
 def op5_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(spark, d, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op6_html_extraction(spark: SparkSession, d: str) -> DataFrame:
+    return html_extract.extract(table(spark, d, "pages"))
+
+
 def op7_language_id(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text", "lang")
     model = langid.fit(docs.where(~langid.held_out() & docs["doc_id"].isNotNull()))
@@ -55,7 +67,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
         "op2_embedding_near_dedup": op2_embedding_near_dedup,
+        "op3_license_scan": op3_license_scan,
+        "op4_nearest_neighbours": op4_nearest_neighbours,
         "op5_best_fit_packing": op5_best_fit_packing,
+        "op6_html_extraction": op6_html_extraction,
         "op7_language_id": op7_language_id,
         "op8_pii": op8_pii,
         "op9_url_filter": op9_url_filter,
