@@ -27,14 +27,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import columns, prepare
+from cinerank.llm.common import columns, prepare, small
 
 # How byte-level vocabularies print bytes, and how they split words.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE = {chr(b): b for b in _PRINTED} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
-KNOWN = 300_000    # words, and arcs times four, that a worker remembers
+KNOWN = 150_000    # words, and arcs times four, that a worker remembers
 _ODD_BLANK = re.compile(r"[^\S \n]|  | \n|\n |\n\n")
 
 
@@ -195,11 +195,9 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = coder(spec.value)
-        for b in batches:
-            for a in range(0, len(b), 256):
-                part = b.slice(a, 256)
-                ids = [list(chain.from_iterable(c.encode(t or "")[1])) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+        for b in small(batches, 256):
+            ids = [list(chain.from_iterable(c.encode(t or "")[1])) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
@@ -211,7 +209,7 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = coder(spec.value)
-        for b in batches:
+        for b in small(batches):
             texts = [c.decode([ids or []]) for ids in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
@@ -225,7 +223,7 @@ def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = coder(spec.value)
-        for b in batches:
+        for b in small(batches):
             n, ids_hash, text_hash = [], [], []
             for t in b.column(1).to_pylist():
                 decimal, ids = c.encode(t or "")

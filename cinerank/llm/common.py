@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,5 +86,8 @@ def _state(e: DataFrame) -> tuple:
     return r["n"], r["s"]
 
 
-def token() -> str:
-    return uuid.uuid4().hex[:10]
+def small(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches that a worker can hold several times over."""
+    for b in batches:
+        for a in range(0, len(b), rows):
+            yield b.slice(a, rows)

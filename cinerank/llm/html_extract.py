@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import columns, prepare
+from cinerank.llm.common import columns, prepare, small
 from cinerank.llm.mincut import labels
 
 SAMPLE_PAGES = 300
@@ -201,7 +201,7 @@ def fit(pages: DataFrame, *, sample_pages: int = SAMPLE_PAGES, sample_blocks: in
     some = columns(pages, "html").where("html is not null").orderBy(F.xxhash64("html"), "html").limit(sample_pages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             rows = [x.features for page in b.column(0).to_pylist() for x in blocks(page)]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64()))], ["x"])
 
@@ -236,7 +236,7 @@ def extract(pages: DataFrame, weights: np.ndarray | None = None) -> DataFrame:
     rows = columns(pages, "page_id", "url", "html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             texts = [main_text(p, w.value) for p in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                                              ["page_id", "url", "text", "n_chars"])

@@ -13,16 +13,18 @@ sets link.
    pass 1/2^19 of all shingle occurrences; so at most 2^19 of them exist at
    any size and the list sent to the tasks stays under 4 MB. The order only
    steers the search; any order gives the same links.
-3. Representatives that share such a list with another are kept with their
-   whole sets. Each is first compared with the smallest document of its
+3. Each representative is first compared with the smallest document of its
    min-hash buckets: linear work that joins large groups of near copies
    into components without listing their pairs.
 4. Then every pair of documents from different components that shares a
    short list, and whose sizes and positions still allow the overlap, is
-   verified. Pairs inside a component need no further look.
+   verified. Pairs inside a component need no further look. Parity
+   signatures of the sets, a bit or two a shingle, first drop the pairs whose
+   sets surely differ in too many shingles; they lose no link.
 5. Verification is the T-occurrence search itself: per query the shortest
    lists over its candidates are merged, candidates with at least T - L
-   hits are probed by binary search in the L longest lists.
+   hits are probed by binary search in the L longest lists. The sets are
+   made from the texts again, only for documents in some pair.
 
 Groups are dealt by salted bucket; a frequent shingle's list is split by
 adaptive skew handling of the join.
@@ -38,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import columns, connected_components, drop, prepare, save
+from cinerank.llm.common import columns, connected_components, drop, prepare, save, small
 from cinerank.llm.shingles import mix, set_key, shingle_sets
 
 WIDTH = 4
@@ -50,6 +52,7 @@ CHUNK_LEAST = 3       # occurrences in a chunk that are reported
 MINHASHES = 6
 FILTER_BITS = 24      # log2 of the bits of the candidate filter (2 MB)
 PAIRS_PER_BUCKET = 400
+MAX_PARITY = 16       # log2 of the most bits of a parity signature (8 KB)
 MU = 0.01             # DivideSkip's weight of a probe against a merge step
 
 _SIG = "doc_id long, n long, k1 long, k2 long, shingle long, hits long"
@@ -58,7 +61,7 @@ _SIG = "doc_id long, n long, k1 long, k2 long, shingle long, hits long"
 def _signatures(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for h in shingle_sets(batch.column(1), width):
                 rows.append((len(h), *set_key(h)))
@@ -85,12 +88,16 @@ def _frequent(held: list[np.ndarray]) -> pa.RecordBatch:
 
 
 def _prefixes(width: int, percent: int, hot):
+    seeds = mix(np.arange(1, MINHASHES + 1, dtype=np.uint64))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = hot.value
-        for batch in batches:
-            n, k1, k2, lists = [], [], [], []
+        for batch in small(batches):
+            n, k1, k2, lists, least, parity = [], [], [], [], [], []
             for h in shingle_sets(batch.column(1), width):
                 size = len(h)
+                least += [mix(h ^ x).min().astype(np.int64) for x in seeds] if size else [0] * MINHASHES
+                parity.append(_parity(h))
                 if len(common) and size:
                     at = np.minimum(np.searchsorted(common, h), len(common) - 1)
                     last = common[at] == h
@@ -106,38 +113,76 @@ def _prefixes(width: int, percent: int, hot):
             ends = np.cumsum([0, *map(len, lists)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))],
-                ["doc_id", "n", "k1", "k2", "prefix"])
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64())),
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * MINHASHES, pa.int32()), pa.array(least, pa.int64())),
+                 pa.array(parity, pa.binary())],
+                ["doc_id", "n", "k1", "k2", "prefix", "minhash", "parity"])
     return run
 
 
-def _sets(width: int, wanted):
-    """Whole sets and min-hashes of the documents the filter lets pass."""
-    seeds = mix(np.arange(1, MINHASHES + 1, dtype=np.uint64))
+def _parity(h: np.ndarray) -> bytes:
+    """For each value of the hash's last bits, whether it is hit oddly often;
+    at least two such values a shingle, up to 2^MAX_PARITY."""
+    bits = 1 << min(MAX_PARITY, max(6, int(2 * len(h) - 1).bit_length()))
+    odd = np.bincount((h & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _apart(a: bytes, b: bytes) -> int:
+    """At least so many shingles are in one set only: each adds one odd hit.
+    Dropping a bit of the hash adds up the halves."""
+    x, y = (np.frombuffer(v, dtype=np.uint8) for v in (a, b))
+    while len(x) > len(y):
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    while len(y) > len(x):
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
 
+def _plausible(percent: int):
+    """Drops pairs whose sets differ in more shingles than a link allows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small(batches):
+            size = np.asarray(b.column(2)) + np.asarray(b.column(3))
+            most = size - 2 * -(-percent * size // (100 + percent))
+            ok = [_apart(x, y) <= m for x, y, m in zip(b.column(4).to_pylist(), b.column(5).to_pylist(), most.tolist(), strict=True)]
+            yield b.select(["q", "c"]).filter(pa.array(ok, pa.bool_()))
+    return run
+
+
+def _sets(width: int, wanted):
+    """Whole sets of the documents the filter lets pass."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = wanted.value
-        for batch in batches:
+        for batch in small(batches):
             ids = batch.column(0).cast(pa.int64())
-            known = np.asarray(ids.fill_null(0))
-            slot = known & ((1 << FILTER_BITS) - 1)  # other documents may pass: they only cost their set
-            on = (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1
-            take = pa.array(on.astype(bool) & np.asarray(ids.is_valid()))
+            slot = np.asarray(ids) & ((1 << FILTER_BITS) - 1)  # other documents may pass: they only cost their set
+            take = pa.array(((bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1).astype(bool))
             ids, text = ids.filter(take), batch.column(1).filter(take)
-            out = {"doc_id": [], "n": [], "k1": [], "k2": [], "hashes": [], "minhash": []}
-            for i, h in zip(ids.to_pylist(), shingle_sets(text, width), strict=True):
-                if not len(h):
-                    continue
-                key = set_key(h)
-                for name, v in zip(out, (i, len(h), key[0], key[1], h.tobytes(),
-                                         [int(mix(h ^ s).min().astype(np.int64)) for s in seeds]), strict=True):
-                    out[name].append(v)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[k], pa.int64()) for k in ("doc_id", "n", "k1", "k2")]
-                + [pa.array(out["hashes"], pa.binary()), pa.array(out["minhash"], pa.list_(pa.int64()))], list(out))
+            out = [(i, len(h), *set_key(h), h.tobytes()) for i, h in zip(ids.to_pylist(), shingle_sets(text, width), strict=True) if len(h)]
+            cols = zip(*out, strict=True) if out else [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, 4 * [pa.int64()] + [pa.binary()], strict=True)],
+                                             ["doc_id", "n", "k1", "k2", "hashes"])
     return run
 
 
+def _sets_of(pairs: DataFrame, docs: DataFrame, groups: DataFrame, width: int) -> tuple[DataFrame, str]:
+    """The sets of the documents in `pairs`, read from their texts again: a
+    filter of fixed size goes to the tasks, the texts stay where they are."""
+    spark = docs.sparkSession
+    ids = pairs.select(F.explode(F.array("q", "c")).alias("doc_id")).distinct()
+    words = ids.select(F.expr(f"cast(doc_id & {(1 << FILTER_BITS) - 1} as int)").alias("i")).groupBy(F.shiftright("i", 5).alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(i & 31 as int))")).alias("bits")).collect()  # at most 2^19 rows
+    wanted = np.zeros(1 << (FILTER_BITS - 5), dtype=np.uint32)
+    for r in words:
+        wanted[r["w"]] = r["bits"]
+    wanted = spark.sparkContext.broadcast(wanted.view(np.uint8))
+    sets = docs.where("doc_id is not null").mapInArrow(_sets(width, wanted), "doc_id long, n long, k1 long, k2 long, hashes binary")
+    sure = groups.withColumnRenamed("rep", "doc_id").join(ids, "doc_id", "left_semi")
+    sets = sets.join(sure, ["doc_id", "n", "k1", "k2"], "left_semi").dropDuplicates(["doc_id", "n", "k1", "k2"])
+    return save(sets.select("doc_id", "hashes"), "op1-sets")
+
+
 def divide_skip(query: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
     """Which of `sets` reach the overlap that `percent` asks of them with
     `query`: the short inverted lists are merged, the long ones probed."""
@@ -190,20 +235,26 @@ def _verify(percent: int):
     return run
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int, name: str) -> tuple[DataFrame, str]:
-    """Pairs `(q, c)` that reach the overlap, as a written table `(a, b)`."""
-    pairs, path = save(pairs, f"{name}-pairs")
+def _links(pairs: DataFrame, docs: DataFrame, reps: DataFrame, groups: DataFrame, width: int, percent: int, name: str) -> tuple[DataFrame, str]:
+    """Pairs `(q, c)` that reach the overlap, as a written table `(a, b)`.
+
+    A query is dealt with its candidates; one with very many is dealt in
+    parts, each with the query's set."""
+    signed = reps.select("doc_id", "n", "parity")
+    p, q = signed.toDF("q", "qn", "qp"), signed.toDF("c", "cn", "cp")
+    pairs = pairs.join(q, "c").join(p, "q").select("q", "c", "qn", "cn", "qp", "cp").mapInArrow(_plausible(percent), "q long, c long")
+    pairs, path = save(pairs.distinct(), f"{name}-pairs")
     buckets = max(1, -(-pairs.count() // PAIRS_PER_BUCKET))
-    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("c"), F.lit(16)))
-    bucket = F.pmod(F.xxhash64("q", "salt"), F.lit(buckets)).alias("bucket")
-    sides = sets.select("doc_id", "hashes")
-    left = pairs.join(sides, F.col("c") == F.col("doc_id")).select(bucket, "q", "salt", "c", "hashes")
-    mine = (pairs.select("q", "salt").distinct().join(sides, F.col("q") == F.col("doc_id"))
-            .select(bucket, "q", "salt", F.lit(None).cast("long").alias("c"), "hashes"))
-    # q is dealt with its salt, so a document with very many candidates is split
+    sets, sets_path = _sets_of(pairs, docs, groups, width)
+    many = pairs.groupBy("q").agg(F.ceil(F.count("*") / PAIRS_PER_BUCKET).cast("long").alias("parts"))
+    pairs = pairs.join(many, "q").select("q", "c", F.pmod(F.xxhash64("c"), F.col("parts")).alias("part"))
+    bucket = F.pmod(F.xxhash64("q", "part"), F.lit(buckets)).alias("bucket")
+    left = pairs.join(sets, F.col("c") == F.col("doc_id")).select(bucket, "q", "c", "hashes")
+    mine = (pairs.select("q", "part").distinct().join(sets, F.col("q") == F.col("doc_id"))
+            .select(bucket, "q", F.lit(None).cast("long").alias("c"), "hashes"))
     found = left.unionByName(mine).groupBy("bucket").applyInPandas(_verify(percent), "a long, b long").distinct()
     out, to = save(found, f"{name}-links")
-    drop(pairs.sparkSession, path)
+    drop(pairs.sparkSession, path, sets_path)
     return out, to
 
 
@@ -231,31 +282,20 @@ def jaccard_join(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT)
                      .agg(F.min("doc_id").alias("rep")), "op1-groups")
 
     lists = docs.where("doc_id is not null").mapInArrow(
-        _prefixes(width, percent, hot), "doc_id long, n long, k1 long, k2 long, prefix array<long>").where("n > 0")
+        _prefixes(width, percent, hot),
+        "doc_id long, n long, k1 long, k2 long, prefix array<long>, minhash array<long>, parity binary").where("n > 0")
     reps = lists.join(groups.withColumnRenamed("rep", "doc_id"), ["doc_id", "n", "k1", "k2"], "left_semi")
-    entries = reps.dropDuplicates(["doc_id", "n", "k1", "k2"]).select(
-        "doc_id", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "shingle"))
+    reps, reps_path = save(reps.dropDuplicates(["doc_id", "n", "k1", "k2"]), "op1-reps")
+    entries = reps.select("doc_id", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "shingle"))
     entries = entries.withColumn("in_list", F.expr("count(1) over (partition by shingle)")).where("in_list > 1").drop("in_list")
     entries, entries_path = save(entries, "op1-lists")
 
-    slots = entries.select(F.expr(f"cast(doc_id & {(1 << FILTER_BITS) - 1} as int)").alias("i")).distinct()
-    words = slots.groupBy(F.shiftright("i", 5).alias("w")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(i & 31 as int))")).alias("bits")).collect()  # at most 2^19 rows
-    wanted = np.zeros(1 << (FILTER_BITS - 5), dtype=np.uint32)
-    for r in words:
-        wanted[r["w"]] = r["bits"]
-    wanted = spark.sparkContext.broadcast(wanted.view(np.uint8))
-    sets = docs.mapInArrow(_sets(width, wanted), "doc_id long, n long, k1 long, k2 long, hashes binary, minhash array<long>")
-    sets, sets_path = save(sets, "op1-sets")
-    sets = sets.join(groups.withColumnRenamed("rep", "doc_id"), ["doc_id", "n", "k1", "k2"], "left_semi").dropDuplicates(
-        ["doc_id", "k1", "k2"])
-
     # large groups first: each document against the smallest of its min-hash buckets
-    keyed = sets.select("doc_id", "n", F.posexplode("minhash").alias("k", "h"))
+    keyed = reps.select("doc_id", F.posexplode("minhash").alias("k", "h"))
     pivot = keyed.groupBy("k", "h").agg(F.min("doc_id").alias("q"), F.count("*").alias("m")).where("m > 1").drop("m")
     pairs = (keyed.join(pivot, ["k", "h"]).where("q <> doc_id").groupBy("q", F.col("doc_id").alias("c"))
              .agg(F.count("*").alias("same")).where(f"same * 2 >= {MINHASHES}").select("q", "c"))
-    near, near_path = _links(pairs, sets, percent, "op1-near")
+    near, near_path = _links(pairs, docs, reps, groups, width, percent, "op1-near")
     first, _ = save(connected_components(near), "op1-first")
 
     # then whatever pair of different components can still reach the overlap
@@ -271,7 +311,7 @@ def jaccard_join(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT)
         f" and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
         f" and least(x.n - x.pos, y.n - y.pos) >= {need}")).select(
         F.col("x.doc_id").alias("q"), F.col("y.doc_id").alias("c")).distinct()
-    more, more_path = _links(rest, sets, percent, "op1-rest")
+    more, more_path = _links(rest, docs, reps, groups, width, percent, "op1-rest")
     lead = first.select(F.col("id").alias("i"), F.col("component_id").alias("l"))
     over = (more.join(lead, F.col("a") == F.col("i"), "left").select(F.coalesce("l", "a").alias("a"), "b")
             .join(lead, F.col("b") == F.col("i"), "left").select("a", F.coalesce("l", "b").alias("b")))
@@ -280,7 +320,7 @@ def jaccard_join(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT)
               .select("n", "k1", "k2", F.coalesce("component_id", "rep").alias("l"))
               .join(second, "l", "left").select("n", "k1", "k2", F.coalesce("top", "l").alias("component_id")))
     labels, _ = save(labels, "op1-labels")
-    drop(spark, entries_path, sets_path, near_path, known_path, more_path)
+    drop(spark, reps_path, entries_path, near_path, known_path, more_path)
     return (rows.join(labels, ["n", "k1", "k2"], "left")
             .select("doc_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_shingles"),
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import columns, prepare
+from cinerank.llm.common import columns, prepare, small
 
 DIMS = 1 << 12
 SAMPLE = 400
@@ -59,7 +59,7 @@ def _length_class(grams: float) -> int:
 
 
 def _sample_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in small(batches, 100):
         counts = [gram_counts(t).astype(np.int32) for t in b.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array([c.tobytes() for c in counts], pa.binary())], ["lang", "counts"])
 
@@ -136,7 +136,7 @@ def predict(docs: DataFrame, model: Centroids | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
-        for b in batches:
+        for b in small(batches):
             out = [m.predict(gram_counts(t)) if ok and m else (UNKNOWN, 0.0, True)
                    for t, ok in zip(b.column(at).to_pylist(), b.column(len(keep)).to_pylist(), strict=True)]
             lang, score, no = zip(*out, strict=True) if out else ((), (), ())

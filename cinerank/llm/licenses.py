@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import columns, prepare
+from cinerank.llm.common import columns, prepare, small
 
 SAMPLE = 4000
 VARIANTS = 60
@@ -161,7 +161,7 @@ def scan(docs: DataFrame, model: Classifier | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
-        for b in batches:
+        for b in small(batches):
             out = [(i, k, *hit) for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if t
                    for k, p in enumerate(t.split("\n")) if p and (hit := m.predict(p))]
             cols = list(zip(*out, strict=True)) if out else [()] * 5

@@ -27,13 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import columns, prepare, save
+from cinerank.llm.common import columns, prepare, save, small
 
 CAPACITY = 4096
 END_ID = 1
 SHARD = 20_000
 SLACK = 8             # tokens that a sequence may lack to be kept in a round
-CACHE = 600_000       # words whose ids a worker remembers
+CACHE = 250_000       # words whose ids a worker remembers
 
 _ITEM = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 _WORD_MARKS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")  # no apostrophe: it may begin a word part
@@ -119,19 +119,17 @@ def _pieces(spec, capacity: int, end_id: int, with_ids: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _word_ids(spec.value)
-        for batch in batches:
-            for a in range(0, len(batch), 256):
-                part = batch.slice(a, 256)
-                texts = ["" if t is None else t for t in part.column(1).to_pylist()]
-                out = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
-                for i, ids in zip(part.column(0).to_pylist(), words.of(texts), strict=True):
-                    ids += end
-                    for k, s in enumerate(range(0, len(ids), 4 * capacity)):
-                        piece = ids[s:s + 4 * capacity]
-                        for name, v in zip(out, (i, k, s // 4, len(piece) // 4, zlib.crc32(piece), piece if with_ids else None), strict=True):
-                            out[name].append(v)
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], list(out))
+        for batch in small(batches, 256):
+            texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
+            out = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
+            for i, ids in zip(batch.column(0).to_pylist(), words.of(texts), strict=True):
+                ids += end
+                for k, s in enumerate(range(0, len(ids), 4 * capacity)):
+                    piece = ids[s:s + 4 * capacity]
+                    for name, v in zip(out, (i, k, s // 4, len(piece) // 4, zlib.crc32(piece), piece if with_ids else None), strict=True):
+                        out[name].append(v)
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], list(out))
     return run
 
 

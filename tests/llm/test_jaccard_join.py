@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from cinerank.llm.jaccard_join import divide_skip, jaccard_join
+from cinerank.llm.jaccard_join import _apart, _parity, divide_skip, jaccard_join
 from tests.conftest import SF_MID
 from tests.llm.brute import jaccard_components
 
@@ -58,3 +58,12 @@ def test_divide_skip_keeps_exactly_the_overlaps():
             sets.append(np.unique(np.concatenate((s, rng.integers(0, 3000, rng.integers(1, 30)).astype(np.uint64)))))
         got = divide_skip(q, sets, 85)
         assert got.tolist() == [100 * len(np.intersect1d(q, s)) >= 85 * len(np.union1d(q, s)) for s in sets]
+
+
+def test_parity_never_overstates_the_difference():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        a = np.unique(rng.integers(0, 1 << 62, rng.integers(1, 900)).astype(np.uint64))
+        b = np.unique(np.concatenate((a[rng.random(len(a)) < rng.random()], rng.integers(0, 1 << 62, rng.integers(1, 300)).astype(np.uint64))))
+        assert _apart(_parity(a), _parity(b)) <= len(np.setxor1d(a, b))
+    assert _apart(_parity(a), _parity(a)) == 0
