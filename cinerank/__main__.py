@@ -1,11 +1,11 @@
 """Command line for the batch and streaming jobs.
 
   python -m cinerank ingest  MOVIES RATINGS TAGS OUT
-  python -m cinerank stats   TABLES OUT          (TABLES = ingest OUT)
+  python -m cinerank stats   TABLES OUT [GENRES] (TABLES = ingest OUT; GENRES = text file, one genre a line)
   python -m cinerank offline TABLES OUT
   python -m cinerank content TABLES OUT
   python -m cinerank tune    TABLES OUT
-  python -m cinerank stream  MESSAGES_DIR SIM_DIR RATINGS_TABLE OUT CHECKPOINT
+  python -m cinerank stream  MESSAGES_DIR SIM_DIR RATINGS_TABLE OUT CHECKPOINT [REJECTS]
   python -m cinerank query   NAME SF_DIR         (any catalogue entry)
 
 The master is left to spark-submit / the launcher. Results are also shown
@@ -35,7 +35,7 @@ def main(argv: list[str]) -> int:
         stored = jobs.ingest_job(spark, *args[:4])
         stored["movies_with_tags"].show(truncate=False)
     elif cmd == "stats":
-        jobs.statistics_job(spark, load(args[0], "movies"), load(args[0], "ratings"), fixtures.genres(spark), args[1])
+        jobs.statistics_job(spark, load(args[0], "movies"), load(args[0], "ratings"), _genres(spark, args[2:]), args[1])
         load(args[1], "RateMoreMovies").show(truncate=False)
     elif cmd == "offline":
         jobs.offline_job(spark, load(args[0], "ratings"), args[1])
@@ -47,7 +47,8 @@ def main(argv: list[str]) -> int:
     elif cmd == "stream":
         from cinerank.streaming.recommender import start_stream_recommender
         msgs = spark.readStream.schema("value string").text(args[0])
-        q = start_stream_recommender(msgs, args[1], args[2], args[3], checkpoint=args[4])
+        q = start_stream_recommender(msgs, args[1], args[2], args[3], checkpoint=args[4],
+                                     rejects_path=args[5] if len(args) > 5 else f"{args[3].rstrip('/')}_rejects")
         q.awaitTermination()
     elif cmd == "query":
         from cinerank.plans.catalog import queries
@@ -59,5 +60,13 @@ def main(argv: list[str]) -> int:
     return 0
 
 
+def _genres(spark, where: list[str]):
+    """The genre list: a text file of the user's, else the fixtures' words."""
+    if not where:
+        return fixtures.genres(spark)
+    from pyspark.sql import functions as F
+    return spark.read.text(where[0]).select(F.trim("value").alias("genre")).where("genre <> ''").distinct()
+
+
 if __name__ == "__main__":
     sys.exit(main(sys.argv[1:]))

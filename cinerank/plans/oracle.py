@@ -28,15 +28,14 @@ _TAGS = """tags AS (
   SELECT o.o_custkey AS uid, l.l_partkey AS mid, n.n_name AS tag,
          CAST(floor(epoch(l.l_shipdate)) AS BIGINT) AS ts
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey
-  WHERE l.l_returnflag = 'R' AND l.l_discount >= CAST(0.1 AS DOUBLE))"""
+  JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey)"""
 
 _LIVE = """live AS (
   SELECT event_id, user_id AS uid, CAST(json_extract_string(props, '$.k') AS BIGINT) AS mid,
          CAST(least(CAST(5 AS DOUBLE), greatest(CAST(0.5 AS DOUBLE),
               ceil(value / CAST(25 AS DOUBLE)) / CAST(2 AS DOUBLE))) AS DOUBLE) AS score,
          CAST(floor(epoch(ts)) AS BIGINT) AS ts
-  FROM events WHERE event_type IN ('view', 'purchase'))"""
+  FROM events)"""
 
 _GENRES = "genres(genre) AS (VALUES " + ", ".join(f"('{g}')" for g in GENRES) + ")"
 
@@ -65,11 +64,11 @@ dots AS (
   SELECT a.mid AS mid, b.mid AS rec_mid, sum(a.weight * b.weight) AS dot
   FROM w a JOIN w b ON a.bucket = b.bucket AND a.mid <> b.mid GROUP BY 1, 2),
 sim AS (
-  SELECT mid, rec_mid, score FROM (
-    SELECT d.mid, d.rec_mid, {_r6("d.dot / (na.norm * nb.norm)")} AS score
+  SELECT mid, rec_mid, {_r6("raw")} AS score FROM (
+    SELECT d.mid, d.rec_mid, d.dot / (na.norm * nb.norm) AS raw
     FROM dots d JOIN norms na ON d.mid = na.mid JOIN norms nb ON d.rec_mid = nb.mid
     WHERE na.norm > 0 AND nb.norm > 0)
-  WHERE score > CAST({threshold} AS DOUBLE))"""
+  WHERE raw > CAST({threshold} AS DOUBLE))"""
 
 
 def _with(*ctes: str) -> str:
@@ -136,10 +135,10 @@ WHERE rank <= 10"""
     q["content_movie_recs"] = _with(_MOVIES, _content_sim()) + "SELECT mid, rec_mid, score FROM sim"
     q["embedding_movie_recs"] = """WITH f AS (SELECT vec_id AS mid, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 n AS (SELECT mid, v, sqrt(list_dot_product(v, v)) AS norm FROM f)
-SELECT mid, rec_mid, score FROM (
-  SELECT a.mid, b.mid AS rec_mid, """ + _r6("list_dot_product(a.v, b.v) / (a.norm * b.norm)") + """ AS score
+SELECT mid, rec_mid, """ + _r6("raw") + """ AS score FROM (
+  SELECT a.mid, b.mid AS rec_mid, list_dot_product(a.v, b.v) / (a.norm * b.norm) AS raw
   FROM n a JOIN n b ON a.mid <> b.mid WHERE a.norm > 0 AND b.norm > 0)
-WHERE score >= CAST(0.3 AS DOUBLE)"""
+WHERE raw >= CAST(0.3 AS DOUBLE)"""
     chain = [_RATINGS, _MOVIES, _LIVE, _content_sim()]
     q["candidate_movies"] = _with(*chain, "reqsrc AS (SELECT uid, mid FROM live)", _CANDIDATES) + \
         "SELECT uid, mid, rank, rec_mid, score FROM cand"

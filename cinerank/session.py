@@ -46,13 +46,15 @@ def build_session(master: str | None = None, app: str = "cinerank",
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by `spark.checkpoint.dir`.
 
-    Only when the session names none (local tests) a private temporary
-    folder is created and registered as the checkpoint directory.
+    Only when the session names none and the master is local (tests) a
+    private temporary folder is created and registered.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="cinerank-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")

@@ -69,8 +69,8 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = _rating_rows(spark, sf_dir).where(
-        (F.col("l_returnflag") == "R") & (F.col("l_discount") >= F.lit(0.1)))
+    """Every line tags its part with the supplier's nation."""
+    r = _rating_rows(spark, sf_dir)
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
     r = r.join(s, r.l_suppkey == s.s_suppkey).join(n, F.col("s_nationkey") == n.n_nationkey)
@@ -83,7 +83,8 @@ def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def live_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").where(F.col("event_type").isin("view", "purchase"))
+    """Every event, of whatever type, is a rating of the part it names."""
+    e = table(spark, sf_dir, "events")
     score = F.least(F.lit(5.0), F.greatest(
         F.lit(0.5), (F.ceil(F.col("value") / F.lit(25.0)) / F.lit(2.0)).cast("double")))
     return e.select(

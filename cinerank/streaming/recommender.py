@@ -108,8 +108,10 @@ def start_stream_recommender(messages: DataFrame, sim_path: str, ratings_path: s
     from_state = recents_from == "stream"
     src = messages
     if from_state:
-        good, _ = text.parse_rating_messages(messages)
+        good, bad = text.parse_rating_messages(messages)
         src = recent_ratings_state(good, k_recent)
+        if rejects_path:
+            rejects = _start_rejects(bad, rejects_path, f"{checkpoint.rstrip('/')}-rejects", trigger)
     w = (src.writeStream
          .foreachBatch(_batch_writer(sim_path, ratings_path, out_path, rejects_path, from_state,
                                      k_recent, n_candidates, compact_every))
@@ -122,9 +124,19 @@ def start_stream_recommender(messages: DataFrame, sim_path: str, ratings_path: s
     before = spark.conf.get(key)
     spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
     try:
-        return w.start()
+        query = w.start()
     finally:
         spark.conf.set(key, before)
+    # lines that don't parse reach no state; their own query writes them
+    query.rejects_query = rejects if rejects_path else None
+    return query
+
+
+def _start_rejects(bad: DataFrame, path: str, checkpoint: str, trigger: dict | None):
+    w = (bad.writeStream
+         .foreachBatch(lambda batch, batch_id: tables.upsert_by_key(batch, path, batch_id))
+         .option("checkpointLocation", checkpoint).outputMode("append"))
+    return w.trigger(**(trigger or {"processingTime": "2 seconds"})).start()
 
 
 def kafka_messages(spark: SparkSession, bootstrap_servers: str, topic: str,

@@ -13,13 +13,11 @@ def test_topk_has_partial_limit_before_shuffle(spark):
     assert "WindowGroupLimit" in p and "Partial" in p
 
 
-def test_scan_prunes_columns_and_pushes_filters(spark):
+def test_scan_prunes_columns(spark):
     df = catalog.q_movie_tags(spark, SF_SMALL)
     p = df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
-    assert "EqualTo(l_returnflag,R)" in p and "GreaterThanOrEqual(l_discount,0.1)" in p
-    # only the five lineitem columns the tag view needs are read
-    assert ("ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,"
-            "l_discount:double,l_returnflag:string>") in p
+    # only the lineitem columns the tag view needs are read
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint>" in p
     assert "ReadSchema: struct<o_orderkey:bigint>" in p
 
 

@@ -115,3 +115,11 @@ def test_kafka_source_reports_missing_connector(spark):
     # before any connection is attempted
     with pytest.raises(Exception, match="(?i)kafka"):
         R.kafka_messages(spark, "localhost:9092", "ratings", max_offsets_per_trigger=1000)
+
+
+def test_state_mode_keeps_rejects(spark):
+    base = _setup(spark, [(1, 2, 0.9), (2, 1, 0.9)], [(7, 1, 4.0, 10)])
+    _write_msgs(spark, base, "a", ["7|1|4.5|20", "not a rating"])
+    q = _run(spark, base, 1, recents_from="stream")
+    q.rejects_query.awaitTermination()
+    assert tables.load_table(spark, f"{base}/rejects").count() == 1

@@ -278,3 +278,26 @@ def test_sorted_pairs_order(spark):
     df = spark.createDataFrame([(2, 5, 0.7), (1, 3, 0.9), (1, 4, 0.9), (1, 2, 0.95), (2, 1, 0.8)],
                                "mid bigint, rec_mid bigint, score double")
     assert [(r.mid, r.rec_mid) for r in sorted_pairs(df).collect()] == [(1, 2), (1, 3), (1, 4), (2, 1), (2, 5)]
+
+
+def test_similarity_threshold_uses_the_raw_value(spark):
+    import math
+
+    from cinerank.operators.similarity import cosine_pairs
+
+    def pairs(c, inclusive):
+        df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [c, math.sqrt(1 - c * c)])], "mid long, features array<double>")
+        return cosine_pairs(df, id_col="mid", vec_col="features", threshold=0.6, inclusive=inclusive,
+                            out_cols=("mid", "rec_mid", "score"), id_type="long").count()
+
+    assert pairs(0.6000003, False) == 2 and pairs(0.5999996, True) == 0
+
+
+def test_null_and_blank_genres_do_not_mix(spark):
+    from cinerank.operators.content import content_movie_recs, tokenize
+
+    rows = [(1, None), (2, None), (3, ""), (4, ""), (5, "  "), (6, "a|b"), (7, "a|b"), (8, "c")]
+    found = [sorted(map(tuple, content_movie_recs(spark.createDataFrame(r, "mid long, genres string")).collect())) for r in (rows, rows[::-1])]
+    assert found[0] == found[1]
+    assert not {m for m, _, _ in found[0]} & {1, 2, 5}
+    assert [r[0] for r in spark.createDataFrame([("  ",), ("",), (" a",)], "t string").select(tokenize("t")).collect()] == [[], [""], ["", "a"]]
