@@ -10,18 +10,21 @@ So the arcs are worked out when first needed and kept in the table
 (`Automaton.arc`); all of them at once would be 50k x 50k.
 
 A pre-split word is encoded by transitions of that table: for each prefix
-there is exactly one last token that an arc leads to. Decoding emits the
-byte labels of the arcs.
+there is exactly one last token that an arc leads to. Which tokens end at a
+byte is read off in one pass over the word, by a string matcher of the arcs'
+labels. Decoding emits the byte labels of the arcs.
 """
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
 from collections.abc import Iterator
 from itertools import chain
 
+import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -48,15 +51,21 @@ class Automaton:
         self.label = [label.get(i, b"") for i in range(max(label, default=-1) + 1)]
         special = set(self.special.values())
         self.token = {b: i for i, b in label.items() if i not in special}
+        self.size = [len(b) for b in self.label]
         self.made = [0] * len(self.label)            # the merge that made a token; 0 for bytes
-        self.halves: list[tuple[int, int] | None] = [None] * len(self.label)
+        self.left, self.right = [-1] * len(self.label), [-1] * len(self.label)
         self.merge: dict[tuple[int, int], int] = {}
         for n, m in enumerate(model["merges"], 1):
             a, b = m if isinstance(m, list) else m.split(" ")
             x, y, c = model["vocab"][a], model["vocab"][b], model["vocab"][a + b]
             self.merge[x, y] = n
-            self.made[c], self.halves[c] = n, (x, y)
-        self.longest = max(map(len, self.token), default=1)
+            self.made[c], self.left[c], self.right[c] = n, x, y
+        self.ending = ahocorasick.Automaton()        # one character a byte
+        for b, i in self.token.items():
+            if b:
+                self.ending.add_word(b.decode("latin-1"), i)
+        if len(self.ending):
+            self.ending.make_automaton()
         self.arcs: dict[tuple[int, int], bool] = {}
 
     def arc(self, t: int, u: int) -> bool:
@@ -70,33 +79,43 @@ class Automaton:
 
     def _built(self, t: int, u: int, now: int) -> bool:
         """Whether that arc is there once the gadgets up to `now` are in."""
+        made, left, right, merge = self.made, self.left, self.right, self.merge
         while True:
-            if self.merge.get((t, u), now + 1) <= now:
+            n = merge.get((t, u))
+            if n is not None and n <= now:
                 return False                              # a gadget took it away
-            r, s = self.made[t], self.made[u]
-            if not r and not s:
-                return True                               # a loop of the first state
+            r, s = made[t], made[u]
             if r > s:                                     # t's state is a copy of its right half's, from before its gadget
-                t, now = self.halves[t][1], r - 1
+                t, now = right[t], r - 1
             elif s > r:                                   # the gadget gave u to the states with an arc for its left half
-                u, now = self.halves[u][0], s
+                u, now = left[u], s
+            elif not r:
+                return True                               # a loop of the first state
             else:                                         # the arc of a token in its own state
-                t, u, now = self.halves[t][1], self.halves[t][0], r - 1
+                t, u, now = right[t], left[t], r - 1
 
     def encode(self, word: bytes) -> list[int]:
         """The ids of one pre-split word. The first state has an arc for
         every token; elsewhere the table says."""
-        last, at, token, arc, longest = [-1] * (len(word) + 1), [0] * (len(word) + 1), self.token, self.arc, self.longest
-        for end in range(1, len(word) + 1):
-            for start in range(max(0, end - longest), end):
-                u = token.get(word[start:end])
-                if u is not None and (start == 0 or last[start] >= 0 and arc(last[start], u)):
-                    last[end], at[end] = u, start
-                    break
-        out, end = [], len(word)
-        while end:
-            out.append(last[end])
-            end = at[end]
+        n, size, arcs = len(word), self.size, self.arcs
+        if not n:
+            return []
+        last = [-1] * (n + 1)
+        for end, u in self.ending.iter(word.decode("latin-1")):
+            end += 1
+            if last[end] < 0:
+                start = end - size[u]
+                if not start:
+                    last[end] = u
+                elif (t := last[start]) >= 0:
+                    known = arcs.get((t, u))
+                    if known or known is None and self.arc(t, u):
+                        last[end] = u
+        out = []
+        while n > 0:
+            u = last[n]
+            out.append(u)
+            n -= size[u]
         return out[::-1]
 
 
@@ -111,7 +130,7 @@ class _Known(dict):
         if len(self) >= KNOWN:
             self.clear()
         ids = self.coder.plain(self.before + part)
-        self[part] = out = (",".join(map(str, ids)), ids)
+        self[part] = out = (",".join(map(str, ids)), tuple(ids))
         return out
 
 
@@ -128,14 +147,14 @@ class Coder:
     def plain(self, text: str) -> list[int]:
         """Ids of text without special tokens."""
         out: list[int] = []
-        for w in _WORDS.findall(text):
+        for w in (text,) if text.isascii() and text.isalpha() else _WORDS.findall(text):
             ids = self.words.get(w)
             if ids is None:
                 if len(self.words) >= KNOWN:
                     self.words.clear()
                 ids = self.automaton.encode(w.encode())
                 if len(w) < 64:
-                    self.words[w] = ids
+                    self.words[w] = tuple(ids)
             out += ids
         return out
 
@@ -172,6 +191,7 @@ def coder(spec: str) -> Coder:
     if spec not in _coders:
         _coders.clear()
         _coders[spec] = Coder(spec)
+        gc.freeze()   # the tables stay: nothing for the collector to look through
     return _coders[spec]
 
 
