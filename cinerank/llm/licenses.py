@@ -70,6 +70,8 @@ class Classifier:
         rng = np.random.default_rng(seed)
         self.classes = [*sorted(TEMPLATES), UNKNOWN]
         filler = [w for p in negatives[:500] for w in words(p)] or ["text"]
+        known = sorted({g for t in TEMPLATES.values() for s in t for g in _grams(s.split())}, key=str)
+        self.at = {g: i for i, g in enumerate(known)}
         rows, y = [], []
         for c, name in enumerate(self.classes[:-1]):
             for t in TEMPLATES[name]:
@@ -78,23 +80,22 @@ class Classifier:
                     v = [x for x in w if k % 3 == 0 or rng.random() > 0.1]
                     v = [re.sub(r"\d", lambda _: str(rng.integers(1, 5)), x) if rng.random() < 0.3 and name not in ("cc0",) else x for x in v]
                     add = [filler[i] for i in rng.integers(0, len(filler), 2 * int(rng.integers(0, 8)))]
-                    rows.append(add[::2] + v + add[1::2])
+                    rows.append(self._known(add[::2] + v + add[1::2]))
                     y.append(c)
         own = sorted({x for ts in TEMPLATES.values() for t in ts for x in t.split()})
         last = len(self.classes) - 1
         for p in negatives:
-            rows.append(words(p))
+            rows.append(self._known(words(p)))
             y.append(last)
         for _ in range(1500):  # template words out of their order
-            rows.append([own[i] if rng.random() < 0.5 else filler[int(rng.integers(len(filler)))] for i in rng.integers(0, len(own), int(rng.integers(1, 12)))])
+            mixed = [own[i] if rng.random() < 0.5 else filler[int(rng.integers(len(filler)))] for i in rng.integers(0, len(own), int(rng.integers(1, 12)))]
+            rows.append(self._known(mixed))
             y.append(last)
         y = np.array(y)
         held = rng.random(len(y)) < 0.25
-        known = sorted({g for t in TEMPLATES.values() for s in t for g in _grams(s.split())}, key=str)
-        self.at = {g: i for i, g in enumerate(known)}
         x = np.zeros((len(rows), len(known)), dtype=np.float32)
-        for r, w in enumerate(rows):
-            x[r, [self.at[g] for g in _grams(w) if g in self.at]] = 1
+        for r, at in enumerate(rows):
+            x[r, at] = 1
         self._train(x[~held], y[~held])
         p = self._probabilities(x[held])
         false = np.sort(p[y[held] == last][:, :-1].max(1))[::-1]
@@ -102,6 +103,9 @@ class Classifier:
         telling = (self.w[:, :-1] - self.w[:, -1:]).max(1) > 0
         self.telling = {v for g, i in self.at.items() if telling[i] for v in ((g,) if isinstance(g, str) else g)}
 
+    def _known(self, w: list[str]) -> list[int]:
+        return [self.at[g] for g in _grams(w) if g in self.at]
+
     def _train(self, x: np.ndarray, y: np.ndarray) -> None:
         k = len(self.classes)
         self.w, self.b = np.zeros((x.shape[1], k)), np.zeros(k)
@@ -126,7 +130,7 @@ class Classifier:
         w = words(paragraph)
         if self.telling.isdisjoint(w):
             return None
-        at = [self.at[g] for g in _grams(w) if g in self.at]
+        at = self._known(w)
         p = self._softmax((self.w[at].sum(0) + self.b)[None])[0]
         c = int(p[:-1].argmax())
         if p[c] < self.least:
@@ -137,9 +141,16 @@ class Classifier:
 
     @staticmethod
     def _share(w: list[str], template: list[str]) -> float:
+        """The largest share of the template's words that a stretch of the
+        paragraph holds in order. Stretches of four times the template's
+        length overlap by half, over the whole paragraph."""
         wanted = set(template)
-        w = [x for x in w if x in wanted]
-        return sum(b.size for b in SequenceMatcher(None, w[:4000], template, autojunk=False).get_matching_blocks()) / len(template)
+        step, best = 2 * len(template), 0
+        for a in range(0, max(1, len(w) - step), step):
+            part = [x for x in w[a:a + 2 * step] if x in wanted]
+            if len(part) > best:
+                best = max(best, sum(b.size for b in SequenceMatcher(None, part, template, autojunk=False).get_matching_blocks()))
+        return best / len(template)
 
 
 def fit(docs: DataFrame, *, sample: int = SAMPLE) -> Classifier:
@@ -147,7 +158,7 @@ def fit(docs: DataFrame, *, sample: int = SAMPLE) -> Classifier:
     lines = columns(docs, "text").select(F.explode(F.split(F.col("text").cast("string"), "\n")).alias("p")).where("trim(p) <> ''")
     some = [r["p"] for r in lines.orderBy(F.xxhash64("p"), "p").limit(2 * sample).collect()]
     own = re.compile(r"licen[cs]|copyright|all rights reserved|spdx", re.I)   # may be statements themselves: not for unknown
-    return Classifier([p[:2000] for p in some if not own.search(p)][:sample])
+    return Classifier([p for p in some if not own.search(p)][:sample])
 
 
 def scan(docs: DataFrame, model: Classifier | None = None) -> DataFrame:

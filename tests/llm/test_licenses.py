@@ -21,10 +21,11 @@ def test_variants_unknowns_and_awkward_rows(spark):
     model = fit(docs)
     texts = ["Permission is hereby granted, free of charge, to any person obtaining a copy of this software and more", "// SPDX-License-Identifier: MPL-2.0",
              "a line\nThis work is licensed under a Creative Commons Attribution-ShareAlike 4.0 license\nb", "the license of the driver is under review by the public",
-             "mit", "general public version 3 terms", None, "", "word " * 50000]
+             "mit", "general public version 3 terms", None, "", "word " * 50000, "is the of a " * 3000 + "released under the MIT license"]
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)] + [(None, "Released under the MIT License.", "x")],
                                "doc_id long, text string, family string")
     got = {(r["doc_id"], r["paragraph"]): r["family"] for r in scan(df, model).collect()}
+    assert got.get((9, 0)) == "mit"     # a statement at the end of a long paragraph
     assert got.get((0, 0)) == "mit" and got.get((1, 0)) == "mpl" and got.get((None, 0)) == "mit"
     assert not {k for k in got if k[0] in (3, 4, 5, 6, 7, 8)}
     assert scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []
