@@ -28,6 +28,7 @@ DIMS = 1 << 12
 SAMPLE = 400
 MAX_LANGS = 400
 CENTROIDS = 4
+PARTS = 256        # groups of input partitions that sample on their own first
 FLOOR = 0.5        # of the smallest cosine of sample texts of that length or shorter
 UNKNOWN = "und"
 
@@ -107,8 +108,10 @@ def fit(docs: DataFrame, *, sample: int = SAMPLE, centroids: int = CENTROIDS, fl
     prepare(docs.sparkSession)
     rows = columns(docs, "text", "lang").select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    few = rows.selectExpr("lang", "text", "xxhash64(text) as h").selectExpr(
-        "*", "row_number() over (partition by lang order by h) as r").where(F.col("r") <= sample)
+    # first among parts of the input, so that no task sorts what all partitions pass on for a language
+    few = rows.selectExpr("lang", "text", "xxhash64(text) as h").withColumn("part", F.spark_partition_id() % PARTS)
+    for group in ("lang, part", "lang"):
+        few = few.withColumn("r", F.expr(f"row_number() over (partition by {group} order by h)")).where(F.col("r") <= sample).drop("r")
     if sample < 1:
         return None
     got = few.select("lang", "text").mapInArrow(_sample_vectors, "lang string, counts binary")
