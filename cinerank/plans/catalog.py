@@ -31,10 +31,10 @@ def q_rate_more_recently_movies(spark, d):
 def q_rate_more_recently_movies_sql(spark, d):
     """The same statistic through the SQL API, with the `changeDate` alias."""
     register_sql_functions(spark)
-    fx.ratings(spark, d).createOrReplaceTempView("ratings")
-    spark.sql("SELECT mid, score, changeDate(ts) AS yearmonth FROM ratings").createOrReplaceTempView("ratingOfMonth")
-    return spark.sql("SELECT mid, count(mid) AS count, yearmonth FROM ratingOfMonth "
-                     "GROUP BY yearmonth, mid ORDER BY yearmonth DESC, count DESC, mid")
+    return spark.sql("""
+        WITH dated AS (SELECT mid, changeDate(ts) AS yearmonth FROM {rated})
+        SELECT yearmonth, mid, count(mid) AS count FROM dated GROUP BY ALL
+        ORDER BY yearmonth DESC, count DESC, mid""", rated=fx.ratings(spark, d))
 
 
 def q_average_movies(spark, d):
