@@ -57,7 +57,7 @@ def candidate_movies(requests: DataFrame, sim, rated: DataFrame,
     items most similar to mid that uid has not rated (rated items are removed
     before the top-n is taken). An unknown mid yields no candidates.
 
-    Exact bounded fetch: a user with s ratings can hide at most s partners,
+    Exact bounded fetch: a user with s rated items can hide at most s partners,
     so the n best unseen partners are among the first n + s partners of mid
     (fewer if mid has fewer). Only those ranks are fetched, by an equi-join
     on (mid, partner rank), instead of every partner of mid for every
@@ -67,6 +67,8 @@ def candidate_movies(requests: DataFrame, sim, rated: DataFrame,
     sim = as_sim(sim)
     req = requests.select("uid", "mid").distinct()
     partners = sim.for_mids(req)
+    # only what the requesting users have rated is counted and shuffled
+    rated = rated.select("uid", "mid").join(req.select("uid").distinct(), "uid", "left_semi").distinct()
     n_seen = rated.groupBy("uid").agg(F.count(F.lit(1)).alias("n_seen"))
     n_partners = partners.groupBy("mid").agg(F.count(F.lit(1)).alias("n_partners"))
     bounded = (req.join(n_seen, "uid", "left").join(n_partners, "mid")
