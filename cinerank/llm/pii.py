@@ -4,15 +4,22 @@ Everything is DataFrame expressions; no Python runs on the executors.
 
 Base kinds are matched by fixed patterns. Then information-theoretic
 sanitisation: for each protected entity E (a kind and value) and each term t
-standing near it, corpus counts give
+of the whole texts that hold E, counts over all documents give
 
-    P(E|t) = c(E,t) / c(t),    bits(E;t) = log2(P(E|t) / P(E))
+    P(E|t) = (c(E,t) + PRIOR P(E)) / (c(t) + PRIOR),
+    bits(E;t) = log2(P(E|t) / P(E))
 
-with c(t) the documents holding t anywhere, c(E,t) those where t stands near
-E, and P(E) the share of documents holding E. A term that reaches both
-disclosure thresholds, in at least `support` different texts, gives E away;
-its occurrences near E are removed like the entity itself. A document
+with c(t) the documents holding t outside of their entities, c(E,t) those of
+them that hold E, and P(E) the share of documents holding E. A term that
+reaches both disclosure thresholds gives E away; in the documents that hold E
+all its occurrences are removed like the entity itself. Few documents say
+less because of PRIOR, but none are too few: a term of a single document with
+E gives it away, one that another document also has doesn't. A document
 without a protected entity is never changed.
+
+Pairs are made only where the thresholds can be reached: a term in so many
+documents that even c(E,t) = c(E) falls short reaches them for no E, and
+entities of the very same documents are one case. Neither changes a result.
 """
 
 from __future__ import annotations
@@ -38,17 +45,17 @@ HINTS = {"email": r"@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-
 TERM = r"\p{L}{3,}+"
 TERM_RANK = len(KINDS)
 
-WINDOW = 60        # code points before and after an entity
 POSTERIOR = 0.5    # P(E|t) that discloses
 BITS = 6.0         # and the information it gives about E
-SUPPORT = 3        # different texts that must show it
+PRIOR = 1.0        # documents that P(E) counts for in P(E|t)
 
 _SPANS = "array<struct<start:int,end:int,value:string>>"
 
 
-def _matches(text: Column, pattern: str) -> Column:
+def _matches(text: Column, pattern: str | Column) -> Column:
     """Spans of all matches, from the pieces between them."""
-    zipped = F.arrays_zip(F.split(text, pattern, -1).alias("p"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("h"))
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
+    zipped = F.arrays_zip(F.split(text, pattern, -1).alias("p"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("h"))
     zipped = F.transform(zipped, lambda x: F.struct(F.length(x["p"]).alias("p"), x["h"].alias("h")))
 
     def add(acc: Column, x: Column) -> Column:
@@ -116,47 +123,55 @@ def _key(kind: Column, value: Column) -> Column:
     return F.concat_ws(":", kind, F.when(kind.isin("card", "phone"), _digits(value)).otherwise(F.lower(value)))
 
 
-def _near(found: DataFrame) -> DataFrame:
-    """`(doc_id, h, entity, term, start, end)`: terms beside entities."""
-    one = found.where(F.size("base") > 0).select("doc_id", "h", "text", F.explode("base").alias("s"))
-    one = one.select("doc_id", "h", _key(F.col("s.kind"), F.col("s.value")).alias("entity"), F.explode(F.array(
-        F.struct(F.greatest(F.col("s.start") - WINDOW, F.lit(0)).alias("from"), F.col("s.start").alias("to"), F.lit(True).alias("left")),
-        F.struct(F.col("s.end").alias("from"), (F.col("s.end") + WINDOW).alias("to"), F.lit(False).alias("left")))).alias("w"),
-        "text")
-    piece = F.substring(F.col("text"), F.col("w.from") + 1, F.col("w.to") - F.col("w.from"))
-    one = one.select("doc_id", "h", "entity", "w", piece.alias("piece"))
-    one = one.select("doc_id", "h", "entity", "w", F.length("piece").alias("size"),
-                     F.explode(_matches(F.col("piece"), TERM)).alias("t"))
-    # a word cut by the window's far edge is no term
-    one = one.where("not (w.left and w.from > 0 and t.start = 0) and not (not w.left and t.end = size and size = w.to - w.from)")
-    return one.select("doc_id", "h", "entity", F.lower("t.value").alias("term"),
-                      (F.col("w.from") + F.col("t.start")).alias("start"), (F.col("w.from") + F.col("t.end")).alias("end"))
-
-
-def disclosing_terms(docs: DataFrame, found: DataFrame, near: DataFrame, *, posterior: float = POSTERIOR,
-                     bits: float = BITS, support: int = SUPPORT) -> DataFrame:
-    """`(entity, term, p, bits)` of the terms that reach the thresholds.
-
-    Terms are counted in whole texts, over all documents; a text's terms are
-    made distinct and pre-aggregated before the shuffle.
+def _blanked(text: Column, base: Column) -> Column:
+    """The text with blanks for its base spans; positions stay."""
+    def add(acc: Column, s: Column) -> Column:
+        gap = F.array(F.substring(text, acc["pos"] + 1, F.greatest(s["start"] - acc["pos"], F.lit(0))),
+                      F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(acc["pos"], s["start"]), F.lit(0))))
+        return F.struct(F.greatest(acc["pos"], s["end"]).alias("pos"), F.concat(acc["out"], gap).alias("out"))
+
+    start = F.expr("named_struct('pos', 0, 'out', cast(array() as array<string>))")
+    blank = F.aggregate(base, start, add, lambda acc: F.concat(
+        F.array_join(acc["out"], ""), F.substring(text, acc["pos"] + 1, F.length(text))))
+    return F.when(F.size(base) > 0, blank).otherwise(text)
+
+
+def _words(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)))
+
+
+def telling_words(docs: DataFrame, some: DataFrame, *, posterior: float = POSTERIOR, bits: float = BITS,
+                  prior: float = PRIOR) -> DataFrame:
+    """`(row, pattern)`: a pattern of the words, as written, that give away
+    entities of this row of `some` (row, base, and the blanked text `shown`).
+
+    A text's terms are made distinct and pre-aggregated before the shuffle.
     """
-    with_e = found.where(F.size("base") > 0).select("h", F.explode("base").alias("s")).groupBy(
-        _key(F.col("s.kind"), F.col("s.value")).alias("entity")).agg(
-        F.count_distinct("h").alias("texts")).where(F.col("texts") >= support).select("entity")
-    pairs = near.join(with_e, "entity", "left_semi")
-    joint = (pairs.select("entity", "term", "doc_id", "h").distinct().groupBy("entity", "term")
-             .agg(F.count("*").alias("c_et"), F.count_distinct("h").alias("texts")).where(F.col("texts") >= support))
-    held = (found.where(F.size("base") > 0).select("doc_id", "h", F.explode("base").alias("s"))
-            .select("doc_id", "h", _key(F.col("s.kind"), F.col("s.value")).alias("entity")).distinct()
-            .groupBy("entity").agg(F.count("*").alias("c_e")))
-    joint, _ = save(joint, "op8-joint")
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
-    seen = words.groupBy("term").agg(F.count("*").alias("c_t"))
-    n = docs.select(F.count("*").alias("n"))
-    told = joint.join(seen, "term").join(held, "entity").crossJoin(F.broadcast(n))  # n is one row
-    p = F.least(F.col("c_et") / F.col("c_t"), F.lit(1.0))
-    return told.select("entity", "term", p.alias("p"), F.log2(p * F.col("n") / F.col("c_e")).alias("bits")).where(
-        (F.col("p") >= posterior) & (F.col("bits") >= bits))
+    n = some.count()
+    some = some.where(F.size("base") > 0)
+    held = some.select("row", F.explode(F.array_distinct(F.transform("base", lambda s: _key(s["kind"], s["value"])))).alias("entity"))
+    entities = held.groupBy("entity").agg(F.count("*").alias("c_e"), F.bit_xor(F.xxhash64("row")).alias("x"),
+                                          F.bit_xor(F.xxhash64("row", F.lit(1))).alias("y"))
+    entities = entities.where(F.log2(F.lit(float(n)) / F.col("c_e")) >= bits)  # the most that a term can tell
+    own, _ = save(held.join(entities, "entity").select("row", "c_e", "x", "y").distinct(), "op8-own")
+
+    def in_reach(c_e: Column) -> Column:
+        return posterior * (F.col("c_t") + prior) <= c_e * (1 + prior / max(n, 1)) + 1e-9
+
+    all_words = docs.select("text", base_spans(F.col("text")).alias("base")).select(_words(_blanked(F.col("text"), F.col("base"))).alias("w"))
+    all_terms = all_words.select(F.explode(F.array_distinct(F.transform("w", F.lower))).alias("term"))
+    most = own.agg(F.max("c_e")).first()[0] or 0
+    seen, _ = save(all_terms.groupBy("term").agg(F.count("*").alias("c_t")).where(in_reach(F.lit(most))), "op8-seen")
+    words = some.select("row", F.explode(_words(F.col("shown"))).alias("w")).withColumn("term", F.lower("w"))
+    words, _ = save(words.join(seen, "term"), "op8-words")
+    pairs, _ = save(words.select("row", "term", "c_t").distinct().join(own, "row").where(in_reach(F.col("c_e"))), "op8-pairs")
+    p_e = F.col("c_e") / F.lit(float(n))
+    p = (F.col("c_et") + prior * p_e) / (F.col("c_t") + prior)
+    told = pairs.groupBy("term", "c_e", "x", "y").agg(F.count("*").alias("c_et"), F.first("c_t").alias("c_t")).where(
+        (p >= posterior) & (F.log2(p / p_e) >= bits))
+    hits = pairs.join(told.select("term", "c_e", "x", "y"), ["term", "c_e", "x", "y"], "left_semi").select("row", "term").distinct()
+    found = words.join(hits, ["row", "term"], "left_semi").groupBy("row").agg(F.array_sort(F.collect_set("w")).alias("w"))
+    return found.select("row", F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join("w", "|"), F.lit(r")(?!\p{L})")).alias("pattern"))
 
 
 def find_pii(docs: DataFrame, **thresholds) -> DataFrame:
@@ -170,17 +185,14 @@ def find_pii(docs: DataFrame, **thresholds) -> DataFrame:
     """
     docs = columns(docs, "doc_id", "text").select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     found = docs.select("doc_id", F.xxhash64("text").alias("h"), "text", base_spans(F.col("text")).alias("base"))
-    some, _ = save(found.select("doc_id", "h", "base", F.when(F.size("base") > 0, F.col("text")).alias("text")), "op8-base")
-    near, _ = save(_near(some.dropDuplicates(["doc_id", "h"])), "op8-near")
-    telling = disclosing_terms(docs, some, near, **thresholds)
-    hits = (near.join(telling.select("entity", "term"), ["entity", "term"]).select("doc_id", "h", "start", "end").distinct()
-            .groupBy("doc_id", "h").agg(F.array_sort(F.collect_list(F.struct(
-                "start", F.lit(TERM_RANK).alias("rank"), "end", F.lit("term").alias("kind"),
-                F.lit("").alias("value")))).alias("terms")))
-    hits, _ = save(hits.select(F.col("doc_id").alias("i"), F.col("h").alias("j"), "terms"), "op8-terms")
-    out = some.drop("text").join(hits, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("j")), "left")
+    shown = F.when(F.size("base") > 0, _blanked(F.col("text"), F.col("base"))).alias("shown")
+    some, _ = save(found.select(F.monotonically_increasing_id().alias("row"), "doc_id", "h", "base", shown), "op8-base")
+    hits, _ = save(telling_words(docs, some, **thresholds), "op8-terms")
+    out = some.join(hits, "row", "left")
     none = F.expr("cast(array() as array<struct<start:int,rank:int,end:int,kind:string,value:string>>)")
-    out = out.withColumn("terms", F.coalesce("terms", none))
+    terms = F.transform(_matches(F.col("shown"), F.col("pattern")), lambda s: F.struct(
+        s["start"].alias("start"), F.lit(TERM_RANK).alias("rank"), s["end"].alias("end"), F.lit("term").alias("kind"), F.lit("").alias("value")))
+    out = out.withColumn("terms", F.when(F.col("pattern").isNotNull(), terms).otherwise(none)).drop("shown", "pattern")
     return out.select("doc_id", "h", *map(_count, KINDS), F.sha2(_written(F.col("base")), 256).alias("base_sha256"), "base", "terms",
                       _written(F.array_sort(F.concat("base", "terms"))).alias("spans"))
 

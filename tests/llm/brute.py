@@ -1,6 +1,8 @@
 """Plain versions of the operators' rules for small tables."""
 
+import math
 import re
+from collections import Counter
 
 WORDS = re.compile(r"[^ \t-\r]+")
 
@@ -76,3 +78,38 @@ def pii_spans(text):
             if ok:
                 out.append((m.start(), rank, m.end(), kind))
     return [f"{k}:{s}:{e}" for s, _, e, k in sorted(out)]
+
+
+def pii_terms(texts, posterior=0.5, bits=6.0, prior=1.0):
+    """Spans of the telling terms of each text, by all pairs of an entity and
+    a term that share a text."""
+    runs, entities = [], []
+    for t in texts:
+        shown, mine = list(t or ""), set()
+        for s in pii_spans(t):
+            kind, a, b = s.split(":")
+            value = t[int(a):int(b)]
+            mine.add((kind, re.sub("[^0-9]", "", value) if kind in ("card", "phone") else value.lower()))
+            shown[int(a):int(b)] = " " * (int(b) - int(a))
+        out, a = [], None
+        for i, c in enumerate([*shown, " "]):
+            if c.isalpha():
+                a = i if a is None else a
+            elif a is not None:
+                out += [(a, i, t[a:i].lower())] * (i - a >= 3)
+                a = None
+        runs.append(out)
+        entities.append(mine)
+    c_t, c_e, c_et = Counter(), Counter(), Counter()
+    for r, e in zip(runs, entities, strict=True):
+        terms = {x for _, _, x in r}
+        c_t.update(terms)
+        c_e.update(e)
+        c_et.update((x, y) for x in e for y in terms)
+    telling = set()
+    for (x, y), k in c_et.items():
+        p_e = c_e[x] / len(texts)
+        p = (k + prior * p_e) / (c_t[y] + prior)
+        if p >= posterior and math.log2(p / p_e) >= bits:
+            telling.add((x, y))
+    return [[(a, b) for a, b, y in r if any((x, y) in telling for x in e)] for r, e in zip(runs, entities, strict=True)]

@@ -2,7 +2,7 @@ import hashlib
 
 from cinerank.llm.pii import find_pii, sanitise
 from tests.conftest import SF_MID
-from tests.llm.brute import KINDS, pii_spans
+from tests.llm.brute import KINDS, pii_spans, pii_terms
 
 
 def check(df):
@@ -45,3 +45,27 @@ def test_disclosing_terms_are_removed_and_clean_texts_stay(spark):
     assert out[0]["n_chars"] == len(out[0]["text"])
     assert all(out[i]["text"] == t and out[i]["n_chars"] == len(t) for i, t in rows if i >= 100)
     assert out[900]["text"] is None and len(out) == len(rows) + 1
+
+
+def test_terms_of_whole_texts_equal_brute_force(spark):
+    far = "filler " * 40
+    texts = ["Quokka " + far + "mail a@b.co " + far + "quokka end",               # one text only, far from the entity, every occurrence
+             "heron by 9.8.7.6 then wombat", "the wombat " + far + "9.8.7.6",       # an entity of two texts
+             "heron without an entity", "x" + "badger@zoo.org and Zoo", "𝒜𝒷𝒸𝒹 é🎈 c@d.eécole école", None]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1, texts[1]), (None, "okapi +1 (202) 555-0199")]
+    rows += [(1000 + i, f"mail the end and then by {far} filler") for i in range(600)]
+    rows += [(5000, "a@x.io b@x.io " + " ".join("w" + chr(97 + i % 26) * (3 + i // 26) for i in range(2000)))]
+    got = find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = pii_terms([t for _, t in rows])
+    assert sorted((str(r["doc_id"]), [(s["start"], s["end"]) for s in r["terms"]]) for r in got) == sorted(
+        (str(i), want[k]) for k, (i, _) in enumerate(rows))
+    first = next(r for r in got if r["doc_id"] == 0)
+    assert [texts[0][s["start"]:s["end"]] for s in first["terms"]] == ["Quokka", "quokka"]
+
+
+def test_terms_of_the_whole_table_equal_brute_force(spark):
+    rows = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text").collect()
+    got = find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = pii_terms([r["text"] for r in rows])
+    assert sorted((str(r["doc_id"]), [(s["start"], s["end"]) for s in r["terms"]]) for r in got) == sorted(
+        (str(r["doc_id"]), want[k]) for k, r in enumerate(rows))
