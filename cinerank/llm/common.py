@@ -43,6 +43,14 @@ def columns(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def distinct_sample(rows: DataFrame, value: str, n: int) -> DataFrame:
+    """`rows` with `h`, a hash of the column `value`: one row of each of the
+    `n` values of the smallest hash, or of all where fewer are distinct."""
+    rows = rows.withColumn("h", F.xxhash64(value))
+    least, _ = save(rows.select("h").distinct().orderBy("h").limit(n), "sample")
+    return rows.join(least, "h").dropDuplicates(["h"])
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """`(id, component_id)` of every node with a link; component_id is the
     smallest id reachable.

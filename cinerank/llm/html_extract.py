@@ -6,7 +6,7 @@ block gives its terminal capacities: -log(1-p) to call it boilerplate,
 another, weaker the further apart in the DOM, and blocks of one parent that
 follow one another there. The minimum cut separates content from boilerplate.
 
-The classifier is fitted here, on at most SAMPLE_PAGES pages in the order of
+The classifier is fitted here, on at most SAMPLE_PAGES distinct pages in the order of
 a hash of their HTML and at most SAMPLE_BLOCKS of their blocks: those inside
 article or main elements are content, those inside nav, header, footer,
 aside and form elements are not. Each counts twice, once with the elements'
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import columns, prepare, small
+from cinerank.llm.common import columns, distinct_sample, prepare, small
 from cinerank.llm.mincut import labels
 
 SAMPLE_PAGES = 300
@@ -198,7 +198,7 @@ def main_text(page: str | None, weights: np.ndarray) -> str:
 def fit(pages: DataFrame, *, sample_pages: int = SAMPLE_PAGES, sample_blocks: int = SAMPLE_BLOCKS) -> np.ndarray:
     """Weights of FEATURES; the priors where the sample tells nothing."""
     prepare(pages.sparkSession)
-    some = columns(pages, "html").where("html is not null").orderBy(F.xxhash64("html"), "html").limit(sample_pages)
+    some = distinct_sample(columns(pages, "html").where("html is not null"), "html", sample_pages).orderBy("h").select("html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):

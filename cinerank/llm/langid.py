@@ -7,10 +7,10 @@ language has a few centroids from spherical k-means. A text gets the
 language of the centroid with the largest cosine; a cosine below the floor
 for texts of its length rejects it.
 
-The classifier is fitted on a bounded sample: at most `sample` documents of
-each language, in the order of a hash of their text, whole texts. Their
+The classifier is fitted on a bounded sample: at most `sample` distinct texts
+of each language, in the order of their hash, whole texts. Their
 vectors go to the driver: at most `sample` x DIMS counts a language, for at
-most MAX_LANGS languages (the most frequent). All texts are predicted.
+most MAX_LANGS languages (those of the most distinct texts). All texts are predicted.
 """
 
 from __future__ import annotations
@@ -22,13 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import columns, prepare, small
+from cinerank.llm.common import columns, prepare, save, small
 
 DIMS = 1 << 12
 SAMPLE = 400
 MAX_LANGS = 400
 CENTROIDS = 4
-PARTS = 256        # groups of input partitions that sample on their own first
+PARTS = 256        # groups of partitions that sample on their own first
 FLOOR = 0.5        # of the smallest cosine of sample texts of that length or shorter
 UNKNOWN = "und"
 
@@ -108,14 +108,18 @@ def fit(docs: DataFrame, *, sample: int = SAMPLE, centroids: int = CENTROIDS, fl
     prepare(docs.sparkSession)
     rows = columns(docs, "text", "lang").select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    # first among parts of the input, so that no task sorts what all partitions pass on for a language
-    few = rows.selectExpr("lang", "text", "xxhash64(text) as h").withColumn("part", F.spark_partition_id() % PARTS)
-    for group in ("lang, part", "lang"):
-        few = few.withColumn("r", F.expr(f"row_number() over (partition by {group} order by h)")).where(F.col("r") <= sample).drop("r")
     if sample < 1:
         return None
-    got = few.select("lang", "text").mapInArrow(_sample_vectors, "lang string, counts binary")
-    got = got.orderBy("lang", "counts").limit(sample * MAX_LANGS).collect()
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    hashes, _ = save(rows.select("lang", "h").distinct(), "op7-hashes")
+    top = hashes.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).select("lang")
+    # first among parts, so that no task sorts what all partitions pass on for a language
+    few = hashes.withColumn("part", F.spark_partition_id() % PARTS)
+    for group in ("lang, part", "lang"):
+        few = few.withColumn("r", F.expr(f"row_number() over (partition by {group} order by h)")).where(F.col("r") <= sample).drop("r")
+    few, _ = save(few.select("lang", "h").join(top, "lang", "left_semi"), "op7-sample")
+    got = rows.join(few, ["lang", "h"]).dropDuplicates(["lang", "h"]).select("lang", "text")
+    got = got.mapInArrow(_sample_vectors, "lang string, counts binary").orderBy("lang", "counts").collect()
     if not got:
         return None
     counts = np.stack([np.frombuffer(r["counts"], dtype=np.int32) for r in got])

@@ -6,7 +6,7 @@ its family, whatever its version.
 Multinomial logistic regression tells the licence families and the class
 `unknown` apart. It is trained here: families on variants of the templates
 below (words dropped, prose added, versions changed), unknown on at most
-SAMPLE paragraphs of documents in the order of a hash of their text, short
+SAMPLE distinct paragraphs of documents in the order of a hash of their text, short
 ones of template words included. The probability that a prediction must reach
 is calibrated on held-out variants and paragraphs, so that at most FALSE of
 the unknown paragraphs pass. A prediction counts once a template of its
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import columns, prepare, small
+from cinerank.llm.common import columns, distinct_sample, prepare, small
 
 SAMPLE = 4000
 VARIANTS = 60
@@ -209,7 +209,7 @@ class Classifier:
 def fit(docs: DataFrame, *, sample: int = SAMPLE) -> Classifier:
     """A classifier whose unknown class knows paragraphs of `docs`."""
     lines = columns(docs, "text").select(F.explode(F.split(F.col("text").cast("string"), "\n")).alias("p")).where("trim(p) <> ''")
-    some = [r["p"] for r in lines.orderBy(F.xxhash64("p"), "p").limit(2 * sample).collect()]
+    some = [r["p"] for r in distinct_sample(lines, "p", 2 * sample).orderBy("h").select("p").collect()]
     own = re.compile(r"licen[cs]|copyright|all rights reserved|spdx", re.I)   # may be statements themselves: not for unknown
     return Classifier([p for p in some if not own.search(p)][:sample])
 

@@ -3,7 +3,9 @@ import itertools
 import random
 import re
 
-from cinerank.llm.html_extract import blocks, extract
+import numpy as np
+
+from cinerank.llm.html_extract import blocks, extract, fit
 from cinerank.llm.mincut import labels
 from tests.conftest import SF_MID
 
@@ -62,3 +64,11 @@ def test_cut_is_minimal():
             return (sum(t[i] if x else s[i] for i, x in enumerate(side))
                     + sum(w for a, b, w in edges if side[a] != side[b]))
         assert cost(labels(s, t, edges)) < min(map(cost, itertools.product([True, False], repeat=n))) + 1e-9
+
+
+def test_copies_of_pages_enter_the_sample_once(spark):
+    pages = [f"<html><body><nav><a href='/{i}'>menu {i}</a></nav><article><p>{'long prose, ' * (i + 2)}</p></article><footer>all rights {i}</footer></body></html>"
+             for i in range(12)]
+    one = fit(spark.createDataFrame([(x,) for x in pages], "html string"), sample_pages=12)
+    many = fit(spark.createDataFrame([(x,) for x in pages + pages[::3] * 40], "html string").repartition(5), sample_pages=12)
+    assert np.allclose(one, many)

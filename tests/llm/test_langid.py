@@ -1,5 +1,8 @@
 import zlib
 
+import numpy as np
+
+from cinerank.llm import langid
 from cinerank.llm.langid import fit, held_out, identify, predict
 from tests.conftest import SF_MID
 
@@ -37,3 +40,16 @@ def test_awkward_rows(spark):
     assert identify(empty).collect() == []
     assert {r["lang_pred"] for r in identify(df.withColumn("lang", df["lang"].substr(9, 1)).selectExpr(
         "doc_id", "text", "cast(null as string) lang")).collect()} == {"und"}
+
+
+def test_copies_enter_the_sample_once(spark):
+    rows = [(f"the cat and dog {'abcdefgh'[i % 8] * (i + 3)}", "en") for i in range(30)] + [(f"der hund {'klmnopqr'[i % 8] * (i + 3)}", "de") for i in range(30)]
+    one = fit(spark.createDataFrame(rows, "text string, lang string"), sample=30)
+    many = fit(spark.createDataFrame(rows + rows[::3] * 40, "text string, lang string").repartition(5), sample=30)
+    assert np.allclose(one.centres, many.centres) and np.allclose(one.floor, many.floor) and np.allclose(one.idf, many.idf)
+
+
+def test_languages_are_chosen_by_their_texts(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGS", 2)
+    rows = [("rare words", "aa")] * 50 + [(f"the cat {'ab'[i % 2] * (i + 3)}", "en") for i in range(9)] + [(f"der hund {'kl'[i % 2] * (i + 3)}", "zz") for i in range(9)]
+    assert fit(spark.createDataFrame(rows, "text string, lang string"), sample=5).names == ["en", "zz"]

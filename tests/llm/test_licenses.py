@@ -1,5 +1,7 @@
 import re
 
+import numpy as np
+
 from cinerank.llm.licenses import fit, scan
 from tests.conftest import SF_MID
 
@@ -79,3 +81,10 @@ def test_spdx_ids_by_family(spark):
            "CC0-1.0": "cc0", "Zlib": None, "CC-BY-ND-4.0": None}
     got = {i: [f for _, f, _, _ in model.statements(f"// SPDX-License-Identifier: {i}")] for i in ids}
     assert got == {i: [f] if f else [] for i, f in ids.items()}
+
+
+def test_repeated_lines_enter_the_sample_once(spark):
+    lines = [f"prose about the use of {'abcdefgh'[i % 8] * (i + 3)} in public work" for i in range(60)]
+    one = fit(spark.createDataFrame([(x,) for x in lines], "text string"), sample=60)
+    many = fit(spark.createDataFrame([(x,) for x in lines + ["\n".join(lines[::3] * 40)]], "text string").repartition(5), sample=60)
+    assert np.allclose(one.w, many.w) and one.least == many.least
