@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cinerank.llm import ann, bpe, embedding_dedup, html_extract, jaccard_join, langid, licenses, packing, pii, urlfilter
+from cinerank.llm import (ann, bpe, embedding_dedup, hard_negatives, html_extract, jaccard_join, langid, licenses,
+                          packing, pii, urlfilter)
 from cinerank.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -62,6 +64,11 @@ def op10_bpe(spark: SparkSession, d: str) -> DataFrame:
     return bpe.digests(table(spark, d, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op13_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, d, "embeddings"), relabel=moved)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
     return {
@@ -75,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pii": op8_pii,
         "op9_url_filter": op9_url_filter,
         "op10_bpe": op10_bpe,
+        "op13_hard_negatives": op13_hard_negatives,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -125,5 +133,29 @@ FROM parts a LEFT JOIN fits f ON f.page_id = a.page_id AND f.k = 1
 """
 
 
+# Scores of anchors with all other rows; windows by rank.
+OP13_SQL = """
+WITH ok AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         CAST(coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
+  FROM ok a JOIN ok b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+pos AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM (
+  SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM pos p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score)
+WHERE rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_jaccard_join": OP1_SQL, "op2_embedding_near_dedup": OP2_SQL, "op9_url_filter": OP9_SQL}
+    return {"op1_ngram_jaccard_join": OP1_SQL, "op2_embedding_near_dedup": OP2_SQL, "op9_url_filter": OP9_SQL,
+            "op13_hard_negatives": OP13_SQL}

@@ -1,0 +1,101 @@
+import math
+
+import numpy as np
+import pytest
+
+from cinerank.llm.hard_negatives import Lists, best, hard_negatives, windows
+
+SCHEMA = "vec_id bigint, embedding array<double>, label int, score double, side string"
+
+
+def brute(rows, every=10, k=5):
+    good = set()
+    for i, e, label, *_ in rows:
+        if i is not None and label is not None and e is not None and all(x is not None and math.isfinite(x) for x in e):
+            good.add((i, label, tuple(math.floor(256 * x) for x in e)))
+    out = []
+    for i, label, v in good:
+        if i % every:
+            continue
+        def ranked(same):
+            s = [(-sum(a * b for a, b in zip(v, w)), j) for j, other, w in good if j != i and (other == label) == same]
+            return sorted(s)
+        for p, pid in ranked(True)[:k]:
+            near = [(s, j) for s, j in ranked(False) if 80 * -p <= 100 * -s <= 100 * -p][:k]
+            out += [(i, pid, n + 1, j, -p, -s) for n, (s, j) in enumerate(near)]
+    return sorted(out)
+
+
+def got(spark, rows, **how):
+    df = spark.createDataFrame([(*r[:3], 0.5, "x") for r in rows], SCHEMA)
+    out = hard_negatives(df, anchor_every=10, **how)
+    assert out.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    return sorted(map(tuple, out.collect()))
+
+
+def random_rows(n, dims, labels, seed, spread=0.2):
+    rng = np.random.default_rng(seed)
+    base = rng.normal(0, 0.3, (5, dims))
+    return [(i, [float(x) for x in base[i % 5] + rng.normal(0, spread, dims)], int(rng.integers(labels))) for i in range(n)]
+
+
+@pytest.mark.parametrize("block,anchor_block", [(4096, 2048), (40, 4)])
+def test_equals_brute_force(spark, block, anchor_block):
+    rows = random_rows(150, 8, 3, 1)
+    want = brute(rows)
+    assert want and got(spark, rows, block=block, anchor_block=anchor_block) == want
+
+
+def test_nulls_ties_repeats_lengths(spark):
+    rows = random_rows(40, 4, 2, 2)
+    rows += [(None, [1.0] * 4, 0), (50, None, 0), (60, [1.0, None, 0.0, 0.0], 1), (70, [math.inf, 0.0, 0.0, 0.0], 1),
+             (80, [math.nan] * 4, 1), (90, [0.5] * 4, None), (100, [], 0), (110, [0.5, 0.5], 1), (120, [0.5] * 6, 0),
+             (130, [0.0] * 4, 1)]
+    rows += [(200 + k, [0.25, -0.5, 0.125, 0.75], k % 2) for k in range(14)]      # ties, broken by id
+    rows += [rows[0], rows[0], rows[-1], (10, [0.4] * 4, 1)]                      # repeated rows, a second row of an id
+    assert got(spark, rows, block=16) == brute(rows)
+
+
+def test_small_and_empty_tables(spark):
+    assert got(spark, []) == []
+    assert got(spark, [(1, [1.0], 0), (2, [1.0], 1)]) == []                       # no anchor
+    assert got(spark, [(0, [1.0], 0), (2, [1.0], 1)]) == []                       # no positive
+    assert got(spark, [(0, [1.0], 0), (1, [1.0], 0), (2, [0.9], 1), (3, [0.7], 1)]) == [(0, 1, 1, 2, 65536, 256 * 230)]
+    assert got(spark, [(0, [-1.0], 0), (1, [1.0], 0), (2, [1.0], 1)]) == []       # a positive score below zero
+
+
+def test_relabelled(spark):
+    from pyspark.sql import functions as F
+    rows = random_rows(60, 6, 4, 3)
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    assert got(spark, rows, relabel=moved) == brute([(i, e, (x + 1) % 10 if i % 7 == 0 else x) for i, e, x in rows])
+
+
+def test_heads_leave_out_only_what_cannot_reach():
+    rng = np.random.default_rng(4)
+    v = np.floor(256 * rng.normal(0, 0.2, (500, 32)) * (rng.random((500, 32)) < 0.5))
+    lists, x = Lists(v), v[3]
+    reach, last = lists.scan(x), None
+    s = v @ x
+    for t in [0.9 * s.max(), 0.5 * s.max(), 0.2 * s.max(), 1.0, 0.0, -math.inf]:
+        rows, scores = reach(t)
+        assert set(rows.tolist()) == set(np.flatnonzero(s >= t).tolist()) and np.array_equal(scores, s[rows])
+        assert last is None or last <= set(rows.tolist())
+        last = set(rows.tolist())
+
+
+def test_high_threshold_reads_a_part_of_the_lists():
+    rng = np.random.default_rng(5)
+    v = np.floor(256 * rng.normal(0, 0.125, (2000, 64)))
+    lists, x = Lists(v), v[0]
+    t = 0.8 * float(x @ x)
+    read = 0
+    xs = x[lists.order]
+    norms = np.sqrt(np.cumsum(xs * xs))
+    for d, (_, _, under) in enumerate(lists.lists):
+        read += int(np.searchsorted(under, -t / norms[d], side="right")) if norms[d] else 0
+    assert read < 0.5 * sum(len(rows) for rows, _, _ in lists.lists)
+    ids = np.arange(len(v))
+    assert best(lists.scan(x), ids != 0, ids, 3, t) == best(lists.scan(x), ids != 0, ids, 3, -math.inf)
+    assert windows(lists.scan(x), ids != 0, ids, [t], 5) == [
+        [(int(i), float(v[i] @ x)) for i in sorted(ids[1:], key=lambda i: (-(v[i] @ x), i)) if 0.8 * t <= v[i] @ x <= t][:5]]
