@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinerank.llm import (ann, bpe, embedding_dedup, hard_negatives, html_extract, jaccard_join, langid, licenses,
+from cinerank.llm import (ann, bpe, conversations, embedding_dedup, hard_negatives, html_extract, jaccard_join, langid, licenses,
                           packing, pii, urlfilter)
 from cinerank.llm.common import table
 
@@ -64,6 +64,11 @@ def op10_bpe(spark: SparkSession, d: str) -> DataFrame:
     return bpe.digests(table(spark, d, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op11_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "conversations")
+    return conversations.repair(conversations.damaged(rows), rows)
+
+
 def op13_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.hard_negatives(table(spark, d, "embeddings"), relabel=moved)
@@ -82,6 +87,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pii": op8_pii,
         "op9_url_filter": op9_url_filter,
         "op10_bpe": op10_bpe,
+        "op11_conversation_repair": op11_conversation_repair,
         "op13_hard_negatives": op13_hard_negatives,
         "pipeline": corpus_pipeline.run,
     }
@@ -133,6 +139,64 @@ FROM parts a LEFT JOIN fits f ON f.page_id = a.page_id AND f.k = 1
 """
 
 
+# Row by row, the best way (cost, then audit) into each state of the grammar.
+OP11_SQL = r"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+summed AS (
+  SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, length(k) + 1), lambda i: CAST(ord(substr(k, i, 1)) AS BIGINT))),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda d, j: CASE WHEN d & 1 = 1 THEN xor(d >> 1, 3988292384) ELSE d >> 1 END)),
+      4294967295) % 20 AS f FROM keyed),
+broken AS (
+  SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN f = 1 THEN '' WHEN f = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE WHEN f = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM summed WHERE f <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i,
+         regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS bare FROM broken),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS seen FROM placed),
+rows_ AS (
+  SELECT conv_id, i, turn, role, text, left(role, 1) AS r, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+         CASE WHEN bare = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM ranked),
+counts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || r NOT IN ('su', 'ua', 'au')) AS illegal FROM rows_ GROUP BY conv_id),
+ins(q, q1, c, letters, lines) AS (VALUES
+  ('0', '0', 0, '', ''), ('0', 'U', 2, 'I', 'user:' || chr(10)), ('0', 'A', 4, 'II', 'user:' || chr(10) || 'assistant:' || chr(10)),
+  ('S', 'S', 0, '', ''), ('S', 'U', 2, 'I', 'user:' || chr(10)), ('S', 'A', 4, 'II', 'user:' || chr(10) || 'assistant:' || chr(10)),
+  ('U', 'U', 0, '', ''), ('U', 'A', 2, 'I', 'assistant:' || chr(10)), ('A', 'A', 0, '', ''), ('A', 'U', 2, 'I', 'user:' || chr(10))),
+acts(q1, act, q2, need) AS (VALUES
+  ('0', 'D', '0', ''), ('S', 'D', 'S', ''), ('U', 'D', 'U', ''), ('A', 'D', 'A', ''),
+  ('0', 'K', 'S', 's'), ('0', 'K', 'U', 'u'), ('S', 'K', 'U', 'u'), ('A', 'K', 'U', 'u'), ('U', 'K', 'A', 'a'),
+  ('0', 'R', 'U', ''), ('S', 'R', 'U', ''), ('A', 'R', 'U', ''), ('U', 'R', 'A', '')),
+best(conv_id, i, q, cost, audit, rep) AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), '0', CAST(0 AS BIGINT), '', '' FROM conversations
+  UNION ALL
+  SELECT conv_id, i, q2, cost, audit, rep FROM (
+    SELECT b.conv_id, r.i, a.q2, b.cost + n.c + CASE a.act WHEN 'D' THEN 3 WHEN 'R' THEN 2 ELSE 0 END
+             + CASE WHEN a.act <> 'D' AND r.fault = 'truncated' THEN 1 ELSE 0 END AS cost,
+           b.audit || n.letters || a.act AS audit,
+           b.rep || n.lines || CASE a.act WHEN 'D' THEN '' ELSE
+             (CASE WHEN a.act = 'K' THEN r.role WHEN a.q2 = 'U' THEN 'user' ELSE 'assistant' END) || ':' || r.text || chr(10) END AS rep
+    FROM best b JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.i = b.i + 1 JOIN ins n ON n.q = b.q JOIN acts a ON a.q1 = n.q1
+    WHERE a.act = 'D' OR (r.fault NOT IN ('blank', 'duplicate') AND (a.need = '' OR a.need = r.r)))
+  QUALIFY row_number() OVER (PARTITION BY conv_id, i, q2 ORDER BY cost, audit) = 1),
+ended AS (
+  SELECT b.conv_id, b.i, b.cost + n.c AS cost, b.audit || n.letters AS audit, b.rep || n.lines AS rep
+  FROM best b JOIN ins n ON n.q = b.q LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM b.conv_id
+  WHERE b.i = coalesce(c.n, 0) AND n.q1 IN ('0', 'A')
+  QUALIFY row_number() OVER (PARTITION BY b.conv_id ORDER BY b.cost + n.c, b.audit || n.letters) = 1)
+SELECT e.conv_id, CAST(coalesce(c.gaps, 0) AS BIGINT) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+       coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, CAST(e.cost AS BIGINT) AS cost, e.audit,
+       sha256(left(e.rep, greatest(length(e.rep) - 1, 0))) AS repaired_sha256
+FROM ended e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
 # Scores of anchors with all other rows; windows by rank.
 OP13_SQL = """
 WITH ok AS (
@@ -158,4 +222,4 @@ WHERE rank <= 5
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_ngram_jaccard_join": OP1_SQL, "op2_embedding_near_dedup": OP2_SQL, "op9_url_filter": OP9_SQL,
-            "op13_hard_negatives": OP13_SQL}
+            "op11_conversation_repair": OP11_SQL, "op13_hard_negatives": OP13_SQL}
