@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinerank.llm import (ann, bpe, conversations, embedding_dedup, hard_negatives, html_extract, jaccard_join, langid, licenses,
-                          packing, pii, urlfilter)
+                          packing, pii, toxicity, urlfilter)
 from cinerank.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -69,6 +69,12 @@ def op11_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
     return conversations.repair(conversations.damaged(rows), rows)
 
 
+def op12_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs.where(~langid.held_out()), table(spark, d, "labels"))
+    return toxicity.predict(docs, model).select("doc_id", langid.held_out().alias("held_out"), "score", "predicted")
+
+
 def op13_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.hard_negatives(table(spark, d, "embeddings"), relabel=moved)
@@ -88,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_url_filter": op9_url_filter,
         "op10_bpe": op10_bpe,
         "op11_conversation_repair": op11_conversation_repair,
+        "op12_toxicity": op12_toxicity,
         "op13_hard_negatives": op13_hard_negatives,
         "pipeline": corpus_pipeline.run,
     }
