@@ -12,12 +12,12 @@ clause add nothing. Matches add up by pattern and scope, and a logistic model
 over those sums, their density, the strongest clause and the length gives the
 score.
 
-Learnt from labelled texts alone: the weights of the lexicon, as lower bounds
-of a word's (or prefix's) log odds between toxic and clean texts, counted
-over all of them, and the logistic coefficients, fitted on a bounded sample
-of at most `sample` labelled texts in the order of their hash. Sums for that
-fit come from a lexicon counted without the text's own quarter (crc32 of its
-doc_id modulo 5), so words known from one text alone don't count as proof.
+Learnt from at most `sample` distinct labelled texts, whole, in the order of
+their hash: the weights of the lexicon, as lower bounds of a word's (or
+prefix's) log odds between toxic and clean texts, and the logistic
+coefficients. Sums for the latter come from a lexicon counted without the
+text's own part (crc32 of its doc_id modulo 5), so that words known from one
+text alone don't count as proof.
 The model has at most `entries` lexicon entries, those of the highest bounds.
 The word lists below are what is known without labels; learnt counts replace
 their weights, and drop those that clean texts use as well.
@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from cinerank.llm.common import columns, drop, prepare, save, small
 
 FOLDS = 5
-SAMPLE = 20_000
+SAMPLE = 20_000             # labelled texts that are learnt from, at most; all texts are scored
 ENTRIES = 50_000
 PREFIX, LONGEST = 4, 12     # lengths of prefixes that are counted
 SUPPORT = 3                 # toxic texts a word needs
@@ -316,9 +316,13 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, entries:
     prepare(spark)
     marks = columns(labels, "doc_id", "toxic").where("doc_id is not null and toxic is not null")
     marks = marks.groupBy("doc_id").agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic"))
-    known = columns(documents, "doc_id", "text").where("doc_id is not null").select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text")).join(marks, "doc_id").select(
-        "text", F.col("toxic").cast("int").alias("toxic"), fold().cast("int").alias("fold"))
+    docs = columns(documents, "doc_id", "text").where("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.withColumn("h", F.xxhash64("text"))
+    # ids and hashes meet the labels; texts are only read again, by at most `sample` rows
+    chosen = docs.select("doc_id", "h").join(marks, "doc_id").groupBy("h").agg(F.min(F.struct("doc_id", "toxic")).alias("one"))
+    chosen, cpath = save(chosen.select("h", "one.doc_id", "one.toxic").orderBy("h").limit(sample), "op12-sample")
+    known = docs.join(F.broadcast(chosen), ["doc_id", "h"]).dropDuplicates(["h"])
+    known, kpath = save(known.select("text", F.col("toxic").cast("int").alias("toxic"), fold().cast("int").alias("fold")), "op12-texts")
     words, wpath = save(known.mapInArrow(_count_words, "word string, fold int, toxic int, n bigint")
                         .groupBy("word", "fold", "toxic").agg(F.sum("n").alias("n")), "op12-words")
     folds = range(FOLDS)
@@ -353,10 +357,8 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, entries:
             text, toxic, part = (b.column(i).to_pylist() for i in range(3))
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array([measure(x, lexica[k]) for x, k in zip(text, part)], pa.list_(pa.float64()))],
                                              names=["toxic", "x"])
-    hashed = known.withColumn("h", F.xxhash64("text"))
-    chosen, cpath = save(hashed.select("h").distinct().orderBy("h").limit(sample), "op12-sample")
-    rows = hashed.join(chosen, "h").dropDuplicates(["h"]).select("text", "toxic", "fold").mapInArrow(sums, "toxic int, x array<double>").collect()
-    drop(spark, cpath)
+    rows = known.mapInArrow(sums, "toxic int, x array<double>").collect()
+    drop(spark, cpath, kpath)
     x = np.array([r["x"] for r in rows]).reshape(len(rows), len(FEATURES))
     return Model(lexicon(None), *_logistic(x, np.array([r["toxic"] for r in rows], dtype=float)))
 
