@@ -1,11 +1,14 @@
 """Command line for the batch and streaming jobs.
 
   python -m cinerank ingest  MOVIES RATINGS TAGS OUT
-  python -m cinerank stats   TABLES OUT [GENRES] (TABLES = ingest OUT; GENRES = text file, one genre a line)
+  python -m cinerank stats   TABLES OUT GENRES   (TABLES = ingest OUT; GENRES = text file, one genre a line)
   python -m cinerank offline TABLES OUT
   python -m cinerank content TABLES OUT
   python -m cinerank tune    TABLES OUT
-  python -m cinerank stream  MESSAGES_DIR SIM_DIR RATINGS_TABLE OUT CHECKPOINT [REJECTS]
+  python -m cinerank stream  MESSAGES SIM_DIR RATINGS_BY_USER OUT CHECKPOINT [REJECTS]
+                             [--recents=history|stream] [--every=2 seconds] [--once]
+                             (MESSAGES = a folder of text files, or kafka://HOST:PORT[,HOST:PORT]/TOPIC;
+                             RATINGS_BY_USER = ingest OUT/ratings_by_user)
   python -m cinerank query   NAME SF_DIR         (any catalogue entry)
 
 The master is left to spark-submit / the launcher. Results are also shown
@@ -26,7 +29,7 @@ def main(argv: list[str]) -> int:
     cmd, args = argv[0], argv[1:]
     spark = build_session()
     from cinerank.plans import jobs
-    from cinerank.sources import fixtures, tables
+    from cinerank.sources import tables
 
     def load(base: str, name: str):
         return tables.load_table(spark, f"{base.rstrip('/')}/{name}")
@@ -35,7 +38,7 @@ def main(argv: list[str]) -> int:
         stored = jobs.ingest_job(spark, *args[:4])
         stored["movies_with_tags"].show(truncate=False)
     elif cmd == "stats":
-        jobs.statistics_job(spark, load(args[0], "movies"), load(args[0], "ratings"), _genres(spark, args[2:]), args[1])
+        jobs.statistics_job(spark, load(args[0], "movies"), load(args[0], "ratings"), _genres(spark, args[2]), args[1])
         load(args[1], "RateMoreMovies").show(truncate=False)
     elif cmd == "offline":
         jobs.offline_job(spark, load(args[0], "ratings"), args[1])
@@ -45,11 +48,7 @@ def main(argv: list[str]) -> int:
     elif cmd == "tune":
         jobs.tuning_job(spark, load(args[0], "ratings"), args[1]).show(truncate=False)
     elif cmd == "stream":
-        from cinerank.streaming.recommender import start_stream_recommender
-        msgs = spark.readStream.schema("value string").text(args[0])
-        q = start_stream_recommender(msgs, args[1], args[2], args[3], checkpoint=args[4],
-                                     rejects_path=args[5] if len(args) > 5 else f"{args[3].rstrip('/')}_rejects")
-        q.awaitTermination()
+        _stream(spark, args)
     elif cmd == "query":
         from cinerank.plans.catalog import queries
         queries()[args[0]](spark, args[1]).show(truncate=False)
@@ -60,12 +59,29 @@ def main(argv: list[str]) -> int:
     return 0
 
 
-def _genres(spark, where: list[str]):
-    """The genre list: a text file of the user's, else the fixtures' words."""
-    if not where:
-        return fixtures.genres(spark)
+def _genres(spark, where: str):
+    """The genre list of a text file."""
     from pyspark.sql import functions as F
-    return spark.read.text(where[0]).select(F.trim("value").alias("genre")).where("genre <> ''").distinct()
+    return spark.read.text(where).select(F.trim("value").alias("genre")).where("genre <> ''").distinct()
+
+
+def messages_of(spark, where: str):
+    """Streaming rating messages from a folder or a Kafka topic."""
+    if where.startswith("kafka://"):
+        from cinerank.streaming.recommender import kafka_messages
+        servers, _, topic = where[len("kafka://"):].partition("/")
+        return kafka_messages(spark, servers, topic)
+    return spark.readStream.schema("value string").text(where)
+
+
+def _stream(spark, args: list[str]) -> None:
+    from cinerank.streaming.recommender import start_stream_recommender
+    options = dict(a[2:].partition("=")[::2] for a in args if a.startswith("--"))
+    source, sim, ratings, out, checkpoint, *more = [a for a in args if not a.startswith("--")]
+    trigger = {"availableNow": True} if "once" in options else {"processingTime": options.get("every", "2 seconds")}
+    start_stream_recommender(messages_of(spark, source), sim, ratings, out, checkpoint=checkpoint, trigger=trigger,
+                             rejects_path=more[0] if more else f"{out.rstrip('/')}_rejects",
+                             recents_from=options.get("recents", "history")).awaitTermination()
 
 
 if __name__ == "__main__":

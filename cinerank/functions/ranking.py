@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cinerank.session import materialize
+
 
 def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int | None,
           rank_col: str = "rank") -> DataFrame:
@@ -44,13 +46,32 @@ def explode_recs(df: DataFrame, key: str, recs: str = "recs", rank: str = "rank"
         F.col("rec.mid").alias("mid"), F.col("rec.score").alias("score"))
 
 
-def sorted_pairs(pairs: DataFrame, key: str = "mid", other: str = "rec_mid",
-                 score: str = "score") -> DataFrame:
-    """Every key's full similarity list in order (score descending, then
-    the other id), with no limit.
+def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], rank_col: str = "rank",
+                size_col: str | None = None) -> DataFrame:
+    """Every row's 1-based place (bigint) in the full order of its key, and
+    optionally the number of the key's rows; keys must not be null.
 
-    A global sort is range-partitioned on (key, score, other), so a key with
-    a very long list is spread over several tasks instead of being sorted in
-    one window partition.
+    No list is ever in one window: rows are sorted by range over (key, order),
+    so a long list spans many tasks, and are written once with their position
+    in their partition. A key's rows of one partition are neighbours, so a
+    row's place is its distance from the first of them plus the sizes of the
+    key's earlier partitions: prefix sums over at most one row a partition.
     """
-    return pairs.orderBy(F.asc(key), F.desc(score), F.asc(other))
+    by = [*[F.asc(k) for k in keys], *order]
+    rows = materialize(df.repartitionByRange(*by).sortWithinPartitions(*by).select(
+        "*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at")), "ranked")
+    runs = rows.groupBy(*keys, "_part").agg(F.min("_at").alias("_from"), F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*keys)
+    runs = runs.select(*keys, "_part", "_from", (F.sum("_n").over(w.orderBy("_part")) - F.col("_n")).alias("_before"),
+                       F.sum("_n").over(w).alias("_size"))
+    ranked = rows.join(runs, [*keys, "_part"]).withColumn(rank_col, F.col("_before") + F.col("_at") - F.col("_from") + 1)
+    if size_col:
+        ranked = ranked.withColumn(size_col, F.col("_size"))
+    return ranked.drop("_part", "_at", "_from", "_before", "_size")
+
+
+def ranked_pairs(pairs: DataFrame, key: str = "mid", other: str = "rec_mid", score: str = "score") -> DataFrame:
+    """Every key's full similarity list with ranks (score descending, then the
+    other id), with no limit."""
+    ranked = rank_within(pairs.select(key, other, score), [key], [F.desc(score), F.asc(other)])
+    return ranked.select(key, "rank", other, score)

@@ -14,19 +14,21 @@ queries and the streaming `foreachBatch` alike.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinerank.functions.columns import log10_at_least_one, round6
 from cinerank.functions.ranking import top_n
-from cinerank.operators.simindex import as_sim
+from cinerank.operators.simindex import as_sim, sim_order
+from cinerank.operators.skew import skew_join
+from cinerank.session import materialize
 
 MAX_USER_RATINGS = 20
 MAX_SIM_MOVIES = 20
 SCORE_SIM_MIN = 0.7
 LIKE_ABOVE = 3.0
-# A user with more candidate rows than this is split into salted parts.
-HOT_USER_ROWS = 1_000_000
 
 
 def recent_ratings(ratings: DataFrame, k: int = MAX_USER_RATINGS) -> DataFrame:
@@ -52,89 +54,79 @@ def latest_event_per_user(events: DataFrame) -> DataFrame:
 
 
 def candidate_movies(requests: DataFrame, sim, rated: DataFrame,
-                     n: int = MAX_SIM_MOVIES) -> DataFrame:
+                     n: int = MAX_SIM_MOVIES, with_keys: bool = False) -> DataFrame:
     """(uid, mid, rank, rec_mid, score): for each requested (uid, mid), the n
     items most similar to mid that uid has not rated (rated items are removed
     before the top-n is taken). An unknown mid yields no candidates.
 
-    Exact bounded fetch: a user with s rated items can hide at most s partners,
-    so the n best unseen partners are among the first n + s partners of mid
-    (fewer if mid has fewer). Only those ranks are fetched, by an equi-join
-    on (mid, partner rank), instead of every partner of mid for every
-    request; a heavy user still gets exactly as many rows as needed.
-    `sim` is a pair table or a `PairSim`/`ProfileSim`.
+    Partner lists are read in segments. The first round joins every request
+    with the first segment of its item's list; only requests that then have
+    fewer than n unseen partners, while their list goes on, read the next
+    segments, each time twice as many. A request thus reads about as far as
+    its user's rated items force it to, and rounds grow with the logarithm of
+    that. Requests for a hot item are split by `skew_join`.
+    `sim` is a pair table or a `PairSim`/`ProfileSim`. `with_keys` adds the
+    candidate's key in `sim` (rec_key) and the raw similarity.
     """
     sim = as_sim(sim)
-    req = requests.select("uid", "mid").distinct()
-    partners = sim.for_mids(req)
-    # only what the requesting users have rated is counted and shuffled
-    rated = rated.select("uid", "mid").join(req.select("uid").distinct(), "uid", "left_semi").distinct()
-    n_seen = rated.groupBy("uid").agg(F.count(F.lit(1)).alias("n_seen"))
-    n_partners = partners.groupBy("mid").agg(F.count(F.lit(1)).alias("n_partners"))
-    bounded = (req.join(n_seen, "uid", "left").join(n_partners, "mid")
-               .select("uid", "mid", F.least(F.lit(n) + F.coalesce(F.col("n_seen"), F.lit(0)),
-                                             F.col("n_partners")).cast("int").alias("bound")))
-    k_max = bounded.agg(F.max("bound")).first()[0] or 0
-    ranked = top_n(partners, ["mid"], [F.desc("score"), F.asc("rec_mid")], int(k_max), "prank")
-    fetch = bounded.select("uid", "mid", F.explode(F.sequence(F.lit(1), F.col("bound"))).alias("prank"))
-    c = fetch.join(ranked, ["mid", "prank"]).select("uid", "mid", "rec_mid", "score")
-    seen = rated.select("uid", F.col("mid").alias("rec_mid"))
-    c = c.join(seen, ["uid", "rec_mid"], "left_anti")
-    out = top_n(c, ["uid", "mid"], [F.desc("score"), F.asc("rec_mid")], n)
-    return out.select("uid", "mid", "rank", "rec_mid", "score")
-
-
-def hot_users(requests: DataFrame, n: int = MAX_SIM_MOVIES, hot_user_rows: int = HOT_USER_ROWS) -> DataFrame:
-    """(uid, _salts) for users whose candidate rows can exceed `hot_user_rows`.
-
-    A user with q distinct requests has at most n * q candidate rows, so
-    salts = ceil(n * q / hot_user_rows) is always enough. The table has at
-    most (n * requests / hot_user_rows) rows, a bound that makes it safe to
-    broadcast; it is computed from the requests, not from the candidates.
-    """
-    q = requests.select("uid", "mid").distinct().groupBy("uid").agg(F.count(F.lit(1)).alias("_q"))
-    rows = F.col("_q") * F.lit(int(n))
-    return q.where(rows > F.lit(int(hot_user_rows))).select(
-        "uid", F.ceil(rows / F.lit(int(hot_user_rows))).cast("int").alias("_salts"))
+    asked = requests.select("uid", "mid").where("uid is not null and mid is not null").distinct()
+    req = materialize(sim.tag(materialize(asked, "asked"), "mid", "key").select("uid", "mid", "key"), "requests")
+    # only what the requesting users have rated is shuffled
+    seen = rated.select("uid", F.col("mid").alias("rec_mid")).join(req.select("uid").distinct(), "uid", "left_semi").distinct()
+    seen = materialize(seen, "seen")
+    lists = sim.postings(req.select("key"))
+    lengths = lists.groupBy("key").agg(F.first("n_seg").alias("n_seg"))
+    by = [sim_order(), F.asc("rec_mid")]
+    rounds, short, first, width = [], req, 0, 1
+    while True:
+        part = lists.where((F.col("seg") >= first) & (F.col("seg") < first + width)).select("key", "partners")
+        got = skew_join(short, part, "key", sim.split_rows, right_hot=False).select("uid", "mid", F.explode("partners").alias("p")).select("uid", "mid", "p.*")
+        got = got.where("mid <> rec_mid").join(seen, ["uid", "rec_mid"], "left_anti")
+        got = top_n(got.drop("rank"), ["uid", "mid"], by, n)
+        rounds.append(materialize(got.select("uid", "mid", "rec_mid", "rec_key", "sim", "score"), "candidates"))
+        first, width = first + width, 2 * width
+        found = reduce(DataFrame.unionByName, rounds)
+        have = found.groupBy("uid", "mid").agg(F.count(F.lit(1)).alias("_have"))
+        going = lengths.where(F.col("n_seg") > first).select("key")
+        short = skew_join(req, going, "key", sim.split_rows, right_hot=False).join(have, ["uid", "mid"], "left")
+        short = materialize(short.where(F.coalesce("_have", F.lit(0)) < n).select("uid", "mid", "key"), "short")
+        if short.isEmpty():
+            break
+    out = top_n(found, ["uid", "mid"], by, n)
+    return out.select("uid", "mid", "rank", "rec_mid", "score", *(["rec_key", "sim"] if with_keys else []))
 
 
 def stream_scores(candidates: DataFrame, recents: DataFrame, sim,
-                  min_sim: float = SCORE_SIM_MIN, like_above: float = LIKE_ABOVE,
-                  hot: DataFrame | None = None) -> DataFrame:
+                  min_sim: float = SCORE_SIM_MIN, like_above: float = LIKE_ABOVE) -> DataFrame:
     """(uid, mid, rec_mid, score): priority of every candidate of a request.
 
-    Each candidate meets at most k recent ratings of its user (bounded fan
-    out); the similarity of each (candidate, recent item) pair is then
-    looked up. A missing pair means similarity 0, which the gate drops, so
-    the lookup is an inner join. A candidate with no qualifying recent
-    rating gets no score.
-
-    Hot users (`hot`, from `hot_users`): their candidate rows are hashed
-    over their salts and their (at most k) recent ratings are copied to
-    each salt, so no single task joins a hot user's rows. The hot-user table
-    is bounded (see `hot_users`) and broadcast; every other user keeps one
-    salt. Without `hot` (one request per user, as in `stream_recs`) no
-    user can be hot and the join is on the user alone.
+    The score of a candidate depends on its user, not on the item asked for,
+    and its similarities on its key (profile). So each user's distinct
+    candidate keys meet the user's at most k recent ratings, the similarity
+    of each pair of keys is looked up once, and what passes the gate on the
+    raw similarity is joined back to the candidates. A missing pair means
+    similarity 0, which the gate drops, so the lookup is an inner join. A
+    candidate with no qualifying recent rating gets no score. A user with
+    very many candidates is split by `skew_join`.
     """
     sim = as_sim(sim)
-    c = candidates.select("uid", "mid", "rec_mid")
-    r = recents.select("uid", F.col("mid").alias("r_mid"), F.col("score").alias("r_score"))
-    on = "uid"
-    if hot is not None:
-        hb = F.broadcast(hot.select("uid", "_salts"))
-        salts = F.coalesce(F.col("_salts"), F.lit(1))
-        c = c.join(hb, "uid", "left").select(
-            "uid", "mid", "rec_mid", F.pmod(F.xxhash64("mid", "rec_mid"), salts).cast("int").alias("_salt"))
-        r = r.join(hb, "uid", "left").select(
-            "uid", "r_mid", "r_score", F.explode(F.sequence(F.lit(0), salts - 1)).alias("_salt"))
-        on = ["uid", "_salt"]
-    j = sim.pair_join(c, r, on, "rec_mid", "r_mid", "sim").where(F.col("sim") >= F.lit(float(min_sim)))
-    agg = j.groupBy("uid", "mid", "rec_mid").agg(
+    c = candidates if "rec_key" in candidates.columns else sim.tag(candidates.select("uid", "mid", "rec_mid"), "rec_mid", "rec_key")
+    c = materialize(c.select("uid", "mid", "rec_mid", "rec_key"), "keyed-candidates")
+    r = materialize(recents.select("uid", F.col("mid").alias("r_mid"), F.col("score").alias("r_score")), "recents")
+    r = sim.tag(r, "r_mid", "r_key")
+    keys = c.select("uid", "rec_key").distinct()
+    # a user has at most k recent ratings: only the candidates' side can be hot
+    near = sim.pair_lookup(skew_join(keys, r, "uid", sim.split_rows, right_hot=False), "rec_key", "r_key", "sim")
+    near = near.where(F.col("sim") >= F.lit(float(min_sim))).select("uid", "rec_key", "r_mid", "r_score", "sim")
+    each = c.select("uid", "rec_mid", "rec_key").distinct()
+    j = skew_join(each, near, ["uid", "rec_key"], sim.split_rows, right_hot=False).where(F.col("rec_mid") != F.col("r_mid"))
+    agg = j.groupBy("uid", "rec_mid").agg(
         F.avg(F.col("sim") * F.col("r_score")).alias("base"),
         F.count_if(F.col("r_score") > F.lit(like_above)).alias("incr"),
         F.count_if(F.col("r_score") <= F.lit(like_above)).alias("decr"))
     score = F.col("base") + log10_at_least_one("incr") - log10_at_least_one("decr")
-    return agg.select("uid", "mid", "rec_mid", round6(score).alias("score"))
+    scored = agg.select("uid", "rec_mid", round6(score).alias("score"))
+    return c.select("uid", "mid", "rec_mid").join(scored, ["uid", "rec_mid"]).select("uid", "mid", "rec_mid", "score")
 
 
 def stream_recs(events: DataFrame, sim, ratings: DataFrame,
@@ -147,10 +139,9 @@ def stream_recs(events: DataFrame, sim, ratings: DataFrame,
     """
     latest = latest_event_per_user(events).select("uid", "mid")
     users = latest.select("uid")
-    cands = candidate_movies(latest, sim, ratings, n_candidates)
+    cands = candidate_movies(latest, sim, ratings, n_candidates, with_keys=True)
     history = ratings.join(users, "uid", "left_semi")
     recents = recent_ratings(history, k_recent)
-    # one request per user: at most n_candidates rows each, never a hot user
     scores = stream_scores(cands, recents, sim)
     ranked = top_n(scores, ["uid"], [F.desc("score"), F.asc("rec_mid")], None)
     return users.join(ranked.select("uid", "rank", F.col("rec_mid").alias("mid"), "score"), "uid", "left")

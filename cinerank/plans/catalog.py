@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cinerank.functions.columns import register_sql_functions
+from cinerank.functions.ranking import ranked_pairs
 from cinerank.operators import content, lfm, realtime, stats
 from cinerank.sources import fixtures as fx
 
@@ -86,6 +87,11 @@ def q_embedding_movie_recs(spark, d):
     return lfm.lfm_movie_recs(fx.item_factors(spark, d), threshold=EMBEDDING_THRESHOLD)
 
 
+def q_embedding_movie_recs_ranked(spark, d):
+    """Every item's full list of similar items in order, with ranks."""
+    return ranked_pairs(q_embedding_movie_recs(spark, d))
+
+
 def q_candidate_movies(spark, d):
     live = fx.live_ratings(spark, d)
     return realtime.candidate_movies(live, _content_sim(spark, d), fx.ratings(spark, d))
@@ -95,10 +101,9 @@ def q_stream_scores(spark, d):
     live = fx.live_ratings(spark, d)
     ratings = fx.ratings(spark, d)
     sim = _content_sim(spark, d)
-    cands = realtime.candidate_movies(live, sim, ratings)
+    cands = realtime.candidate_movies(live, sim, ratings, with_keys=True)
     recents = realtime.recent_ratings(ratings.join(live.select("uid"), "uid", "left_semi"))
-    # many events per user here: users with very many requests are salted
-    return realtime.stream_scores(cands, recents, sim, hot=realtime.hot_users(live))
+    return realtime.stream_scores(cands, recents, sim)
 
 
 def q_stream_recs_batch(spark, d):
@@ -129,9 +134,10 @@ def q_stream_recommender_available_now(spark, d):
 
 
 def q_stream_recommender_stateful(spark, d):
-    """The streaming recommender with recent ratings kept as keyed state."""
+    """The streaming recommender with recent ratings kept as keyed state, over
+    three restarts from its checkpoint."""
     from cinerank.streaming.recommender import run_available_now_over_fixture
-    return run_available_now_over_fixture(spark, d, recents_from="stream")
+    return run_available_now_over_fixture(spark, d, recents_from="stream", parts=3)
 
 
 def q_ingest_roundtrip(spark, d):
@@ -156,6 +162,7 @@ def queries() -> dict[str, Query]:
         "content_movie_recs": q_content_movie_recs,
         "content_movie_recs_ml": q_content_movie_recs_ml,
         "embedding_movie_recs": q_embedding_movie_recs,
+        "embedding_movie_recs_ranked": q_embedding_movie_recs_ranked,
         "candidate_movies": q_candidate_movies,
         "stream_scores": q_stream_scores,
         "stream_recs_batch": q_stream_recs_batch,

@@ -11,48 +11,55 @@ persisted, as functions over DataFrames and table paths.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cinerank.functions.columns import round6
-from cinerank.functions.ranking import nest_recs
+from cinerank.functions.ranking import nest_recs, ranked_pairs
 from cinerank.operators import content, lfm, stats
 from cinerank.operators.simindex import PairSim
 from cinerank.session import scratch_path
 from cinerank.sources import fixtures as fx
 from cinerank.sources import tables, text
+from cinerank.streaming.recommender import FIXTURE_BUCKETS, HISTORY_BUCKETS
 
 
 def ingest_job(spark: SparkSession, movies_path: str, ratings_path: str, tags_path: str,
-               out_dir: str) -> dict[str, DataFrame]:
+               out_dir: str, history_buckets: int = HISTORY_BUCKETS) -> dict[str, DataFrame]:
     """Load the three native files and store them as tables.
 
     The original's five ascending indexes (Movie.mid, Rating.uid, Rating.mid,
-    Tag.uid, Tag.mid) become range-clustered files: ratings and tags sorted
-    by (uid, mid), movies by mid. Malformed lines are written to
+    Tag.uid, Tag.mid) become layouts: movies clustered by mid; ratings and
+    tags clustered by (uid, mid), and a second copy of each by (mid, uid) in
+    `ratings_by_item` and `tags_by_item`, so that a filter on either key skips
+    row groups; and the rating history in hash buckets of uid under
+    `ratings_by_user`, which the stream prunes. Malformed lines are written to
     `<table>_rejects` instead of failing the load.
+
+    Each input is parsed once, into a table of parsed and rejected lines
+    below the shared folder that is removed at the end.
     """
     out = out_dir.rstrip("/")
-    # each input is read once: the lines stay cached while both the parsed
-    # table and its rejects are written, and are released afterwards
-    lines = {n: spark.read.text(p).persist(StorageLevel.MEMORY_AND_DISK)
-             for n, p in (("movies", movies_path), ("ratings", ratings_path), ("tags", tags_path))}
-    try:
-        movies, movies_bad = text.parse_movies(lines["movies"])
-        ratings, ratings_bad = text.parse_ratings(lines["ratings"])
-        tags, tags_bad = text.parse_tags(lines["tags"])
-        tables.save_table(movies, f"{out}/movies", sort_by=["mid"])
-        tables.save_table(ratings, f"{out}/ratings", sort_by=["uid", "mid"])
-        tables.save_table(tags, f"{out}/tags", sort_by=["uid", "mid"])
-        for name, bad in (("movies", movies_bad), ("ratings", ratings_bad), ("tags", tags_bad)):
-            tables.save_table(bad, f"{out}/{name}_rejects")
-    finally:
-        for df in lines.values():
-            df.unpersist()
-    stored = {n: tables.load_table(spark, f"{out}/{n}") for n in ("movies", "ratings", "tags")}
+    stored, scratch = {}, []
+    sorted_by = {"movies": ["mid"], "ratings": ["uid", "mid"], "tags": ["uid", "mid"]}
+    sources = {"movies": (movies_path, text.parse_movies), "ratings": (ratings_path, text.parse_ratings), "tags": (tags_path, text.parse_tags)}
+    for name, (path, parse) in sources.items():
+        good, bad = parse(spark.read.text(path))
+        both = good.withColumn("_ok", F.lit(True)).unionByName(bad.withColumn("_ok", F.lit(False)), allowMissingColumns=True)
+        where = scratch_path(spark, f"parsed-{name}")
+        both.write.partitionBy("_ok").parquet(where)
+        scratch.append(where)
+        both = spark.read.schema(both.schema).parquet(where)
+        tables.save_table(both.where("_ok").select(*good.columns), f"{out}/{name}", sort_by=sorted_by[name])
+        tables.save_table(both.where("not _ok").select(*bad.columns), f"{out}/{name}_rejects")
+        stored[name] = tables.load_table(spark, f"{out}/{name}")
+        if name != "movies":
+            tables.save_table(stored[name], f"{out}/{name}_by_item", sort_by=["mid", "uid"])
+    tables.save_by_key(stored["ratings"], f"{out}/ratings_by_user", "uid", history_buckets)
     tables.save_table(stats.movies_with_tags(stored["movies"], stored["tags"]),
                       f"{out}/movies_with_tags", sort_by=["mid"])
     stored["movies_with_tags"] = tables.load_table(spark, f"{out}/movies_with_tags")
+    tables.remove(spark, *scratch)
     return stored
 
 
@@ -63,7 +70,8 @@ def ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     text.render_movies(fx.movies(spark, sf_dir)).write.text(f"{base}/in/movies")
     text.render_ratings(fx.ratings(spark, sf_dir)).write.text(f"{base}/in/ratings")
     text.render_tags(fx.tags(spark, sf_dir)).write.text(f"{base}/in/tags")
-    stored = ingest_job(spark, f"{base}/in/movies", f"{base}/in/ratings", f"{base}/in/tags", f"{base}/out")
+    stored = ingest_job(spark, f"{base}/in/movies", f"{base}/in/ratings", f"{base}/in/tags", f"{base}/out",
+                        FIXTURE_BUCKETS)
     return stored["movies_with_tags"]
 
 
@@ -85,7 +93,11 @@ def offline_job(spark: SparkSession, ratings: DataFrame, out_dir: str, threshold
     model = lfm.train_als(ratings)
     # UserRecs(uid, recs): at most 20 entries per user, nested as stored originally
     tables.save_table(nest_recs(lfm.user_recs(model), "uid"), f"{out}/UserRecs", sort_by=["uid"])
-    PairSim(lfm.lfm_movie_recs(lfm.item_factors(model), threshold)).save(f"{out}/MovieRecs")
+    pairs = lfm.lfm_movie_recs(lfm.item_factors(model), threshold, with_raw=True)
+    PairSim(pairs).save(f"{out}/MovieRecs")
+    # the lists themselves, in order
+    stored = tables.load_table(ratings.sparkSession, f"{out}/MovieRecs/pairs")
+    tables.save_table(ranked_pairs(stored), f"{out}/MovieRecsRanked", sort_by=["mid", "rank"])
 
 
 def content_job(spark: SparkSession, movies: DataFrame, out_dir: str) -> None:

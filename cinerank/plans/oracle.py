@@ -64,7 +64,7 @@ dots AS (
   SELECT a.mid AS mid, b.mid AS rec_mid, sum(a.weight * b.weight) AS dot
   FROM w a JOIN w b ON a.bucket = b.bucket AND a.mid <> b.mid GROUP BY 1, 2),
 sim AS (
-  SELECT mid, rec_mid, {_r6("raw")} AS score FROM (
+  SELECT mid, rec_mid, raw AS sim, {_r6("raw")} AS score FROM (
     SELECT d.mid, d.rec_mid, d.dot / (na.norm * nb.norm) AS raw
     FROM dots d JOIN norms na ON d.mid = na.mid JOIN norms nb ON d.rec_mid = nb.mid
     WHERE na.norm > 0 AND nb.norm > 0)
@@ -79,7 +79,7 @@ _CANDIDATES = """req AS (SELECT DISTINCT uid, mid FROM reqsrc),
 cand AS (
   SELECT uid, mid, rank, rec_mid, score FROM (
     SELECT r.uid, r.mid, s.rec_mid, s.score,
-           CAST(row_number() OVER (PARTITION BY r.uid, r.mid ORDER BY s.score DESC, s.rec_mid) AS INTEGER) AS rank
+           CAST(row_number() OVER (PARTITION BY r.uid, r.mid ORDER BY round(s.sim, 9) DESC, s.rec_mid) AS INTEGER) AS rank
     FROM req r JOIN sim s ON r.mid = s.mid
     WHERE NOT EXISTS (SELECT 1 FROM ratings x WHERE x.uid = r.uid AND x.mid = s.rec_mid))
   WHERE rank <= 20)"""
@@ -96,10 +96,10 @@ _SCORES = """scores AS (
          """ + _r6("""avg(sim * r_score) + log10(greatest(count_if(r_score > 3), 1))
                - log10(greatest(count_if(r_score <= 3), 1))""") + """ AS score
   FROM (
-    SELECT c.uid, c.mid, c.rec_mid, r.score AS r_score, s.score AS sim
+    SELECT c.uid, c.mid, c.rec_mid, r.score AS r_score, s.sim
     FROM cand c JOIN recents r ON c.uid = r.uid
     JOIN sim s ON s.mid = c.rec_mid AND s.rec_mid = r.mid
-    WHERE s.score >= CAST(0.7 AS DOUBLE))
+    WHERE s.sim >= CAST(0.7 AS DOUBLE))
   GROUP BY uid, mid, rec_mid)"""
 
 
@@ -139,6 +139,8 @@ SELECT mid, rec_mid, """ + _r6("raw") + """ AS score FROM (
   SELECT a.mid, b.mid AS rec_mid, list_dot_product(a.v, b.v) / (a.norm * b.norm) AS raw
   FROM n a JOIN n b ON a.mid <> b.mid WHERE a.norm > 0 AND b.norm > 0)
 WHERE raw >= CAST(0.3 AS DOUBLE)"""
+    q["embedding_movie_recs_ranked"] = f"""SELECT mid, row_number() OVER (PARTITION BY mid ORDER BY score DESC, rec_mid) AS rank, rec_mid, score
+FROM ({q["embedding_movie_recs"]})"""
     chain = [_RATINGS, _MOVIES, _LIVE, _content_sim()]
     q["candidate_movies"] = _with(*chain, "reqsrc AS (SELECT uid, mid FROM live)", _CANDIDATES) + \
         "SELECT uid, mid, rank, rec_mid, score FROM cand"

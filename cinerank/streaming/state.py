@@ -23,22 +23,25 @@ OUTPUT_SCHEMA = ("uid bigint, mid bigint, score double, ts bigint, "
                  "recents array<struct<mid:bigint,score:double,ts:bigint>>")
 
 
+def _newest(rows: list, k: int) -> list:
+    # newest first; equal timestamps by mid ascending, score descending
+    return sorted(rows, key=lambda t: (-t[2], t[0], -t[1]))[:k]
+
+
 def _update_fn(k: int):
     def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(pdfs), ignore_index=True)
-        old = []
-        if state.exists:
-            old = [(int(r[0]), float(r[1]), int(r[2])) for r in state.get[0]]
-        rows = old + list(zip(new["mid"].astype("int64"), new["score"].astype("float64"),
-                              new["ts"].astype("int64")))
-        # newest first; equal timestamps by mid ascending, score descending
-        rows.sort(key=lambda t: (-t[2], t[0], -t[1]))
-        keep = [(int(m), float(s), int(t)) for m, s, t in rows[:k]]
+        keep = [(int(r[0]), float(r[1]), int(r[2])) for r in state.get[0]] if state.exists else []
+        last = None
+        # a user's rows come in chunks; only K of them are held on to
+        for new in pdfs:
+            rows = list(zip(new["mid"].tolist(), new["score"].tolist(), new["ts"].tolist()))
+            keep = _newest(keep + rows, k)
+            top = max((t, m, s) for m, s, t in rows)
+            last = top if last is None else max(last, top)
         state.update((keep,))
-        last = new.sort_values(["ts", "mid", "score"], ascending=False).iloc[0]
+        ts, mid, score = last
         yield pd.DataFrame({
-            "uid": [int(key[0])], "mid": [int(last["mid"])], "score": [float(last["score"])],
-            "ts": [int(last["ts"])],
+            "uid": [int(key[0])], "mid": [int(mid)], "score": [float(score)], "ts": [int(ts)],
             "recents": [[{"mid": m, "score": s, "ts": t} for m, s, t in keep]],
         })
     return fn

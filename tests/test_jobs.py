@@ -16,7 +16,7 @@ def test_jobs_end_to_end(spark):
     text.render_movies(fx.movies(spark, SF_SMALL)).write.text(f"{base}/in/movies")
     text.render_ratings(fx.ratings(spark, SF_SMALL)).write.text(f"{base}/in/ratings")
     text.render_tags(fx.tags(spark, SF_SMALL)).write.text(f"{base}/in/tags")
-    stored = jobs.ingest_job(spark, f"{base}/in/movies", f"{base}/in/ratings", f"{base}/in/tags", f"{base}/tables")
+    stored = jobs.ingest_job(spark, f"{base}/in/movies", f"{base}/in/ratings", f"{base}/in/tags", f"{base}/tables", 8)
     assert stored["ratings"].count() == fx.ratings(spark, SF_SMALL).count()
     assert tables.load_table(spark, f"{base}/tables/ratings_rejects").count() == 0
 
@@ -30,12 +30,18 @@ def test_jobs_end_to_end(spark):
     user_recs = tables.load_table(spark, f"{base}/recs/UserRecs")
     assert user_recs.columns == ["uid", "recs"] and user_recs.where(F.size("recs") > 20).count() == 0
 
+    ranked = tables.load_table(spark, f"{base}/recs/MovieRecsRanked")
+    assert ranked.columns == ["mid", "rank", "rec_mid", "score"]
+    assert ranked.groupBy("mid").agg((F.max("rank") - F.count("rank")).alias("d")).where("d <> 0").count() == 0
+    by_item = tables.load_table(spark, f"{base}/tables/ratings_by_item")
+    assert by_item.count() == stored["ratings"].count()
+
     # stream against the content similarity written by the content job
     live = fx.live_ratings(spark, SF_SMALL)
     text.render_rating_messages(live).write.text(f"{base}/msgs")
     q = R.start_stream_recommender(spark.readStream.schema("value string").text(f"{base}/msgs"),
-                                   f"{base}/recs/ContentMovieRecs", f"{base}/tables/ratings", f"{base}/out",
-                                   checkpoint=f"{base}/ckpt", trigger={"availableNow": True})
+                                   f"{base}/recs/ContentMovieRecs", f"{base}/tables/ratings_by_user", f"{base}/out",
+                                   checkpoint=f"{base}/ckpt", trigger={"availableNow": True}, history_buckets=8)
     q.awaitTermination()
     out = R.stream_recs_long(spark, f"{base}/out")
     assert out.select("uid").distinct().count() == live.select("uid").distinct().count()

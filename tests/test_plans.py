@@ -30,3 +30,61 @@ def test_no_cartesian_products(spark):
     for name in ["content_movie_recs", "candidate_movies", "stream_scores", "genres_top_movies", "user_recs_als"]:
         p = _plan(catalog.queries()[name](spark, SF_SMALL))
         assert "CartesianProduct" not in p, name
+
+
+def test_history_of_a_batch_prunes_buckets(spark):
+    from cinerank.session import scratch_path
+    from cinerank.sources import fixtures as fx
+    from cinerank.sources import tables
+    from cinerank.streaming.recommender import history_of
+    path = scratch_path(spark, "test-history")
+    ratings = fx.ratings(spark, SF_SMALL)
+    tables.save_by_key(ratings, path, "uid", 16)
+    one = ratings.select("uid").limit(1).collect()[0].uid
+    users = spark.createDataFrame([(one,)], "uid bigint")
+    got = history_of(spark, path, users, 16)
+    rows = got.collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, ratings.where(f"uid = {one}").collect()))
+    plan = _plan(got)
+    assert "dynamicpruning" in plan.lower()
+
+    def scans(node, found):
+        if node.nodeName().startswith("Scan parquet") and node.metrics().contains("numPartitions"):
+            found.append(node.metrics().apply("numPartitions").value())
+        kids = node.children()
+        for i in range(kids.size()):
+            scans(kids.apply(i), found)
+        if node.nodeName() == "AdaptiveSparkPlan":
+            scans(node.executedPlan(), found)
+        if "QueryStage" in node.nodeName():
+            scans(node.plan(), found)
+        return found
+    assert 1 in scans(got._jdf.queryExecution().executedPlan(), [])     # one of 16 buckets was opened
+
+
+def test_second_layout_skips_row_groups(spark):
+    from cinerank.session import scratch_path
+    from cinerank.sources import tables
+    base = scratch_path(spark, "test-layout")
+    df = spark.range(60000).selectExpr("id % 500 AS uid", "(id * 7919) % 997 AS mid", "id AS ts")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.save_table(df, f"{base}/by_user", sort_by=["uid", "mid"])
+        tables.save_table(df, f"{base}/by_item", sort_by=["mid", "uid"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+    def groups(path):
+        """Row groups whose statistics admit the item."""
+        import pyarrow.parquet as pq
+        hit = total = 0
+        for f in spark.read.parquet(path).inputFiles():
+            meta = pq.ParquetFile(f[len("file:"):].replace("//", "/")).metadata
+            at = meta.schema.to_arrow_schema().get_field_index("mid")
+            for g in range(meta.num_row_groups):
+                st = meta.row_group(g).column(at).statistics
+                total += 1
+                hit += st.min <= 123 <= st.max
+        return hit, total
+    by_user, by_item = groups(f"{base}/by_user"), groups(f"{base}/by_item")
+    assert by_item[0] == 1 and by_user[0] == by_user[1] > 1

@@ -72,19 +72,40 @@ def test_hot_user_and_hot_item(spark):
         assert [(m, s) for _, m, s in sorted(got[u])] == want[u], u
 
 
-def test_hot_user_salting_equals_plain(spark):
-    rnd = random.Random(5)
-    sim_rows = [(a, b, round(0.6 + 0.4 * rnd.random(), 3)) for a in range(30) for b in range(30) if a != b]
-    sim = spark.createDataFrame(sim_rows, "mid bigint, rec_mid bigint, score double")
-    cands = spark.createDataFrame(
-        [(0 if i % 2 else rnd.randrange(1, 6), rnd.randrange(30), 1, rnd.randrange(30), 0.9) for i in range(400)],
-        "uid bigint, mid bigint, rank int, rec_mid bigint, score double").dropDuplicates(["uid", "mid", "rec_mid"])
-    rec = spark.createDataFrame([(u, i + 1, rnd.randrange(30), float(rnd.randrange(1, 11)) / 2, 0)
-                                 for u in range(6) for i in range(8)],
-                                "uid bigint, rank int, mid bigint, score double, ts bigint")
-    plain = sorted(map(tuple, realtime.stream_scores(cands, rec, sim).collect()))
-    hot = realtime.hot_users(cands, n=20, hot_user_rows=20)
-    assert hot.where("uid = 0").count() == 1
-    salted = realtime.stream_scores(cands, rec, sim, hot=hot)
-    assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
-    assert sorted(map(tuple, salted.collect())) == plain and len(plain) > 0
+def test_skew_join_splits_both_sides(spark):
+    from pyspark.sql import functions as F
+
+    from cinerank.operators.skew import skew_join
+    left = spark.range(600).selectExpr("if(id < 300, 7, id) AS k", "id AS a")
+    right = spark.range(400).selectExpr("if(id < 90, 7, id + 250) AS k", "id AS b")
+    plain = sorted(map(tuple, left.join(right, "k").select("k", "a", "b").collect()))
+    for how in ({}, {"right_hot": False}):
+        j = skew_join(left, right, "k", split_rows=30, **how)
+        assert j.columns == ["k", "a", "b"]
+        assert sorted(map(tuple, j.collect())) == plain
+    # the cells of the hot key: 10 x 3, none of them more than a small part of its 27,000 pairs
+    grid = skew_join(left, right.withColumn("_p", F.lit(0)), "k", split_rows=30)
+    plan = grid._jdf.queryExecution().optimizedPlan().toString()
+    assert "_lparts" in plan and "_rparts" in plan
+    sizes = {}
+    key = "spark.sql.adaptive.enabled"
+    spark.conf.set(key, "false")
+    try:
+        for r in grid.groupBy(F.spark_partition_id().alias("p")).count().collect():
+            sizes[r.p] = r["count"]
+    finally:
+        spark.conf.set(key, "true")
+    assert max(sizes.values()) < 0.5 * len(plain)
+
+
+def test_a_third_of_the_requests_on_one_item(spark):
+    from pyspark.sql import functions as F
+
+    from cinerank.operators.simindex import PairSim
+    sim = PairSim(spark.range(900).selectExpr("id % 30 AS mid", "id AS rec_mid", "1 - id / 2000D AS score"), split_rows=50)
+    req = spark.range(1500).selectExpr("id AS uid", "if(id % 3 = 0, 7, id % 30) AS mid")
+    rated = spark.range(1500).selectExpr("id AS uid", "id % 900 AS mid")
+    got = realtime.candidate_movies(req, sim, rated)
+    wide = PairSim(sim.table)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, realtime.candidate_movies(req, wide, rated).collect()))
+    assert got.groupBy("uid", "mid").agg(F.max("rank").alias("n")).agg(F.min("n")).first()[0] == 20

@@ -15,8 +15,9 @@ from tests.helpers import canon, rows_of
 def _setup(spark, sim_rows, hist_rows):
     base = scratch_path(spark, "test-stream")
     sim = spark.createDataFrame(sim_rows, "mid bigint, rec_mid bigint, score double")
-    PairSim(sim).save(f"{base}/sim")
-    spark.createDataFrame(hist_rows, "uid bigint, mid bigint, score double, ts bigint").write.parquet(f"{base}/ratings")
+    PairSim(sim).save(f"{base}/sim", 4)
+    hist = spark.createDataFrame(hist_rows, "uid bigint, mid bigint, score double, ts bigint")
+    tables.save_by_key(hist, f"{base}/ratings", "uid", 4)
     return base
 
 
@@ -24,7 +25,8 @@ def _run(spark, base, files, recents_from="history", ckpt="ckpt"):
     q = R.start_stream_recommender(spark.readStream.schema("value string").text(f"{base}/in/*"),
                                    f"{base}/sim", f"{base}/ratings", f"{base}/out",
                                    checkpoint=f"{base}/{ckpt}", trigger={"availableNow": True},
-                                   rejects_path=f"{base}/rejects", recents_from=recents_from)
+                                   rejects_path=f"{base}/rejects", recents_from=recents_from,
+                                   history_buckets=4, sim_buckets=4)
     q.awaitTermination()
     return q
 
@@ -62,31 +64,87 @@ def test_restart_replay_and_latest_wins(spark):
     assert state[7] == [(3, 4.0)] and 8 in state
 
 
-def test_replayed_batch_id_is_idempotent(spark):
+def _rows(spark, path):
+    return dict(map(tuple, tables.read_upserted(spark, path, "uid", 4).collect()))
+
+
+def test_upsert_rewrites_touched_buckets_only(spark):
     base = scratch_path(spark, "test-upsert")
-    df = spark.createDataFrame([(1, 5), (2, 6)], "uid bigint, v int")
-    tables.upsert_by_key(df, base, 0)
-    tables.upsert_by_key(df, base, 0)
-    tables.upsert_by_key(spark.createDataFrame([(1, 7)], "uid bigint, v int"), base, 1)
-    got = sorted(map(tuple, tables.read_upserted(spark, base, "uid").collect()))
-    assert got == [(1, 7), (2, 6)]
-
-
-def test_compaction_keeps_state(spark):
-    base = scratch_path(spark, "test-compact")
-    for b in range(5):
-        rows = [(u, b * 10 + u) for u in range(b, b + 3)]
-        tables.upsert_by_key(spark.createDataFrame(rows, "uid bigint, v bigint"), base, b)
-        if b == 2:
-            before = sorted(map(tuple, tables.read_upserted(spark, base, "uid").collect()))
-            tables.compact_upserted(spark, base, "uid", 2)
-            assert sorted(map(tuple, tables.read_upserted(spark, base, "uid").collect())) == before
-    got = dict(map(tuple, tables.read_upserted(spark, base, "uid").collect()))
-    # every uid keeps the value of the last batch that wrote it
-    assert got == {0: 0, 1: 11, 2: 22, 3: 33, 4: 44, 5: 45, 6: 46}
-    # a base without its commit marker is ignored
-    spark.createDataFrame([(0, -1)], "uid bigint, v bigint").write.parquet(f"{base}/bases/upto=4")
-    assert dict(map(tuple, tables.read_upserted(spark, base, "uid").collect()))[0] == 0
+
+    def put(rows, batch_id):
+        tables.upsert_by_key(spark.createDataFrame(rows, "uid bigint, v bigint"), base, "uid", batch_id, 4)
+    put([(u, u) for u in range(40)], 0)
+    files = {f for f in spark.read.parquet(tables.keyed_path(f"{base}/state", "uid", 4)).inputFiles()}
+    put([(1, 100), (77, 7)], 1)
+    put([], 2)
+    after = {f for f in spark.read.parquet(tables.keyed_path(f"{base}/state", "uid", 4)).inputFiles()}
+    assert _rows(spark, base) == {u: u for u in range(40)} | {1: 100, 77: 7}
+    assert files & after        # buckets without a key of the batch keep their files
+
+
+def test_replayed_batch_puts_the_same_rows_in_place(spark):
+    from cinerank.sources.tables import remove
+    base = scratch_path(spark, "test-replay")
+
+    def put(rows, batch_id):
+        tables.upsert_by_key(spark.createDataFrame(rows, "uid bigint, v bigint"), base, "uid", batch_id, 4)
+    put([(u, u) for u in range(20)], 0)
+    put([(u, 50 + u) for u in range(10)], 1)
+    want = _rows(spark, base)
+    put([(u, 50 + u) for u in range(10)], 1)
+    assert _rows(spark, base) == want
+    # a crash in the middle of putting batch 1 in place: one bucket is gone
+    state = tables.keyed_path(f"{base}/state", "uid", 4)
+    bucket = spark.read.parquet(state).where("uid < 10").first()["bucket"]
+    remove(spark, f"{state}/bucket={bucket}")
+    assert _rows(spark, base) != want
+    put([(u, 50 + u) for u in range(10)], 1)
+    assert _rows(spark, base) == want
+
+
+def test_failure_of_the_rejects_query_is_not_silent():
+    import pytest
+
+    class Query:
+        def __init__(self, error=None):
+            self.error, self.isActive = error, error is None
+
+        def exception(self):
+            return self.error
+
+        def awaitTermination(self, timeout=None):
+            return False
+
+        def stop(self):
+            self.isActive = False
+    main = Query()
+    with pytest.raises(ValueError):
+        R.StreamRun(main, Query(ValueError("rejects"))).awaitTermination()
+    assert not main.isActive
+
+
+def test_state_keeps_k_over_chunks_and_restarts(spark):
+    import pandas as pd
+
+    from cinerank.streaming.state import _update_fn
+
+    class State:
+        exists, value = False, None
+
+        @property
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.exists, self.value = True, value
+    state, rows = State(), [(m, float(m % 5), (m * 37) % 101) for m in range(300)]
+    for part in (rows[:150], rows[150:]):
+        chunks = [pd.DataFrame(part[i:i + 40], columns=["mid", "score", "ts"]) for i in range(0, len(part), 40)]
+        out, = list(_update_fn(20)((7,), iter(chunks), state))
+        top = max((t, m, s) for m, s, t in part)
+        assert (out["ts"][0], out["mid"][0], out["score"][0]) == top
+    want = sorted(rows, key=lambda t: (-t[2], t[0], -t[1]))[:20]
+    assert [(r["mid"], r["score"], r["ts"]) for r in out["recents"][0]] == want
 
 
 def test_stateful_recents_feed_themselves(spark):

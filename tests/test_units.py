@@ -233,15 +233,16 @@ def test_pair_and_profile_sim_agree(spark):
     pairs = ps.pairs()
     plain = PairSim(pairs)
     probe = spark.createDataFrame([(a, b) for a in range(1, 6) for b in range(1, 6)], "x bigint, y bigint")
-    a = sorted(map(tuple, ps.lookup(probe, "x", "y").collect()))
+    a = sorted((r.x, r.y, round(r.sim, 6)) for r in ps.lookup(probe, "x", "y").collect())
     b = sorted(map(tuple, plain.lookup(probe, "x", "y").collect()))
     assert a == b and len(a) > 0
     mids = spark.createDataFrame([(1,), (3,)], "mid bigint")
-    assert sorted(map(tuple, ps.for_mids(mids).collect())) == sorted(map(tuple, plain.for_mids(mids).collect()))
-    left = spark.createDataFrame([(7, a) for a in range(1, 6)], "u bigint, x bigint")
-    right = spark.createDataFrame([(7, b) for b in range(1, 6)], "u bigint, y bigint")
-    pj = sorted(map(tuple, ps.pair_join(left, right, "u", "x", "y").select("u", "x", "y", "sim").collect()))
-    assert pj == sorted(map(tuple, plain.pair_join(left, right, "u", "x", "y").select("u", "x", "y", "sim").collect()))
+    found = [sorted(map(tuple, s.for_mids(mids).select("mid", "rec_mid", "score").collect())) for s in (ps, plain)]
+    assert found[0] == found[1]
+    asked = spark.createDataFrame([(7, a) for a in range(1, 6)], "uid bigint, mid bigint")
+    rated = ratings_df(spark, [(7, 4, 1.0, 0)])
+    found = [sorted(map(tuple, realtime.candidate_movies(asked, s, rated, n=2).collect())) for s in (ps, plain)]
+    assert found[0] == found[1] and len(found[0]) > 0
 
 
 def test_hot_profile_split_equals_plain(spark):
@@ -250,7 +251,7 @@ def test_hot_profile_split_equals_plain(spark):
     ps = content.content_similarity(m, threshold=0.1)
     plain = sorted(map(tuple, ps.pairs().collect()))
     split = ProfileSim(ps.members, ps.profile_pairs, split_rows=4)
-    assert split._has_hot_profile()
+    assert "_lparts" in split.pairs()._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(tuple, split.pairs().collect())) == plain
     mids = spark.createDataFrame([(1,), (3,)], "mid bigint")
     assert sorted(map(tuple, split.for_mids(mids).collect())) == sorted(map(tuple, ps.for_mids(mids).collect()))
@@ -273,11 +274,51 @@ def test_top_k_inner_product_equals_brute_force(spark):
     assert got == sorted(want)
 
 
-def test_sorted_pairs_order(spark):
-    from cinerank.functions.ranking import sorted_pairs
+def test_ranked_pairs_in_full_order(spark):
+    from cinerank.functions.ranking import rank_within, ranked_pairs
     df = spark.createDataFrame([(2, 5, 0.7), (1, 3, 0.9), (1, 4, 0.9), (1, 2, 0.95), (2, 1, 0.8)],
                                "mid bigint, rec_mid bigint, score double")
-    assert [(r.mid, r.rec_mid) for r in sorted_pairs(df).collect()] == [(1, 2), (1, 3), (1, 4), (2, 1), (2, 5)]
+    assert sorted((r.mid, r["rank"], r.rec_mid) for r in ranked_pairs(df).collect()) == [(1, 1, 2), (1, 2, 3), (1, 3, 4), (2, 1, 1), (2, 2, 5)]
+    # a list that spans several partitions
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        rows = spark.range(5000).selectExpr("if(id % 10 = 0, id % 7, 9) AS mid", "id AS rec_mid", "(id * 7919) % 100 / 100D AS score")
+        got = rank_within(rows, ["mid"], [F.desc("score"), F.asc("rec_mid")], size_col="n").collect()
+    finally:
+        spark.conf.set(key, "true")
+    assert len(got) == 5000
+    by = {}
+    for r in got:
+        by.setdefault(r.mid, []).append(r)
+    for rows in by.values():
+        rows.sort(key=lambda r: (-r.score, r.rec_mid))
+        assert [r["rank"] for r in rows] == list(range(1, len(rows) + 1)) and {r.n for r in rows} == {len(rows)}
+
+
+def test_scores_gate_and_rank_on_the_raw_similarity(spark):
+    from cinerank.operators.simindex import PairSim
+    # three partners of 1: the raw cosines order them, rounding to six places would not
+    rows = [(1, 10, 0.9000004, 0.9), (1, 11, 0.9000001, 0.9), (1, 9, 0.8999996, 0.9), (10, 20, 0.6999997, 0.7), (11, 20, 0.7000003, 0.7)]
+    sim = PairSim(spark.createDataFrame(rows, "mid bigint, rec_mid bigint, sim double, score double"))
+    req = spark.createDataFrame([(5, 1)], "uid bigint, mid bigint")
+    rated = ratings_df(spark, [(5, 20, 5.0, 0)])
+    cands = realtime.candidate_movies(req, sim, rated)
+    assert [(r.rec_mid, r.score) for r in cands.orderBy("rank").collect()] == [(10, 0.9), (11, 0.9), (9, 0.9)]
+    scored = realtime.stream_scores(cands, realtime.recent_ratings(rated), sim).collect()
+    assert [(r.rec_mid, r.score) for r in scored] == [(11, 3.500002)]       # 0.6999997 stays below the gate
+
+
+def test_heavy_users_read_further_segments(spark):
+    from cinerank.operators.simindex import PairSim
+    pairs = [(1, b, 1.0 - b / 1000) for b in range(2, 400)]
+    sim = PairSim(sim_df(spark, pairs, symmetric=False), segment=8)
+    rated = ratings_df(spark, [(1, b, 3.0, 0) for b in range(2, 300)] + [(2, 5, 3.0, 0)] + [(3, b, 3.0, 0) for b in range(2, 395)])
+    req = spark.createDataFrame([(u, 1) for u in range(1, 5)], "uid bigint, mid bigint")
+    got = {}
+    for r in realtime.candidate_movies(req, sim, rated).orderBy("uid", "rank").collect():
+        got.setdefault(r.uid, []).append(r.rec_mid)
+    assert got == {1: list(range(300, 320)), 2: [2, 3, 4, *range(6, 23)], 3: list(range(395, 400)), 4: list(range(2, 22))}
 
 
 def test_similarity_threshold_uses_the_raw_value(spark):
@@ -301,3 +342,11 @@ def test_null_and_blank_genres_do_not_mix(spark):
     assert found[0] == found[1]
     assert not {m for m, _, _ in found[0]} & {1, 2, 5}
     assert [r[0] for r in spark.createDataFrame([("  ",), ("",), (" a",)], "t string").select(tokenize("t")).collect()] == [[], [""], ["", "a"]]
+
+
+def test_ml_form_treats_null_and_blank_genres_alike(spark):
+    from cinerank.operators.content import content_movie_recs, content_movie_recs_ml
+    rows = [(1, None), (3, ""), (4, ""), (5, " "), (9, " "), (6, "a|b"), (7, "a|b"), (8, "c"), (10, "d|e")]
+    df = spark.createDataFrame(rows, "mid long, genres string")
+    linked = [sorted((a, b) for a, b, s in f(df).collect() if s == 1.0) for f in (content_movie_recs, content_movie_recs_ml)]
+    assert linked[0] == linked[1] == [(3, 4), (4, 3), (6, 7), (7, 6)]
