@@ -37,7 +37,7 @@ _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE = {chr(b): b for b in _PRINTED} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
-KNOWN = 150_000    # words, and arcs times four, that a worker remembers
+KNOWN = 600_000    # words, and as many arcs, that a worker remembers
 _ODD_BLANK = re.compile(r"[^\S \n]|  | \n|\n |\n\n")
 
 
@@ -72,7 +72,7 @@ class Automaton:
         """Whether the finished automaton has an arc u in the state of t."""
         known = self.arcs.get((t, u))
         if known is None:
-            if len(self.arcs) >= 4 * KNOWN:
+            if len(self.arcs) >= KNOWN:
                 self.arcs.clear()
             known = self.arcs[t, u] = self._built(t, u, len(self.merge) + 1)
         return known

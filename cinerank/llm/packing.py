@@ -58,7 +58,8 @@ class WordIds:
     part; plain Latin words, each a word of its own, are encoded together.
     """
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, cache: int = CACHE):
+        self.cache = cache
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(spec)
@@ -87,7 +88,7 @@ class WordIds:
             known[w] = known[x] + known[y]
 
     def of(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CACHE:
+        if len(self.known) > self.cache:
             self.known = _Known()
         runs, out = [], []
         for t in texts:
@@ -103,22 +104,22 @@ class WordIds:
         return out
 
 
-_tokenizers: dict[str, WordIds] = {}
+_tokenizers: dict[tuple[str, int], WordIds] = {}
 
 
-def _word_ids(spec: str) -> WordIds:
+def _word_ids(spec: str, cache: int) -> WordIds:
     """One per worker and file, so that what it remembers serves all tasks."""
-    if spec not in _tokenizers:
+    if (spec, cache) not in _tokenizers:
         _tokenizers.clear()
-        _tokenizers[spec] = WordIds(spec)
-    return _tokenizers[spec]
+        _tokenizers[spec, cache] = WordIds(spec, cache)
+    return _tokenizers[spec, cache]
 
 
-def _pieces(spec, capacity: int, end_id: int, with_ids: bool):
+def _pieces(spec, capacity: int, end_id: int, with_ids: bool, cache: int):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _word_ids(spec.value)
+        words = _word_ids(spec.value, cache)
         for batch in small(batches, 256):
             texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
             out = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
@@ -179,14 +180,15 @@ def _pack_shard(capacity: int, slack: int, last: bool, first_id: int):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False,
+def pack(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False, cache: int = CACHE,
          shard: int = SHARD, slack: int = SLACK) -> DataFrame:
     """Per piece of each row of `docs` (`doc_id`, `text`): doc_id, piece,
     start, length, ids_crc32, sequence_id, offset; with `with_ids` also the
     ids themselves (unsigned, 32 bits, little-endian).
 
     `tokenizer` is the path of a tokenizers file whose words don't cross
-    blanks; the driver reads it. A null or empty text is the end id alone.
+    blanks; the driver reads it. `cache` bounds the words a worker remembers,
+    about 250 bytes each. A null or empty text is the end id alone.
     doc_id may be null or repeated; other columns are ignored. No rows give
     no rows.
     """
@@ -195,7 +197,7 @@ def pack(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, end_id: i
     with open(tokenizer, encoding="utf-8") as f:
         spec = spark.sparkContext.broadcast(f.read())
     docs = columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    items, items_path = save(docs.mapInArrow(_pieces(spec, capacity, end_id, with_ids), _ITEM), "op5-pieces")
+    items, items_path = save(docs.mapInArrow(_pieces(spec, capacity, end_id, with_ids, cache), _ITEM), "op5-pieces")
     packed = items.where(F.col("length") == capacity).select(
         "*", F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     left = items.where(F.col("length") < capacity)

@@ -33,7 +33,7 @@ def op4_nearest_neighbours(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op5_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
-    return packing.pack(table(spark, d, "documents"), public_tokenizers.path(WORD_BPE))
+    return packing.pack(table(spark, d, "documents"), public_tokenizers.path(WORD_BPE), cache=1_000_000)
 
 
 def op6_html_extraction(spark: SparkSession, d: str) -> DataFrame:
