@@ -6,10 +6,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cinerank.functions.columns import register_sql_functions
+from cinerank.functions.columns import register_sql_functions, round6
 from cinerank.functions.ranking import ranked_pairs
 from cinerank.operators import content, lfm, realtime, stats
+from cinerank.operators.similarity import top_k_inner_product
 from cinerank.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,6 +130,19 @@ def q_rmse_of_mean_predictor(spark, d):
     return lfm.rmse_of_mean_predictor(fx.ratings(spark, d))
 
 
+def q_factor_rmse(spark, d):
+    """Error of given factors (embeddings by id) on all ratings they cover."""
+    factors = fx.item_factors(spark, d)
+    return lfm.factor_rmse(fx.ratings(spark, d), factors.withColumnRenamed("mid", "uid"), factors)
+
+
+def q_embedding_user_recs(spark, d):
+    """The 20 items of the largest inner product for every vector as a user."""
+    f = fx.item_factors(spark, d).withColumnRenamed("mid", "id")
+    top = top_k_inner_product(f, f, 20)
+    return top.select(F.col("id").alias("uid"), F.col("rank").cast("int").alias("rank"), F.col("other").alias("mid"), round6("score").alias("score"))
+
+
 def q_stream_recommender_available_now(spark, d):
     from cinerank.streaming.recommender import run_available_now_over_fixture
     return run_available_now_over_fixture(spark, d)
@@ -170,6 +185,8 @@ def queries() -> dict[str, Query]:
         "stream_recommender_stateful": q_stream_recommender_stateful,
         "ingest_roundtrip": q_ingest_roundtrip,
         "rmse_of_mean_predictor": q_rmse_of_mean_predictor,
+        "factor_rmse": q_factor_rmse,
+        "embedding_user_recs": q_embedding_user_recs,
         "user_recs_als": q_user_recs_als,
         "lfm_movie_recs_als": q_lfm_movie_recs_als,
         "tune_als": q_tune_als,

@@ -141,6 +141,18 @@ SELECT mid, rec_mid, """ + _r6("raw") + """ AS score FROM (
 WHERE raw >= CAST(0.3 AS DOUBLE)"""
     q["embedding_movie_recs_ranked"] = f"""SELECT mid, row_number() OVER (PARTITION BY mid ORDER BY score DESC, rec_mid) AS rank, rec_mid, score
 FROM ({q["embedding_movie_recs"]})"""
+    q["embedding_user_recs"] = """WITH f AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
+SELECT uid, rank, mid, """ + _r6("score") + """ AS score FROM (
+  SELECT u.id AS uid, i.id AS mid, list_dot_product(u.v, i.v) AS score,
+         CAST(row_number() OVER (PARTITION BY u.id ORDER BY list_dot_product(u.v, i.v) DESC, i.id) AS INTEGER) AS rank
+  FROM f u JOIN f i ON list_dot_product(u.v, i.v) > 0)
+WHERE rank <= 20"""
+    q["factor_rmse"] = _with(_RATINGS) + """, f AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+predicted AS (
+  SELECT p.uid, p.mid, list_dot_product(u.v, i.v) AS prediction
+  FROM (SELECT DISTINCT uid, mid FROM ratings) p JOIN f u ON u.id = p.uid JOIN f i ON i.id = p.mid)
+SELECT count(*) AS n, """ + _r6("sqrt(avg((r.score - p.prediction) * (r.score - p.prediction)))") + """ AS rmse
+FROM ratings r JOIN predicted p ON p.uid = r.uid AND p.mid = r.mid"""
     chain = [_RATINGS, _MOVIES, _LIVE, _content_sim()]
     q["candidate_movies"] = _with(*chain, "reqsrc AS (SELECT uid, mid FROM live)", _CANDIDATES) + \
         "SELECT uid, mid, rank, rec_mid, score FROM cand"

@@ -39,3 +39,25 @@ def test_top_n_size_and_order(spark, rows, k):
         assert len(rs) <= k
         want = sorted([r for r in rows if r[0] == g], key=lambda r: (-r[2], r[1]))[:k]
         assert [(r.id, r.v) for r in rs] == [(i, v) for _, i, v in want]
+
+
+def _brute(vecs, threshold):
+    x = np.array(vecs)
+    n = np.linalg.norm(x, axis=1)
+    return {(i, j) for i in range(len(x)) for j in range(len(x)) if i != j and n[i] and n[j] and x[i] @ x[j] / (n[i] * n[j]) >= threshold}
+
+
+def test_blocks_that_cannot_reach_the_threshold_never_meet(spark):
+    from cinerank.operators.similarity import block_plan
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(8, 6))
+    near = [(centres[i % 8] + rng.normal(0, 0.05, 6)).tolist() for i in range(200)] + [[0.0] * 6]
+    far = rng.normal(size=(120, 6)).tolist()
+    for vecs, threshold in ((near, 0.9), (near, -0.2), (far, 0.3), (far, 0.6)):
+        df = spark.createDataFrame(list(enumerate(vecs)), "mid bigint, features array<double>")
+        got = {(r.mid, r.rec_mid) for r in cosine_pairs(df, threshold=threshold, block_rows=16).collect()}
+        assert got == _brute(vecs, threshold)
+    plan = block_plan(spark.createDataFrame(list(enumerate(near)), "id bigint, vec array<double>"), 0.9, 16)
+    pairs = plan.n_blocks * (plan.n_blocks + 1) // 2
+    assert plan.n_blocks >= 12 and plan.skipped() > 0.5 * pairs
+    assert plan.vectors.groupBy("block").count().agg({"count": "max"}).first()[0] <= 16
