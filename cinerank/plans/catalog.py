@@ -16,6 +16,7 @@ from cinerank.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+EMBEDDING_BLOCK = 256  # rows; several blocks also on the smaller fixtures
 EMBEDDING_THRESHOLD = 0.3  # factor cosine >= 0.6 is empty on the fixture embeddings
 
 
@@ -86,7 +87,7 @@ def q_content_movie_recs_ml(spark, d):
 
 
 def q_embedding_movie_recs(spark, d):
-    return lfm.lfm_movie_recs(fx.item_factors(spark, d), threshold=EMBEDDING_THRESHOLD)
+    return lfm.lfm_movie_recs(fx.item_factors(spark, d), threshold=EMBEDDING_THRESHOLD, block_rows=EMBEDDING_BLOCK)
 
 
 def q_embedding_movie_recs_ranked(spark, d):
@@ -139,7 +140,7 @@ def q_factor_rmse(spark, d):
 def q_embedding_user_recs(spark, d):
     """The 20 items of the largest inner product for every vector as a user."""
     f = fx.item_factors(spark, d).withColumnRenamed("mid", "id")
-    top = top_k_inner_product(f, f, 20)
+    top = top_k_inner_product(f, f, 20, block_rows=EMBEDDING_BLOCK)
     return top.select(F.col("id").alias("uid"), F.col("rank").cast("int").alias("rank"), F.col("other").alias("mid"), round6("score").alias("score"))
 
 

@@ -61,3 +61,25 @@ def test_blocks_that_cannot_reach_the_threshold_never_meet(spark):
     pairs = plan.n_blocks * (plan.n_blocks + 1) // 2
     assert plan.n_blocks >= 12 and plan.skipped() > 0.5 * pairs
     assert plan.vectors.groupBy("block").count().agg({"count": "max"}).first()[0] <= 16
+
+
+def test_top_k_skips_blocks_of_small_norm(spark):
+    from cinerank.operators.similarity import blocks_ahead, top_k_inner_product
+    rng = np.random.default_rng(9)
+    uv = rng.normal(size=(40, 4))
+    iv = rng.normal(size=(300, 4)) * np.exp(-np.arange(300) / 25)[:, None]
+    uv[3] = 0
+    users = spark.createDataFrame([(i, uv[i].tolist()) for i in range(40)], "id bigint, features array<double>")
+    items = spark.createDataFrame([(1000 + j, iv[j].tolist()) for j in range(300)], "id bigint, features array<double>")
+    for positive in (True, False):
+        got = sorted((r.id, r["rank"], r.other) for r in top_k_inner_product(users, items, 5, block_rows=16, positive_only=positive).collect())
+        want = []
+        for i in range(40):
+            scores = sorted((-float(uv[i] @ iv[j]), 1000 + j) for j in range(300) if not positive or uv[i] @ iv[j] > 0)[:5]
+            want += [(i, r + 1, m) for r, (_, m) in enumerate(scores)]
+        assert got == want
+    norms = np.sort(np.linalg.norm(iv, axis=1))[::-1]
+    asked = spark.createDataFrame([(i, float(np.linalg.norm(uv[i])), float(np.sort(iv @ uv[i])[-5])) for i in range(40) if i != 3],
+                                  "id bigint, norm double, kth double")
+    last = [r["last"] for r in blocks_ahead(asked, norms[::16].tolist(), 1, len(norms[::16])).collect()]
+    assert max(last) < len(norms[::16]) - 1 and sum(last) < 0.5 * len(last) * len(norms[::16])
