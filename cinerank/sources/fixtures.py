@@ -4,9 +4,8 @@ ratings   lineitem join orders: uid=o_custkey, mid=l_partkey,
           score=ceil(l_quantity/5)/2 (0.5 .. 5.0), ts=epoch(l_shipdate)
 movies    part: mid=p_partkey, name=p_name,
           genres=p_type|<words of p_name>
-tags      ratings rows with l_returnflag='R' and l_discount>=0.1,
-          tag = the supplier's nation name
-live      events of type view/purchase: uid=user_id, mid=props.k,
+tags      every line: tag = the supplier's nation name
+live      every event: uid=user_id, mid=props.k,
           score=least(5, greatest(0.5, ceil(value/25)/2))
 factors   embeddings: mid=vec_id, features=embedding as array<double>
 
