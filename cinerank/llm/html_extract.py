@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,12 +33,13 @@ SAMPLE_PAGES = 300
 SAMPLE_BLOCKS = 10_000
 SMOOTH = 0.7          # weight of an edge between blocks of one parent
 
-_TOKEN = re.compile(r"<(?:!--(?:.*?-->|.*)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*>|[^>]*(?:>|$))|[!?/][^>]*(?:>|$))", re.S)
+_TOKEN = re.compile(r"<(?:!--(?:.*?-->|.*)|(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*')|=)*+>|[^>]*(?:>|$))|[!?/][^>]*(?:>|$))", re.S)
 _ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"\shidden(?=[\s=>/])|display\s*:\s*none|aria-hidden\s*=\s*.?true", re.I)
 # Fixed values of HTML: elements whose text isn't shown as prose, elements that start blocks.
 _RAW = frozenset(["script", "style", "title", "textarea", "noscript", "template", "iframe", "xmp", "noembed", "noframes"])
 _UNSEEN = frozenset(["head", "select", "button", "svg", "object", "canvas", "audio", "video", "math", "map", "datalist"])
+_IN_HEAD = frozenset(["head", "base", "link", "meta", "title", "style", "script", "noscript", "template"])
 _VOID = frozenset(["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"])
 _BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer
 form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul""".split())
@@ -59,11 +61,31 @@ _AT = {n: i for i, n in enumerate(_NAMES)}
 _LEGAL = re.compile(r"^\W*(?:©|\(c\)\s|copyright\b)|all rights reserved", re.I)
 
 
+class Node:
+    """An open element: its tag, its parent, how deep it lies, the marks of it and its ancestors."""
+    __slots__ = ("tag", "up", "depth", "marks")
+
+    def __init__(self, tag: str, up: Node | None, marks: tuple[str, ...]):
+        self.tag, self.up, self.depth = tag, up, up.depth + 1 if up else 1
+        self.marks = tuple(dict.fromkeys((up.marks if up else ()) + marks))
+
+
 class Block:
-    __slots__ = ("text", "path", "features")
+    __slots__ = ("text", "node", "features")
+
+    def __init__(self, text: str, node: Node | None, features: list[float]):
+        self.text, self.node, self.features = text, node, features
 
-    def __init__(self, text: str, path: tuple[int, ...], features: list[float]):
-        self.text, self.path, self.features = text, path, features
+
+def _between(a: Node | None, b: Node | None) -> tuple[int, int]:
+    """How many elements lie above a, and above b, below the nearest that holds both."""
+    up = down = 0
+    while a is not b:
+        if b is None or a is not None and a.depth >= b.depth:
+            a, up = a.up, up + 1
+        else:
+            b, down = b.up, down + 1
+    return up, down
 
 
 def blocks(page: str) -> list[Block]:
@@ -75,24 +97,36 @@ def blocks(page: str) -> list[Block]:
     their like.
     """
     out: list[Block] = []
-    stack: list[tuple[str, int, tuple[str, ...]]] = []   # element, number, marks it and its ancestors carry
+    top: Node | None = None
+    open_: Counter = Counter()                 # block elements that are open, by tag
+    unseen: list[str] = []                     # open elements whose text isn't shown
+    ends: dict[str, int] = {}                  # where the next end tag of such an element lies
     piece: list[tuple[str, bool]] = []
-    number = unseen = anchor = 0
+    anchor = 0
 
     def flush() -> None:
         if piece:
             text = " ".join("".join([p for p, _ in piece]).split())
             if text:
                 linked = sum(len(p) for p, a in piece if a) / max(1, sum(len(p) for p, _ in piece))
-                out.append(Block(text, tuple(x[1] for x in stack), _features(text, linked, stack)))
+                out.append(Block(text, top, _features(text, linked, top)))
             piece.clear()
 
+    def ended(tag: str, at: int) -> bool:
+        if ends.get(tag, -1) < at:
+            found = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(page, at)
+            ends[tag] = found.start() if found else len(page) + 1
+        return ends[tag] <= len(page)
+
     at, end = 0, len(page)
     while at < end:
         m = _TOKEN.search(page, at)
         stop = m.start() if m else end
-        if stop > at and not unseen:
-            piece.append((html.unescape(page[at:stop]), anchor > 0))
+        if stop > at:
+            if unseen == ["head"] and not page[at:stop].isspace():
+                unseen.clear()                 # text can't be in a head: its end tag was left out
+            if not unseen:
+                piece.append((html.unescape(page[at:stop]), anchor > 0))
         if not m:
             break
         at = m.end()
@@ -100,6 +134,8 @@ def blocks(page: str) -> list[Block]:
         if not tag:
             continue
         closing = m[1] == "/"
+        if not closing and "head" in unseen and tag not in _IN_HEAD:
+            unseen.remove("head")              # nor can other elements
         if tag == "br":
             piece.append((" ", False))
         elif tag == "a":
@@ -109,26 +145,36 @@ def blocks(page: str) -> list[Block]:
                 close = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(page, at)
                 at = close.start() if close else end
         elif tag in _UNSEEN:
-            if tag == "head" and closing:
-                unseen = 0
-            else:
-                unseen = max(0, unseen - 1) if closing else unseen + (not m[3].endswith("/>"))
+            if closing:
+                if tag in unseen:
+                    del unseen[len(unseen) - 1 - unseen[::-1].index(tag):]
+            elif tag == "head":
+                unseen.append(tag)
+            elif not m[3].endswith("/>"):
+                if tag in ("button", "select") and tag in unseen:
+                    del unseen[unseen.index(tag):]      # a second one ends the first
+                if ended(tag, at):
+                    unseen.append(tag)
+                else:                          # never ended: only the text up to the next tag is its own
+                    at = page.find("<", at) if page.find("<", at) >= 0 else end
         elif tag in _BLOCK:
-            if tag == "body":
-                unseen = 0
             flush()
             anchor = 0
             if closing:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == tag or (tag in _HEADINGS and stack[k][0] in _HEADINGS):
-                        del stack[k:]
-                        break
+                if open_[tag] or tag in _HEADINGS and any(open_[h] for h in _HEADINGS):
+                    while True:
+                        gone = top.tag
+                        open_[gone] -= 1
+                        top = top.up
+                        if gone == tag or (tag in _HEADINGS and gone in _HEADINGS):
+                            break
             elif tag not in _VOID:
-                while stack and (stack[-1][0] == "p" or stack[-1][0] == tag and tag in ("li", "dt", "dd", "tr", "td", "th", "option")
-                                 or stack[-1][0] in _HEADINGS and tag in _HEADINGS):
-                    stack.pop()
-                number += 1
-                stack.append((tag, number, (stack[-1][2] if stack else ()) + _marks(tag, m[3])))
+                while top and (top.tag == "p" or top.tag == tag and tag in ("li", "dt", "dd", "tr", "td", "th", "option")
+                               or top.tag in _HEADINGS and tag in _HEADINGS):
+                    open_[top.tag] -= 1
+                    top = top.up
+                top = Node(tag, top, _marks(tag, m[3]))
+                open_[tag] += 1
     flush()
     return out
 
@@ -151,12 +197,15 @@ def _marks(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(found)
 
 
-def _features(text: str, linked: float, stack) -> list[float]:
+def _features(text: str, linked: float, node: Node | None) -> list[float]:
     x = [0.0] * len(_NAMES)
     x[0] = 1.0
-    for mark in stack[-1][2] if stack else ():
+    for mark in node.marks if node else ():
         x[_AT[mark]] = 1.0
-    tags = [s[0] for s in stack[-4:]]
+    tags, up = [], node
+    while up and len(tags) < 4:
+        tags.insert(0, up.tag)
+        up = up.up
     x[_AT["links"]] = linked
     x[_AT["length"]] = min(6.0, np.log1p(text.count(" "))) - 2
     x[_AT["marks"]] = min(3.0, text.count(".") + text.count(",") + text.count("!") + text.count("?"))
@@ -164,22 +213,16 @@ def _features(text: str, linked: float, stack) -> list[float]:
     x[_AT["heading"]] = float(bool(tags) and tags[-1] in _HEADINGS)
     x[_AT["list"]] = float("li" in tags)
     x[_AT["table"]] = float("td" in tags or "th" in tags)
-    x[_AT["legal"]] = float(bool(_LEGAL.search(text[:80])))
+    x[_AT["legal"]] = float(bool(_LEGAL.search(text)))
     return x
 
 
 def _edges(found: list[Block]) -> list[tuple[int, int, float]]:
     edges, last = [], {}
     for i, b in enumerate(found):
-        parent = b.path[:-1]
+        parent = b.node.up if b.node else None
         if i:
-            a = found[i - 1].path
-            shared = 0
-            for p, q in zip(a, b.path, strict=False):
-                if p != q:
-                    break
-                shared += 1
-            edges.append((i - 1, i, SMOOTH / max(1, len(a) + len(b.path) - 2 * shared - 1)))
+            edges.append((i - 1, i, SMOOTH / max(1, sum(_between(found[i - 1].node, b.node)) - 1)))
         if last.get(parent, i - 1) != i - 1:
             edges.append((last[parent], i, SMOOTH / 2))
         last[parent] = i

@@ -1,4 +1,4 @@
-"""Smallest cut of a small graph with terminals, by augmenting paths."""
+"""Smallest cut of a graph with terminals, by blocking flows."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ def labels(source: list[float], sink: list[float], edges: list[tuple[int, int, f
     `source[i]` is cut if node i falls to the sink, `sink[i]` if it falls to
     the source, an edge's weight if its ends part. Nodes whose terminals
     outweigh all their open edges are settled first, which leaves the same
-    cut; augmenting paths settle each rest component on its own.
+    cut; blocking flows settle each rest component on its own.
     """
     n = len(source)
     near: list[list[tuple[int, float]]] = [[] for _ in range(n)]
@@ -52,33 +52,70 @@ def labels(source: list[float], sink: list[float], edges: list[tuple[int, int, f
 
 
 def _flow(part: list[int], near, s, t, side) -> None:
-    start, end = -1, -2
-    room: dict[int, dict[int, float]] = {k: {} for k in [*part, start, end]}
-    inside = set(part)
+    """Levels by distance from the source, then flow along them until they
+    are blocked; a phase looks at every edge about once."""
+    at = {k: i for i, k in enumerate(part)}
+    start, end = len(part), len(part) + 1
+    to: list[int] = []
+    room: list[float] = []
+    out: list[list[int]] = [[] for _ in range(len(part) + 2)]
+
+    def edge(a: int, b: int, there: float, back: float) -> None:
+        out[a].append(len(to))
+        to.append(b)
+        room.append(there)
+        out[b].append(len(to))
+        to.append(a)
+        room.append(back)
     for k in part:
         both = min(s[k], t[k])
-        room[start][k], room[k][end] = s[k] - both, t[k] - both
-        room[k][start] = room[end][k] = 0.0
+        if s[k] > both:
+            edge(start, at[k], s[k] - both, 0.0)
+        if t[k] > both:
+            edge(at[k], end, t[k] - both, 0.0)
         for j, w in near[k]:
-            if j in inside:
-                room[k][j] = room[k].get(j, 0.0) + w
+            if j > k and j in at:
+                edge(at[k], at[j], w, w)
     while True:
-        came, queue = {start: start}, deque([start])
-        while queue and end not in came:
+        level = [-1] * len(out)
+        level[start] = 0
+        queue = deque([start])
+        while queue:
             k = queue.popleft()
-            for j, r in room[k].items():
-                if r > 1e-12 and j not in came:
-                    came[j] = k
-                    queue.append(j)
-        if end not in came:
+            for e in out[k]:
+                if room[e] > 1e-12 and level[to[e]] < 0:
+                    level[to[e]] = level[k] + 1
+                    queue.append(to[e])
+        if level[end] < 0:
             break
-        path, k = [], end
-        while k != start:
-            path.append((came[k], k))
-            k = came[k]
-        least = min(room[a][b] for a, b in path)
-        for a, b in path:
-            room[a][b] -= least
-            room[b][a] = room[b].get(a, 0.0) + least
+        next_ = [0] * len(out)
+        path: list[int] = []
+        k = start
+        while True:
+            if k == end:
+                least = min(room[e] for e in path)
+                cut = None
+                for i, e in enumerate(path):
+                    room[e] -= least
+                    room[e ^ 1] += least
+                    if cut is None and room[e] <= 1e-12:
+                        cut = i
+                k = to[path[cut] ^ 1]
+                del path[cut:]
+                continue
+            while next_[k] < len(out[k]):
+                e = out[k][next_[k]]
+                if room[e] > 1e-12 and level[to[e]] == level[k] + 1:
+                    break
+                next_[k] += 1
+            if next_[k] < len(out[k]):
+                path.append(out[k][next_[k]])
+                k = to[path[-1]]
+            elif path:
+                level[k] = -1
+                k = to[path.pop() ^ 1]
+                next_[k] += 1
+            else:
+                break
     for k in part:
-        side[k] = k in came
+        side[k] = level[at[k]] >= 0

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from cinerank.llm.html_extract import blocks, extract, fit
 from cinerank.llm.mincut import labels
@@ -72,3 +73,52 @@ def test_copies_of_pages_enter_the_sample_once(spark):
     one = fit(spark.createDataFrame([(x,) for x in pages], "html string"), sample_pages=12)
     many = fit(spark.createDataFrame([(x,) for x in pages + pages[::3] * 40], "html string").repartition(5), sample_pages=12)
     assert np.allclose(one, many)
+
+
+def _prior():
+    from cinerank.llm.html_extract import FEATURES
+    return np.array(list(FEATURES.values()))
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<html><head><title>T</title><article><p>First words here, and more. So it is.</p></article>", "First words here, and more. So it is."),
+    ("<head><meta charset=x>Plain words of a page, without any tag. So it is.", "Plain words of a page, without any tag. So it is."),
+    ("<article><p data-x=it's>First words here. And so on, as it was.</p><p>It's the <b>second</b> one. Yes, it is.</p></article>",
+     "First words here. And so on, as it was. It's the second one. Yes, it is."),
+    ("<article><button>Share<p>All the words, of the article. They are here.</p></article>", "All the words, of the article. They are here."),
+    ("<article><button>Share<button>Like</button><p>All the words, of the article. They are here.</p></article>", "All the words, of the article. They are here."),
+    ('<article><p title="a > b">Words of the text, as they are. So it is.</p></article>', "Words of the text, as they are. So it is."),
+    ("<article><select><option>One<option>Two</select><p>Words of the text, as they are. So it is.</p></article>", "Words of the text, as they are. So it is."),
+])
+def test_tags_that_may_be_left_out(page, want):
+    from cinerank.llm.html_extract import main_text
+    assert main_text(page, _prior()) == want
+
+
+def test_very_deep_and_very_long_pages():
+    import time
+
+    from cinerank.llm.html_extract import blocks, main_text
+    start = time.process_time()
+    deep = blocks("<div class=post>x" * 50_000)
+    assert len(deep) == 50_000 and deep[-1].node.depth == 50_000 and len(deep[-1].node.marks) == 1
+    main_text("<div>x" * 50_000, _prior())
+    main_text("<article>" + "".join(f"<p>Some words {i}, as they are.</p><ul><li><a href=x>{i}</a></ul>" for i in range(10_000)) + "</article>", _prior())
+    main_text("<p a='" + "x=\"" * 50_000, _prior())
+    main_text("<div>" * 20_000 + "</section>" * 20_000 + "<button>" * 20_000, _prior())
+    assert time.process_time() - start < 120
+
+
+def test_cut_equals_brute_force():
+    import itertools
+
+    from cinerank.llm.mincut import labels
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        n = int(rng.integers(1, 9))
+        s, t = rng.random(n).round(3).tolist(), rng.random(n).round(3).tolist()
+        edges = [(i, j, float(rng.random().__round__(3))) for i in range(n) for j in range(i) if rng.random() < 0.5]
+
+        def cost(x):
+            return sum(t[i] if x[i] else s[i] for i in range(n)) + sum(w for a, b, w in edges if x[a] != x[b])
+        assert abs(cost(labels(s, t, edges)) - min(map(cost, itertools.product([False, True], repeat=n)))) < 1e-9
