@@ -3,10 +3,16 @@
 Index, over every row. Equal vectors share a node. Each node starts with the
 nearest of some leaves of random hyperplane partitions (a leaf has about LEAF
 nodes; larger ones are split by a hash). Then rounds of NN-descent: the
-neighbours a node has, and up to K nodes that have it, meet in a local join;
-pairs nearer than what either end has become neighbours, until a round
-changes less than CHANGED of the lists. A round is a Spark join that deals
-nodes out in blocks, with each vector a block needs once.
+neighbours a node has, and up to K nodes that have it, meet in a local join.
+Of the pairs nearer than what either end has, a join offers each member its
+OFFERS nearest and a block passes on each node's KEPT nearest; the K nearest
+of old and offered ones become the list. That goes on until a round changes
+less than CHANGED of the lists, for ROUNDS rounds at most. A round is a Spark
+join that deals nodes out in blocks, with each vector a block needs once.
+
+Vectors are compared with those of their own length only. All lengths share
+the jobs: leaves, blocks and entries are made for each length, so lists never
+lead from one length to another.
 
 Search. All queries advance together: a round expands the EXPAND nearest
 unexpanded nodes of each query's beam of BEAM nodes by a join with the
@@ -26,6 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,10 +49,11 @@ REVERSE = 48
 BEAM = 448
 EXPAND = 48
 ENTRIES = 64
-_OFFERS = 4        # pairs a local join offers each member, the nearest ones
-_KEPT = 10         # offers a block sends for each node
+OFFERS = 4
+KEPT = 10
 
-_EDGE = "id long, nbr long, d double"
+# n: the vectors' length, blocks: the blocks that its nodes are dealt to
+_EDGE = "id long, nbr long, d double, n int, blocks int"
 
 
 def _matrix(column: pa.Array | pd.Series) -> np.ndarray:
@@ -59,6 +67,12 @@ def _squared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.maximum(d, 0)
 
 
+def _edges(id_, nbr, d, like: pd.DataFrame) -> pd.DataFrame:
+    """Edges between nodes of one length, that of the rows in `like`."""
+    return pd.DataFrame({"id": np.asarray(id_, dtype=np.int64), "nbr": np.asarray(nbr, dtype=np.int64), "d": np.asarray(d, dtype=np.float64),
+                         "n": np.int32(like["n"].iat[0]), "blocks": np.int32(like["blocks"].iat[0])})
+
+
 def _leaf_neighbours(k: int):
     def run(leaf: pd.DataFrame) -> pd.DataFrame:
         ids, x = leaf["id"].to_numpy(), _matrix(leaf["v"])
@@ -66,9 +80,9 @@ def _leaf_neighbours(k: int):
         np.fill_diagonal(d, np.inf)
         n = min(k, len(ids) - 1)
         if n < 1:
-            return pd.DataFrame({"id": [], "nbr": [], "d": []}).astype({"id": "int64", "nbr": "int64", "d": "float64"})
+            return _edges([], [], [], leaf)
         at = np.argpartition(d, n - 1, axis=1)[:, :n]
-        return pd.DataFrame({"id": np.repeat(ids, n), "nbr": ids[at].ravel(), "d": np.take_along_axis(d, at, 1).ravel().astype(np.float64)})
+        return _edges(np.repeat(ids, n), ids[at].ravel(), np.take_along_axis(d, at, 1).ravel(), leaf)
     return run
 
 
@@ -93,7 +107,7 @@ def _local_join(block: pd.DataFrame) -> pd.DataFrame:
         d = _squared(x[m], x[m]).astype(np.float32)
         fine = real[:, :, None] & real[:, None, :] & (fresh[:, :, None] | fresh[:, None, :]) & (m[:, :, None] != m[:, None, :])
         d[~fine | (d >= worst[m][:, :, None])] = np.inf
-        n = min(_OFFERS, width)
+        n = min(OFFERS, width)
         best = np.argpartition(d, n - 1, axis=2)[:, :, :n]
         value = np.take_along_axis(d, best, 2)
         g, i, j = np.nonzero(np.isfinite(value))
@@ -101,7 +115,7 @@ def _local_join(block: pd.DataFrame) -> pd.DataFrame:
         b_all.append(m[g, best[g, i, j]])
         d_all.append(value[g, i, j])
     if not a_all:
-        return pd.DataFrame({"id": [], "nbr": [], "d": []}).astype({"id": "int64", "nbr": "int64", "d": "float64"})
+        return _edges([], [], [], block)
     a, b, d = np.concatenate(a_all), np.concatenate(b_all), np.concatenate(d_all)
     key = a.astype(np.int64) * len(ids) + b
     _, first = np.unique(key, return_index=True)
@@ -110,8 +124,8 @@ def _local_join(block: pd.DataFrame) -> pd.DataFrame:
     a, b, d = a[order], b[order], d[order]
     begin = np.concatenate(([True], a[1:] != a[:-1]))
     place = np.arange(len(a)) - np.maximum.accumulate(np.where(begin, np.arange(len(a)), 0))
-    keep = place < _KEPT
-    return pd.DataFrame({"id": ids[a[keep]], "nbr": ids[b[keep]], "d": d[keep].astype(np.float64)})
+    keep = place < KEPT
+    return _edges(ids[a[keep]], ids[b[keep]], d[keep], block)
 
 
 def _nearest(edges: DataFrame, k: int, extra: str = "") -> DataFrame:
@@ -126,62 +140,72 @@ def _reverse(graph: DataFrame, limit: int, order: str) -> DataFrame:
 
 def build_graph(nodes: DataFrame, *, k: int = K, rounds: int = ROUNDS, leaf: int = LEAF, trees: int = TREES, seed: int = 7) -> tuple[DataFrame, str]:
     """`(id, nbr, d)`, the k nearest found of each of `nodes` (`id`, `v`:
-    float32 bytes), nearest by squared distance; and the table's path."""
+    float32 bytes) among those of its length, nearest by squared distance;
+    and the table's path."""
     spark = nodes.sparkSession
     prepare(spark)
-    n = nodes.count()
-    bits = max(0, int(np.ceil(np.log2(max(1, n / leaf)))))
-    rng = np.random.default_rng(seed)
-    head = nodes.select(F.length("v").alias("n")).first()
-    planes = rng.normal(size=(trees, bits, (head["n"] // 4) if head else 0)).astype(np.float32)
+    nodes = nodes.select("id", "v", (F.length("v") / 4).cast("int").alias("n"))
+    lengths = nodes.groupBy("n").agg(F.count("*").alias("c"))
+    lengths = lengths.select("n", "c", F.greatest(F.ceil(F.log2(F.col("c") / F.lit(float(leaf)))), F.lit(0)).cast("int").alias("bits"),
+                             F.ceil(F.col("c") / F.lit(float(BLOCK))).cast("int").alias("blocks"))
+    lengths, lengths_path = save(lengths, "op4-lengths")
+    total = lengths.agg(F.sum("c")).first()[0] or 0
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not len(b):
-                continue
-            x = _matrix(b.column(1))
-            for t in range(trees):
-                code = ((x @ planes[t].T > 0) << np.arange(bits)).sum(1) if bits else np.zeros(len(x), dtype=np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(1), pa.array(np.full(len(x), t), pa.int32()), pa.array(code.astype(np.int64))], ["id", "v", "tree", "code"])
-
-    dealt, dealt_path = save(nodes.select("id", "v").mapInArrow(deal, "id long, v binary, tree int, code long"), "op4-leaves")
-    sizes = dealt.groupBy("tree", "code").agg(F.ceil(F.count("*") / (2.0 * leaf)).cast("long").alias("parts"))
-    dealt = dealt.join(sizes, ["tree", "code"]).withColumn("part", F.pmod(F.xxhash64("id", "tree"), F.col("parts")))
-    first = dealt.groupBy("tree", "code", "part").applyInPandas(_leaf_neighbours(k), _EDGE)
-    first = first.groupBy("id", "nbr").agg(F.min("d").alias("d"))
+            length = b.column(2).to_numpy()
+            for n in np.unique(length):
+                mine = b.filter(pa.array(length == n))
+                x, bits = _matrix(mine.column(1)), mine.column(3)[0].as_py()
+                planes = np.random.default_rng([seed, n]).normal(size=(trees, bits, n)).astype(np.float32)
+                for t in range(trees):
+                    code = ((x @ planes[t].T > 0) << np.arange(bits)).sum(1) if bits else np.zeros(len(x), dtype=np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [mine.column(0), mine.column(1), mine.column(2), mine.column(4), pa.array(np.full(len(x), t), pa.int32()),
+                         pa.array(code.astype(np.int64))], ["id", "v", "n", "blocks", "tree", "code"])
+
+    dealt = nodes.join(lengths, "n").select("id", "v", "n", "bits", "blocks").mapInArrow(
+        deal, "id long, v binary, n int, blocks int, tree int, code long")
+    dealt, dealt_path = save(dealt, "op4-leaves")
+    sizes = dealt.groupBy("n", "tree", "code").agg(F.ceil(F.count("*") / (2.0 * leaf)).cast("long").alias("parts"))
+    dealt = dealt.join(sizes, ["n", "tree", "code"]).withColumn("part", F.pmod(F.xxhash64("id", "tree"), F.col("parts")))
+    first = dealt.groupBy("n", "tree", "code", "part").applyInPandas(_leaf_neighbours(k), _EDGE)
+    first = first.groupBy("id", "nbr").agg(F.min("d").alias("d"), F.first("n").alias("n"), F.first("blocks").alias("blocks"))
     graph, path = save(_nearest(first, k).withColumn("new", F.lit(True)), "op4-graph")
-    drop(spark, dealt_path)
-    blocks = max(1, -(-n // BLOCK))
+    drop(spark, dealt_path, lengths_path)
     for turn in range(rounds):
-        mine = graph.select(F.col("id").alias("node"), F.col("nbr").alias("u"), "new")
-        back = _reverse(graph, k, f"xxhash64(id, {turn})").select(F.col("nbr").alias("node"), F.col("id").alias("u"), "new")
-        member = mine.unionByName(back).groupBy("node", "u").agg(F.max("new").alias("new")).withColumn(
-            "block", F.pmod(F.xxhash64("node"), F.lit(blocks)))
+        mine = graph.select(F.col("id").alias("node"), F.col("nbr").alias("u"), "new", "n", "blocks")
+        back = _reverse(graph, k, f"xxhash64(id, {turn})").select(F.col("nbr").alias("node"), F.col("id").alias("u"), "new", "n", "blocks")
+        member = mine.unionByName(back).groupBy("node", "u").agg(
+            F.max("new").alias("new"), F.first("n").alias("n"), F.first("blocks").alias("blocks")).withColumn(
+            "block", F.pmod(F.xxhash64("node"), F.col("blocks")))
         member, member_path = save(member, "op4-members")
         worst = graph.groupBy("id").agg(F.when(F.count("*") >= k, F.max("d")).otherwise(F.lit(float("inf"))).alias("worst"))
         held = nodes.select("id", "v").join(worst, "id", "left").select("id", "v", F.coalesce("worst", F.lit(float("inf"))).alias("worst"))
-        need = member.select("block", F.col("u").alias("id")).distinct().join(held, "id").select(
-            "block", F.lit(None).cast("long").alias("node"), F.col("id").alias("u"), F.lit(False).alias("new"), "v", "worst")
-        rows = member.select("block", "node", "u", "new", F.lit(None).cast("binary").alias("v"), F.lit(0.0).alias("worst")).unionByName(need)
-        offers = rows.groupBy("block").applyInPandas(_local_join, _EDGE).withColumn("new", F.lit(True))
+        need = member.select("n", "blocks", "block", F.col("u").alias("id")).distinct().join(held, "id").select(
+            "n", "blocks", "block", F.lit(None).cast("long").alias("node"), F.col("id").alias("u"), F.lit(False).alias("new"), "v", "worst")
+        rows = member.select("n", "blocks", "block", "node", "u", "new", F.lit(None).cast("binary").alias("v"), F.lit(0.0).alias("worst")).unionByName(need)
+        offers = rows.groupBy("n", "block").applyInPandas(_local_join, _EDGE).withColumn("new", F.lit(True))
         merged = graph.withColumn("new", F.lit(False)).unionByName(offers).groupBy("id", "nbr").agg(
-            F.min("d").alias("d"), F.min("new").alias("new"))
+            F.min("d").alias("d"), F.min("new").alias("new"), F.first("n").alias("n"), F.first("blocks").alias("blocks"))
         after, after_path = save(_nearest(merged, k), "op4-graph")
         changed = after.where("new").count()
         drop(spark, path, member_path)
         graph, path = after, after_path
-        if changed <= CHANGED * k * n:
+        if changed <= CHANGED * k * total:
             break
     return graph.select("id", "nbr", "d"), path
 
 
 def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Squared distances of `(q, node, v, w)`."""
+    """Squared distances of `(q, node, v, w)`, the vectors of a row being of
+    one length."""
     for b in batches:
-        if len(b):
-            x = _matrix(b.column(2)).astype(np.float64) - _matrix(b.column(3))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array((x * x).sum(1))], ["q", "node", "d"])
+        length = pc.binary_length(b.column(2))
+        for n in pc.unique(length).to_pylist():
+            mine = b.filter(pc.equal(length, n))
+            x = _matrix(mine.column(2)).astype(np.float64) - _matrix(mine.column(3))
+            yield pa.RecordBatch.from_arrays([mine.column(0), mine.column(1), pa.array((x * x).sum(1))], ["q", "node", "d"])
 
 
 def graph_search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, *, beam: int = BEAM, expand: int = EXPAND,
@@ -199,8 +223,10 @@ def graph_search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, *, beam
     def scored(pairs: DataFrame) -> DataFrame:
         return pairs.join(vectors, "node").join(own, "q").select("q", "node", "v", "w").mapInArrow(_score, "q long, node long, d double")
 
-    start = nodes.select("id").orderBy(F.xxhash64("id", F.lit(11))).limit(entries)   # a fixed number of rows
-    pairs = (own.select("q", F.col("q").alias("node")).unionByName(own.crossJoin(F.broadcast(start)).select("q", F.col("id").alias("node")))
+    # a fixed number of nodes of each length
+    start = nodes.select("id", F.length("v").alias("n")).withColumn("h", F.xxhash64("id", F.lit(11)))
+    start = start.withColumn("r", F.expr("row_number() over (partition by n order by h, id)")).where(F.col("r") <= entries).select("id", "n")
+    pairs = (own.select("q", F.col("q").alias("node")).unionByName(own.withColumn("n", F.length("w")).join(start, "n").select("q", F.col("id").alias("node")))
              .unionByName(own.select("q").join(adjacent, F.col("q") == F.col("id")).select("q", F.col("nbr").alias("node"))).distinct())
     state = scored(pairs).withColumn("done", F.col("q") == F.col("node"))
     state, path = save(_beam(state, beam), "op4-beam")
@@ -229,8 +255,8 @@ def nearest(vectors: DataFrame, is_query: str = "vec_id % 100 = 0", *, top: int
     vec_id, score; ties go to the smaller vec_id.
 
     Null ids and vectors that are null, empty, zero or hold null or
-    non-finite components take no part, nor do vectors of another length
-    than the most frequent (the shorter of two as frequent). A repeated row
+    non-finite components take no part. Vectors of different lengths have no
+    distance: each length is indexed and searched on its own. A repeated row
     counts once, and rows with the query's own id are not its neighbours.
     Other columns are ignored; no rows give no rows.
     """
@@ -239,10 +265,7 @@ def nearest(vectors: DataFrame, is_query: str = "vec_id % 100 = 0", *, top: int
     rows = columns(vectors, "vec_id", "embedding").select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("e")).where(
         usable() & F.col("vec_id").isNotNull())
-    size = rows.groupBy(F.size("e").alias("n")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), "n").first()
-    if size is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = rows.where(F.size("e") == size["n"]).select("vec_id", "e", F.xxhash64("e").alias("k1"), F.xxhash64("e", F.lit(1)).alias("k2"))
+    rows = rows.select("vec_id", "e", F.xxhash64("e").alias("k1"), F.xxhash64("e", F.lit(1)).alias("k2"))
     nodes = rows.groupBy("k1", "k2").agg(F.min("vec_id").alias("id"), F.first("e").alias("e"))
     to_bytes = F.pandas_udf(lambda s: s.map(lambda v: np.asarray(v, dtype=np.float32).tobytes()), "binary")
     nodes, _ = save(nodes.select("k1", "k2", "id", "e", to_bytes("e").alias("v")), "op4-nodes")

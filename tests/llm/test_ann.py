@@ -56,3 +56,17 @@ def test_ties_copies_and_awkward_vectors(spark):
     assert got(spark.createDataFrame(rows[:4], "vec_id long, embedding array<float>")).keys() == {0}
     assert len(got(spark.createDataFrame(rows[:4], "vec_id long, embedding array<float>"))[0]) == 3
     assert got(spark.createDataFrame([], "vec_id long, embedding array<float>")) == {}
+
+
+def test_every_length_is_indexed_and_searched(spark):
+    rng = np.random.default_rng(5)
+    by_length = {}
+    for i in range(900):
+        by_length.setdefault((2, 3, 16)[i // 10 % 3], []).append(i)
+    rows = [(i, [float(v) for v in rng.normal(size=n) + 5]) for n, ids in by_length.items() for i in ids]
+    have = got(spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3), leaf=40, k=8, beam=64)
+    want = {}
+    for n, ids in by_length.items():
+        want |= brute([(i, np.float32(e).tolist()) for i, e in rows if i in set(ids)])
+    assert set(have) == set(want) == {i for i in range(900) if i % 100 == 0}
+    assert recall(have, want) >= 0.9
