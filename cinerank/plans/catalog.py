@@ -16,6 +16,7 @@ from cinerank.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+SPARSE_BUCKETS = 2 ** 16  # hashing buckets of the sparse content join
 EMBEDDING_BLOCK = 256  # rows; several blocks also on the smaller fixtures
 EMBEDDING_THRESHOLD = 0.3  # factor cosine >= 0.6 is empty on the fixture embeddings
 
@@ -86,6 +87,11 @@ def q_content_movie_recs_ml(spark, d):
     return content.content_movie_recs_ml(fx.movies(spark, d))
 
 
+def q_content_profile_pairs(spark, d):
+    """Similar profiles by inverted lists over many hashing buckets."""
+    return content.content_profile_pairs(fx.movies(spark, d), num_features=SPARSE_BUCKETS)
+
+
 def q_embedding_movie_recs(spark, d):
     return lfm.lfm_movie_recs(fx.item_factors(spark, d), threshold=EMBEDDING_THRESHOLD, block_rows=EMBEDDING_BLOCK)
 
@@ -177,6 +183,7 @@ def queries() -> dict[str, Query]:
         "content_tf_idf": q_content_tf_idf,
         "content_movie_recs": q_content_movie_recs,
         "content_movie_recs_ml": q_content_movie_recs_ml,
+        "content_profile_pairs": q_content_profile_pairs,
         "embedding_movie_recs": q_embedding_movie_recs,
         "embedding_movie_recs_ranked": q_embedding_movie_recs_ranked,
         "candidate_movies": q_candidate_movies,

@@ -57,8 +57,8 @@ w AS (
   FROM tf JOIN dfs ON tf.bucket = dfs.bucket CROSS JOIN ndocs)"""
 
 
-def _content_sim(threshold: float = 0.6) -> str:
-    return _tfidf() + f""",
+def _content_sim(threshold: float = 0.6, nf: int = 50) -> str:
+    return _tfidf(nf) + f""",
 norms AS (SELECT mid, sqrt(sum(weight * weight)) AS norm FROM w GROUP BY mid),
 dots AS (
   SELECT a.mid AS mid, b.mid AS rec_mid, sum(a.weight * b.weight) AS dot
@@ -133,6 +133,12 @@ WHERE rank <= 10"""
     q["content_tf_idf"] = _with(_MOVIES, _tfidf()) + \
         "SELECT mid, bucket, tf, " + _r6("idf") + " AS idf, " + _r6("weight") + " AS weight FROM w"
     q["content_movie_recs"] = _with(_MOVIES, _content_sim()) + "SELECT mid, rec_mid, score FROM sim"
+    # movies of one profile have the same words in any order
+    q["content_profile_pairs"] = _with(_MOVIES, _content_sim(nf=2 ** 16)) + """, bags AS (
+  SELECT mid, string_agg(w, ' ' ORDER BY w) AS bag FROM words GROUP BY mid),
+profiles AS (SELECT bag, min(mid) AS mid, count(*) AS n FROM bags GROUP BY bag)
+SELECT s.mid, s.rec_mid, a.n AS n_mid, b.n AS n_rec, s.score
+FROM sim s JOIN profiles a ON a.mid = s.mid JOIN profiles b ON b.mid = s.rec_mid"""
     q["embedding_movie_recs"] = """WITH f AS (SELECT vec_id AS mid, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 n AS (SELECT mid, v, sqrt(list_dot_product(v, v)) AS norm FROM f)
 SELECT mid, rec_mid, """ + _r6("raw") + """ AS score FROM (
