@@ -13,6 +13,7 @@ from cinerank.functions.ranking import ranked_pairs
 from cinerank.operators import content, lfm, realtime, stats
 from cinerank.operators.similarity import top_k_inner_product
 from cinerank.sources import fixtures as fx
+from cinerank.sources import text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +76,13 @@ def q_recent_ratings(spark, d):
     return realtime.recent_ratings(fx.ratings(spark, d))
 
 
+def q_recent_ratings_lists(spark, d):
+    """Every user's recent ratings, written as the list elements `MID:SCORE`
+    that the list store held and read back from them."""
+    lists = text.render_recents(realtime.recent_ratings(fx.ratings(spark, d)))
+    return text.parse_recents(lists)[0]
+
+
 def q_content_tf_idf(spark, d):
     return content.content_tf_idf(fx.movies(spark, d))
 
@@ -180,6 +188,7 @@ def queries() -> dict[str, Query]:
         "distinct_users": q_distinct_users,
         "distinct_items": q_distinct_items,
         "recent_ratings": q_recent_ratings,
+        "recent_ratings_lists": q_recent_ratings_lists,
         "content_tf_idf": q_content_tf_idf,
         "content_movie_recs": q_content_movie_recs,
         "content_movie_recs_ml": q_content_movie_recs_ml,

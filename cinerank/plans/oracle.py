@@ -130,6 +130,7 @@ WHERE rank <= 10"""
   SELECT uid, mid, score, ts,
          CAST(row_number() OVER (PARTITION BY uid ORDER BY ts DESC, mid, score DESC) AS INTEGER) AS rank
   FROM ratings) WHERE rank <= 20"""
+    q["recent_ratings_lists"] = f"SELECT uid, rank, mid, score FROM ({q['recent_ratings']})"
     q["content_tf_idf"] = _with(_MOVIES, _tfidf()) + \
         "SELECT mid, bucket, tf, " + _r6("idf") + " AS idf, " + _r6("weight") + " AS weight FROM w"
     q["content_movie_recs"] = _with(_MOVIES, _content_sim()) + "SELECT mid, rec_mid, score FROM sim"

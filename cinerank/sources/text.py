@@ -1,5 +1,5 @@
 """Line-oriented inputs: `^`-separated movies, CSV ratings and tags, and
-`UID|MID|SCORE|TIMESTAMP` rating messages.
+`UID|MID|SCORE|TIMESTAMP` rating messages, and `MID:SCORE` list elements.
 
 Each parser reads lines with `spark.read.text` (or takes a DataFrame with a
 `value` column, e.g. a stream), splits with built-in expressions and
@@ -27,9 +27,10 @@ def _num(c: Column, typ: str) -> Column:
     return c.try_cast(typ)
 
 
-def _split_parse(lines: DataFrame, sep_regex: str, specs: list[tuple[str, str, bool]]
-                 ) -> tuple[DataFrame, DataFrame]:
-    """specs: (name, type, trim) per leading field. Returns (good, rejects)."""
+def _split_parse(lines: DataFrame, sep_regex: str, specs: list[tuple[str, str, bool]],
+                 keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """specs: (name, type, trim) per leading field. Returns (good, rejects),
+    both with the columns `keep` of `lines` before their own."""
     parts = F.split(F.col("value"), sep_regex)
     cols, checks = [], []
     for i, (name, typ, trim) in enumerate(specs):
@@ -41,9 +42,9 @@ def _split_parse(lines: DataFrame, sep_regex: str, specs: list[tuple[str, str, b
             checks.append(F.when(val.isNull(), F.lit(f"bad {name}")))
     n = len(specs)
     reason = F.coalesce(F.when(F.size(parts) < n, F.lit(f"expected {n} fields")), *checks)
-    parsed = lines.select(F.col("value"), reason.alias("_reason"), *cols)
+    parsed = lines.select(*keep, F.col("value"), reason.alias("_reason"), *cols)
     good = parsed.where(F.col("_reason").isNull()).drop("_reason", "value")
-    bad = parsed.where(F.col("_reason").isNotNull()).select("value", F.col("_reason").alias("reason"))
+    bad = parsed.where(F.col("_reason").isNotNull()).select(*keep, "value", F.col("_reason").alias("reason"))
     return good, bad
 
 
@@ -71,6 +72,18 @@ def parse_rating_messages(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return parse_ratings(messages, r"\|")
 
 
+def parse_recents(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Latest-rating lists (uid, ratings): `MID:SCORE` elements, newest first.
+
+    Returns (uid, rank, mid, score), rank being the 1-based place in the list
+    as it was stored, and the rejects (uid, rank, value, reason). A null or
+    empty list has no rows; a null element is rejected and keeps its place.
+    """
+    each = lists.select("uid", F.posexplode("ratings").alias("_pos", "value"))
+    each = each.select("uid", (F.col("_pos") + 1).cast("int").alias("rank"), F.coalesce("value", F.lit("")).alias("value"))
+    return _split_parse(each, ":", [("mid", "bigint", True), ("score", "double", True)], keep=("uid", "rank"))
+
+
 def load_movies(spark: SparkSession, path: str, with_rejects: bool = False):
     good, bad = parse_movies(_lines(spark, path))
     return (good, bad) if with_rejects else good
@@ -101,5 +114,12 @@ def render_tags(tags: DataFrame) -> DataFrame:
     return tags.select(F.concat_ws(",", *[F.col(c).cast("string") for c in ("uid", "mid", "tag", "ts")]).alias("value"))
 
 
+def render_recents(recents: DataFrame) -> DataFrame:
+    """(uid, rank, mid, score) -> (uid, ratings): a user's bounded list."""
+    element = F.struct("rank", F.concat_ws(":", F.col("mid").cast("string"), F.col("score").cast("string")).alias("value"))
+    lists = recents.groupBy("uid").agg(F.sort_array(F.collect_list(element)).alias("_l"))
+    return lists.select("uid", F.transform("_l", lambda e: e["value"]).alias("ratings"))
+
+
 def render_rating_messages(ratings: DataFrame) -> DataFrame:
     return render_ratings(ratings, "|")

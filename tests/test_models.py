@@ -38,6 +38,13 @@ def test_tune_als_grid(spark):
     assert [x.rmse for x in res] == sorted(x.rmse for x in res)
 
 
+def test_tuning_side_by_side_gives_the_rows_of_one_by_one(spark):
+    r = fx.ratings(spark, SF_SMALL)
+    runs = [[tuple(x) for x in lfm.tune_als(r, ranks=(3, 5), regs=(0.01, 0.3), max_iter=2, parallel=p).collect()] for p in (1, 4)]
+    assert [x[:2] for x in runs[0]] == [x[:2] for x in runs[1]]
+    assert all(abs(a[2] - b[2]) < 1e-9 for a, b in zip(*runs, strict=True))
+
+
 def test_ml_featurisation_runs(spark):
     recs = content.content_movie_recs_ml(fx.movies(spark, SF_SMALL))
     assert recs.where("score <= 0.6 or mid = rec_mid").count() == 0
@@ -49,6 +56,10 @@ def test_dense_ids_exact(spark):
     m = lfm.dense_ids(ids, "uid", "uid_i").collect()
     assert sorted(r.uid_i for r in m) == list(range(5000))
     assert len({r.uid for r in m}) == 5000
+    # numbers follow the ids, however the rows lie in partitions; nulls have none
+    other = ids.union(spark.sql("select cast(null as bigint) uid")).repartition(3)
+    assert {r.uid: r.uid_i for r in m} == {r.uid: r.uid_i for r in lfm.dense_ids(other, "uid", "uid_i").collect()}
+    assert [r.uid_i for r in sorted(m, key=lambda r: r.uid)] == list(range(5000))
 
 
 def test_als_with_64bit_ids(spark):

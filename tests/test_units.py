@@ -350,3 +350,12 @@ def test_ml_form_treats_null_and_blank_genres_alike(spark):
     df = spark.createDataFrame(rows, "mid long, genres string")
     linked = [sorted((a, b) for a, b, s in f(df).collect() if s == 1.0) for f in (content_movie_recs, content_movie_recs_ml)]
     assert linked[0] == linked[1] == [(3, 4), (4, 3), (6, 7), (7, 6)]
+
+
+def test_recent_lists_parse_and_reject(spark):
+    rows = [(1, ["5:4.5", " 7 : 3 ", "x:2", "9", None, "8:1.5:extra"]), (2, []), (3, None)]
+    good, bad = text.parse_recents(spark.createDataFrame(rows, "uid long, ratings array<string>"))
+    assert sorted(map(tuple, good.collect())) == [(1, 1, 5, 4.5), (1, 2, 7, 3.0), (1, 6, 8, 1.5)]
+    assert sorted((r["uid"], r["rank"], r["value"], r["reason"]) for r in bad.collect()) == [
+        (1, 3, "x:2", "bad mid"), (1, 4, "9", "expected 2 fields"), (1, 5, "", "expected 2 fields")]
+    assert sorted(map(tuple, text.parse_recents(text.render_recents(good.where("rank < 3")))[0].collect())) == [(1, 1, 5, 4.5), (1, 2, 7, 3.0)]
