@@ -24,7 +24,9 @@ entities of the very same documents are one case. Neither changes a result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinerank.llm.common import columns, save
@@ -52,9 +54,14 @@ PRIOR = 1.0        # documents that P(E) counts for in P(E|t)
 _SPANS = "array<struct<start:int,end:int,value:string>>"
 
 
-def _matches(text: Column, pattern: str | Column) -> Column:
+# Matches of a text are placed in parts of so many, so that the arrays that
+# grow by one stay short.
+_PART = 128
+
+
+def _matches(text: Column, pattern: str) -> Column:
     """Spans of all matches, from the pieces between them."""
-    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
+    pattern = F.lit(pattern)
     zipped = F.arrays_zip(F.split(text, pattern, -1).alias("p"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("h"))
     zipped = F.transform(zipped, lambda x: F.struct(F.length(x["p"]).alias("p"), x["h"].alias("h")))
 
@@ -64,8 +71,15 @@ def _matches(text: Column, pattern: str | Column) -> Column:
         hit = F.array(F.struct(start.alias("start"), end.alias("end"), x["h"].alias("value")))
         return F.struct(end.alias("pos"), F.when(x["h"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], hit)).alias("out"))
 
-    start = F.expr(f"named_struct('pos', 0, 'out', cast(array() as {_SPANS}))")
-    return F.aggregate(zipped, start, add, lambda acc: acc["out"])
+    def add_part(acc: Column, k: Column) -> Column:
+        start = F.struct(acc["pos"].alias("pos"), F.expr(f"cast(array() as {_SPANS})").alias("out"))
+        part = F.aggregate(F.slice(acc["all"], k * _PART + 1, _PART), start, add)
+        return F.struct(acc["all"].alias("all"), part["pos"].alias("pos"), F.concat(acc["out"], F.array(part["out"])).alias("out"))
+
+    start = F.struct(zipped.alias("all"), F.lit(0).alias("pos"), F.expr(f"cast(array() as array<{_SPANS}>)").alias("out"))
+    # split gives one piece at least
+    parts = F.sequence(F.lit(0), F.floor((F.size(zipped) - 1) / F.lit(_PART)).cast("int"))
+    return F.aggregate(parts, start, add_part, lambda acc: F.flatten(acc["out"]))
 
 
 def _digits(value: Column) -> Column:
@@ -123,16 +137,33 @@ def _key(kind: Column, value: Column) -> Column:
     return F.concat_ws(":", kind, F.when(kind.isin("card", "phone"), _digits(value)).otherwise(F.lower(value)))
 
 
-def _blanked(text: Column, base: Column) -> Column:
-    """The text with blanks for its base spans; positions stay."""
+def _replaced(text: Column, spans: Column, put: Callable[[Column, Column], Column]) -> Column:
+    """The text with `put(end of the last span, span)` for each span. Spans
+    are handled in parts that cut their stretch out of the text once, so that
+    a position is never sought from the text's start for each of them."""
     def add(acc: Column, s: Column) -> Column:
-        gap = F.array(F.substring(text, acc["pos"] + 1, F.greatest(s["start"] - acc["pos"], F.lit(0))),
-                      F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(acc["pos"], s["start"]), F.lit(0))))
-        return F.struct(F.greatest(acc["pos"], s["end"]).alias("pos"), F.concat(acc["out"], gap).alias("out"))
+        gap = F.substring(acc["stretch"], acc["pos"] - acc["off"] + 1, F.greatest(s["start"] - acc["pos"], F.lit(0)))
+        return F.struct(F.greatest(acc["pos"], s["end"]).alias("pos"), acc["off"].alias("off"), acc["stretch"].alias("stretch"),
+                        F.concat(acc["out"], F.array(gap, put(acc["pos"], s))).alias("out"))
+
+    def add_part(acc: Column, k: Column) -> Column:
+        part = F.slice(spans, k * _PART + 1, _PART)
+        last = F.coalesce(F.array_max(F.transform(part, lambda s: s["end"])), F.lit(0))
+        start = F.struct(acc["pos"].alias("pos"), acc["pos"].alias("off"),
+                         F.substring(text, acc["pos"] + 1, F.greatest(last - acc["pos"], F.lit(0))).alias("stretch"),
+                         F.expr("cast(array() as array<string>)").alias("out"))
+        done = F.aggregate(part, start, add, lambda x: F.struct(x["pos"].alias("pos"), F.array_join(x["out"], "").alias("out")))
+        return F.struct(done["pos"].alias("pos"), F.concat(acc["out"], F.array(done["out"])).alias("out"))
 
     start = F.expr("named_struct('pos', 0, 'out', cast(array() as array<string>))")
-    blank = F.aggregate(base, start, add, lambda acc: F.concat(
+    parts = F.sequence(F.lit(0), F.greatest(F.floor((F.size(spans) - 1) / F.lit(_PART)).cast("int"), F.lit(0)))
+    return F.aggregate(parts, start, add_part, lambda acc: F.concat(
         F.array_join(acc["out"], ""), F.substring(text, acc["pos"] + 1, F.length(text))))
+
+
+def _blanked(text: Column, base: Column) -> Column:
+    """The text with blanks for its base spans; positions stay."""
+    blank = _replaced(text, base, lambda pos, s: F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(pos, s["start"]), F.lit(0))))
     return F.when(F.size(base) > 0, blank).otherwise(text)
 
 
@@ -142,8 +173,8 @@ def _words(text: Column) -> Column:
 
 def telling_words(docs: DataFrame, some: DataFrame, *, posterior: float = POSTERIOR, bits: float = BITS,
                   prior: float = PRIOR) -> DataFrame:
-    """`(row, pattern)`: a pattern of the words, as written, that give away
-    entities of this row of `some` (row, base, and the blanked text `shown`).
+    """`(row, term)`: the terms that give away entities of this row of `some`
+    (row, base, and the blanked text `shown`).
 
     A text's terms are made distinct and pre-aggregated before the shuffle.
     """
@@ -162,16 +193,33 @@ def telling_words(docs: DataFrame, some: DataFrame, *, posterior: float = POSTER
     all_terms = all_words.select(F.explode(F.array_distinct(F.transform("w", F.lower))).alias("term"))
     most = own.agg(F.max("c_e")).first()[0] or 0
     seen, _ = save(all_terms.groupBy("term").agg(F.count("*").alias("c_t")).where(in_reach(F.lit(most))), "op8-seen")
-    words = some.select("row", F.explode(_words(F.col("shown"))).alias("w")).withColumn("term", F.lower("w"))
+    words = some.select("row", F.explode(F.array_distinct(F.transform(_words(F.col("shown")), F.lower))).alias("term"))
     words, _ = save(words.join(seen, "term"), "op8-words")
-    pairs, _ = save(words.select("row", "term", "c_t").distinct().join(own, "row").where(in_reach(F.col("c_e"))), "op8-pairs")
+    pairs, _ = save(words.join(own, "row").where(in_reach(F.col("c_e"))), "op8-pairs")
     p_e = F.col("c_e") / F.lit(float(n))
     p = (F.col("c_et") + prior * p_e) / (F.col("c_t") + prior)
     told = pairs.groupBy("term", "c_e", "x", "y").agg(F.count("*").alias("c_et"), F.first("c_t").alias("c_t")).where(
         (p >= posterior) & (F.log2(p / p_e) >= bits))
-    hits = pairs.join(told.select("term", "c_e", "x", "y"), ["term", "c_e", "x", "y"], "left_semi").select("row", "term").distinct()
-    found = words.join(hits, ["row", "term"], "left_semi").groupBy("row").agg(F.array_sort(F.collect_set("w")).alias("w"))
-    return found.select("row", F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join("w", "|"), F.lit(r")(?!\p{L})")).alias("pattern"))
+    return pairs.join(told.select("term", "c_e", "x", "y"), ["term", "c_e", "x", "y"], "left_semi").select("row", "term").distinct()
+
+
+def term_spans(some: DataFrame, hits: DataFrame) -> DataFrame:
+    """`(row, terms)`: the spans of all words of `shown` whose term is among
+    the row's `hits` (row, term).
+
+    The words become rows with their positions and meet the hits by (row,
+    term), so a text's cost grows with its length, not with its length times
+    its telling terms. A window holds the words of one text.
+    """
+    texts = some.join(hits.select("row").distinct(), "row", "left_semi")
+    pieces = F.arrays_zip(F.split("shown", TERM, -1).alias("p"), F.regexp_extract_all("shown", F.lit(TERM), F.lit(0)).alias("w"))
+    pieces = F.transform(pieces, lambda x: F.struct(F.length(x["p"]).alias("p"), x["w"].alias("w")))
+    words = texts.select("row", F.posexplode(pieces).alias("i", "x")).select("row", "i", F.col("x.p").alias("p"), F.col("x.w").alias("w"))
+    step = F.col("p") + F.coalesce(F.length("w"), F.lit(0))
+    words = words.withColumn("end", F.sum(step).over(Window.partitionBy("row").orderBy("i")).cast("int")).where("w is not null")
+    words = words.select("row", F.lower("w").alias("term"), (F.col("end") - F.length("w")).alias("start"), "end")
+    span = F.struct("start", F.lit(TERM_RANK).alias("rank"), "end", F.lit("term").alias("kind"), F.lit("").alias("value"))
+    return words.join(hits, ["row", "term"], "left_semi").groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("terms"))
 
 
 def find_pii(docs: DataFrame, **thresholds) -> DataFrame:
@@ -188,11 +236,9 @@ def find_pii(docs: DataFrame, **thresholds) -> DataFrame:
     shown = F.when(F.size("base") > 0, _blanked(F.col("text"), F.col("base"))).alias("shown")
     some, _ = save(found.select(F.monotonically_increasing_id().alias("row"), "doc_id", "h", "base", shown), "op8-base")
     hits, _ = save(telling_words(docs, some, **thresholds), "op8-terms")
-    out = some.join(hits, "row", "left")
+    out = some.drop("shown").join(term_spans(some, hits), "row", "left")
     none = F.expr("cast(array() as array<struct<start:int,rank:int,end:int,kind:string,value:string>>)")
-    terms = F.transform(_matches(F.col("shown"), F.col("pattern")), lambda s: F.struct(
-        s["start"].alias("start"), F.lit(TERM_RANK).alias("rank"), s["end"].alias("end"), F.lit("term").alias("kind"), F.lit("").alias("value")))
-    out = out.withColumn("terms", F.when(F.col("pattern").isNotNull(), terms).otherwise(none)).drop("shown", "pattern")
+    out = out.withColumn("terms", F.coalesce("terms", none))
     return out.select("doc_id", "h", *map(_count, KINDS), F.sha2(_written(F.col("base")), 256).alias("base_sha256"), "base", "terms",
                       _written(F.array_sort(F.concat("base", "terms"))).alias("spans"))
 
@@ -209,15 +255,8 @@ def sanitise(docs: DataFrame, **thresholds) -> DataFrame:
     out = docs.join(found, F.col("doc_id").eqNullSafe(F.col("__i")) & (key == F.col("__h")), "left")
     text = F.col("text")
 
-    def add(acc: Column, s: Column) -> Column:
-        gap = F.concat(acc["out"], F.array(F.substring(text, acc["pos"] + 1, s["start"] - acc["pos"]),
-                                           F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))
-        return F.struct(F.greatest(acc["pos"], s["end"]).alias("pos"),
-                        F.when(s["start"] >= acc["pos"], gap).otherwise(acc["out"]).alias("out"))
-
-    start = F.expr("named_struct('pos', 0, 'out', cast(array() as array<string>))")
-    clean = F.aggregate("__s", start, add, lambda acc: F.concat(
-        F.array_join(acc["out"], ""), F.substring(text, acc["pos"] + 1, F.length(text))))
+    clean = _replaced(text, F.col("__s"), lambda pos, s: F.when(
+        s["start"] >= pos, F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise(F.lit("")))
     clean = F.when(F.col("__s").isNull(), text).otherwise(clean)
     names = [c for c in docs.columns]
     out = out.withColumn("__t", clean)

@@ -69,3 +69,32 @@ def test_terms_of_the_whole_table_equal_brute_force(spark):
     want = pii_terms([r["text"] for r in rows])
     assert sorted((str(r["doc_id"]), [(s["start"], s["end"]) for s in r["terms"]]) for r in got) == sorted(
         (str(r["doc_id"]), want[k]) for k, r in enumerate(rows))
+
+
+def test_very_long_texts(spark):
+    """Thousands of telling words, and thousands of entities, in one text."""
+    words = [f"q{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(12000)]
+    ips = [f"1.{i // 250}.2.{i % 250}" for i in range(6000)]
+    rows = [(1, "a@b.co " + " ".join(words)), (2, " ".join(ips)), (3, " word ".join(ips[:1000]) + " +1 (202) 555-0199 " * 300)]
+    rows += [(10 + i, "plain words here") for i in range(300)]
+    df = check_rows(spark, rows)
+    out = {r["doc_id"]: r["text"] for r in sanitise(df).collect()}
+    assert out[1] == "[EMAIL]" + " [TERM]" * 12000 and out[2] == " ".join(["[IP]"] * 6000)
+    assert out[10] == "plain words here"
+
+
+def test_columns_that_clash_with_own_names(spark):
+    df = spark.createDataFrame([(1, "mail a@b.co now", 5, "b", "s", "t")], "doc_id long, text string, base int, __h string, row string, shown string")
+    assert find_pii(df).first()["n_email"] == 1
+    got = sanitise(df.withColumnRenamed("__h", "terms")).first()
+    assert got["text"].startswith("mail [EMAIL]") or got["text"].startswith("[TERM] [EMAIL]")
+    assert (got["base"], got["terms"], got["row"], got["shown"]) == (5, "b", "s", "t")
+
+
+def check_rows(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = check(df)
+    want = pii_terms([t for _, t in rows])
+    assert sorted((r["doc_id"], [(s["start"], s["end"]) for s in r["terms"]]) for r in got) == sorted(
+        (i, want[k]) for k, (i, _) in enumerate(rows))
+    return df
