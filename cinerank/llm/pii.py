@@ -3,8 +3,8 @@
 Everything is DataFrame expressions; no Python runs on the executors.
 
 Base kinds are matched by fixed patterns. Then information-theoretic
-sanitisation: for each protected entity E (a kind and value) and each term t
-of the whole texts that hold E, counts over all documents give
+sanitisation: for each protected entity E (a kind and value, or a kind alone)
+and each term t of the whole texts that hold E, counts over all documents give
 
     P(E|t) = (c(E,t) + PRIOR P(E)) / (c(t) + PRIOR),
     bits(E;t) = log2(P(E|t) / P(E))
@@ -12,14 +12,16 @@ of the whole texts that hold E, counts over all documents give
 with c(t) the documents holding t outside of their entities, c(E,t) those of
 them that hold E, and P(E) the share of documents holding E. A term that
 reaches both disclosure thresholds gives E away; in the documents that hold E
-all its occurrences are removed like the entity itself. Few documents say
-less because of PRIOR, but none are too few: a term of a single document with
-E gives it away, one that another document also has doesn't. A document
-without a protected entity is never changed.
-
-Pairs are made only where the thresholds can be reached: a term in so many
-documents that even c(E,t) = c(E) falls short reaches them for no E, and
-entities of the very same documents are one case. Neither changes a result.
+all its occurrences are removed like the entity itself. A term is any run of
+letters and digits, so account numbers and user names count as well. PRIOR
+documents speak against every term: one document is no proof, two that hold
+both E and t are, if no other document holds t. Copies count as documents; the
+pipeline has removed them before. A document without a protected entity is
+never changed.
+
+Pairs are made only where the thresholds can be reached: even with c(E,t) the
+smaller of c(E) and c(t), most terms and entities fall short, and entities of
+the very same documents are one case. Neither changes a result.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import columns, save
+from cinerank.llm.common import columns, drop, save
 
 # Kinds in their order of rank, and their patterns. Quantifiers
 # are possessive where what follows can't begin inside the run, and a local
@@ -44,12 +46,12 @@ PATTERNS = {
 }
 # A text without this can't hold the kind.
 HINTS = {"email": r"@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
-TERM = r"\p{L}{3,}+"
+TERM = r"[\p{L}\p{N}]++"
 TERM_RANK = len(KINDS)
 
 POSTERIOR = 0.5    # P(E|t) that discloses
 BITS = 6.0         # and the information it gives about E
-PRIOR = 1.0        # documents that P(E) counts for in P(E|t)
+PRIOR = 2.0        # documents that P(E) counts for in P(E|t)
 
 _SPANS = "array<struct<start:int,end:int,value:string>>"
 
@@ -180,27 +182,33 @@ def telling_words(docs: DataFrame, some: DataFrame, *, posterior: float = POSTER
     """
     n = some.count()
     some = some.where(F.size("base") > 0)
-    held = some.select("row", F.explode(F.array_distinct(F.transform("base", lambda s: _key(s["kind"], s["value"])))).alias("entity"))
+    keys = F.concat(F.transform("base", lambda s: _key(s["kind"], s["value"])), F.transform("base", lambda s: s["kind"]))
+    held = some.select("row", F.explode(F.array_distinct(keys)).alias("entity"))
     entities = held.groupBy("entity").agg(F.count("*").alias("c_e"), F.bit_xor(F.xxhash64("row")).alias("x"),
                                           F.bit_xor(F.xxhash64("row", F.lit(1))).alias("y"))
-    entities = entities.where(F.log2(F.lit(float(n)) / F.col("c_e")) >= bits)  # the most that a term can tell
-    own, _ = save(held.join(entities, "entity").select("row", "c_e", "x", "y").distinct(), "op8-own")
 
-    def in_reach(c_e: Column) -> Column:
-        return posterior * (F.col("c_t") + prior) <= c_e * (1 + prior / max(n, 1)) + 1e-9
+    def in_reach(c_e: Column, c_t: Column) -> Column:
+        return posterior * (c_t + prior) <= F.least(c_e, c_t) + c_e * (prior / max(n, 1)) + 1e-9
+
+    # the most that a term can tell: one in the very documents of the entity
+    entities = entities.where((F.log2(F.lit(float(n)) / F.col("c_e")) >= bits) & in_reach(F.col("c_e"), F.col("c_e")))
+    own, own_path = save(held.join(entities, "entity").select("row", "c_e", "x", "y").distinct(), "op8-own")
 
     all_words = docs.select("text", base_spans(F.col("text")).alias("base")).select(_words(_blanked(F.col("text"), F.col("base"))).alias("w"))
     all_terms = all_words.select(F.explode(F.array_distinct(F.transform("w", F.lower))).alias("term"))
     most = own.agg(F.max("c_e")).first()[0] or 0
-    seen, _ = save(all_terms.groupBy("term").agg(F.count("*").alias("c_t")).where(in_reach(F.lit(most))), "op8-seen")
+    seen, seen_path = save(all_terms.groupBy("term").agg(F.count("*").alias("c_t")).where(in_reach(F.lit(most), F.col("c_t"))), "op8-seen")
     words = some.select("row", F.explode(F.array_distinct(F.transform(_words(F.col("shown")), F.lower))).alias("term"))
-    words, _ = save(words.join(seen, "term"), "op8-words")
-    pairs, _ = save(words.join(own, "row").where(in_reach(F.col("c_e"))), "op8-pairs")
+    words, words_path = save(words.join(seen, "term"), "op8-words")
+    pairs, pairs_path = save(words.join(own, "row").where(in_reach(F.col("c_e"), F.col("c_t"))), "op8-pairs")
     p_e = F.col("c_e") / F.lit(float(n))
     p = (F.col("c_et") + prior * p_e) / (F.col("c_t") + prior)
     told = pairs.groupBy("term", "c_e", "x", "y").agg(F.count("*").alias("c_et"), F.first("c_t").alias("c_t")).where(
         (p >= posterior) & (F.log2(p / p_e) >= bits))
-    return pairs.join(told.select("term", "c_e", "x", "y"), ["term", "c_e", "x", "y"], "left_semi").select("row", "term").distinct()
+    hits = pairs.join(told.select("term", "c_e", "x", "y"), ["term", "c_e", "x", "y"], "left_semi").select("row", "term").distinct()
+    hits, _ = save(hits, "op8-terms")
+    drop(docs.sparkSession, own_path, seen_path, words_path, pairs_path)
+    return hits
 
 
 def term_spans(some: DataFrame, hits: DataFrame) -> DataFrame:
@@ -235,7 +243,7 @@ def find_pii(docs: DataFrame, **thresholds) -> DataFrame:
     found = docs.select("doc_id", F.xxhash64("text").alias("h"), "text", base_spans(F.col("text")).alias("base"))
     shown = F.when(F.size("base") > 0, _blanked(F.col("text"), F.col("base"))).alias("shown")
     some, _ = save(found.select(F.monotonically_increasing_id().alias("row"), "doc_id", "h", "base", shown), "op8-base")
-    hits, _ = save(telling_words(docs, some, **thresholds), "op8-terms")
+    hits = telling_words(docs, some, **thresholds)
     out = some.drop("shown").join(term_spans(some, hits), "row", "left")
     none = F.expr("cast(array() as array<struct<start:int,rank:int,end:int,kind:string,value:string>>)")
     out = out.withColumn("terms", F.coalesce("terms", none))

@@ -2,6 +2,7 @@
 
 import math
 import re
+import unicodedata
 from collections import Counter
 
 WORDS = re.compile(r"[^ \t-\r]+")
@@ -80,7 +81,7 @@ def pii_spans(text):
     return [f"{k}:{s}:{e}" for s, _, e, k in sorted(out)]
 
 
-def pii_terms(texts, posterior=0.5, bits=6.0, prior=1.0):
+def pii_terms(texts, posterior=0.5, bits=6.0, prior=2.0):
     """Spans of the telling terms of each text, by all pairs of an entity and
     a term that share a text."""
     runs, entities = [], []
@@ -89,14 +90,14 @@ def pii_terms(texts, posterior=0.5, bits=6.0, prior=1.0):
         for s in pii_spans(t):
             kind, a, b = s.split(":")
             value = t[int(a):int(b)]
-            mine.add((kind, re.sub("[^0-9]", "", value) if kind in ("card", "phone") else value.lower()))
+            mine |= {(kind, re.sub("[^0-9]", "", value) if kind in ("card", "phone") else value.lower()), (kind, None)}
             shown[int(a):int(b)] = " " * (int(b) - int(a))
         out, a = [], None
         for i, c in enumerate([*shown, " "]):
-            if c.isalpha():
+            if unicodedata.category(c)[0] in "LN":
                 a = i if a is None else a
             elif a is not None:
-                out += [(a, i, t[a:i].lower())] * (i - a >= 3)
+                out.append((a, i, t[a:i].lower()))
                 a = None
         runs.append(out)
         entities.append(mine)

@@ -5,8 +5,8 @@ from tests.conftest import SF_MID
 from tests.llm.brute import KINDS, pii_spans, pii_terms
 
 
-def check(df):
-    got = find_pii(df).collect()
+def check(df, **thresholds):
+    got = find_pii(df, **thresholds).collect()
     texts = {(r["doc_id"], r["text"] or "") for r in df.select("doc_id", "text").collect()}
     want = sorted((str(i), ",".join(pii_spans(t))) for i, t in texts)
     assert sorted({(str(r["doc_id"]), ",".join(s for s in r["spans"].split(",") if not s.startswith("term"))) for r in got}) == want
@@ -55,8 +55,8 @@ def test_terms_of_whole_texts_equal_brute_force(spark):
     rows = [(i, t) for i, t in enumerate(texts)] + [(1, texts[1]), (None, "okapi +1 (202) 555-0199")]
     rows += [(1000 + i, f"mail the end and then by {far} filler") for i in range(600)]
     rows += [(5000, "a@x.io b@x.io " + " ".join("w" + chr(97 + i % 26) * (3 + i // 26) for i in range(2000)))]
-    got = find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    want = pii_terms([t for _, t in rows])
+    got = find_pii(spark.createDataFrame(rows, "doc_id long, text string"), prior=1.0).collect()
+    want = pii_terms([t for _, t in rows], prior=1.0)
     assert sorted((str(r["doc_id"]), [(s["start"], s["end"]) for s in r["terms"]]) for r in got) == sorted(
         (str(i), want[k]) for k, (i, _) in enumerate(rows))
     first = next(r for r in got if r["doc_id"] == 0)
@@ -71,14 +71,31 @@ def test_terms_of_the_whole_table_equal_brute_force(spark):
         (str(r["doc_id"]), want[k]) for k, r in enumerate(rows))
 
 
+def test_one_document_is_no_proof_two_are(spark):
+    rows = [(1, "zebu alone writes a@b.co"), (2, "okapi7 x9 pays from c@d.eu"), (3, "okapi7 x9 calls c@d.eu too"), (4, "too few pays")]
+    rows += [(10 + i, "alone few writes from calls pays too") for i in range(600)]
+    got = {r["doc_id"]: {rows[r["doc_id"] - 1][1][s["start"]:s["end"]] for s in r["terms"]}
+           for r in find_pii(check_rows(spark, rows)).where("doc_id < 10").collect()}
+    assert got == {1: set(), 2: {"okapi7", "x9"}, 3: {"okapi7", "x9"}, 4: set()}
+
+
+def test_terms_that_give_a_kind_away(spark):
+    """Every e-mail differs; the word that only they stand with tells of one."""
+    rows = [(i, f"mailbox{'' if i else ' '} of{i} u{i}@zoo.org here") for i in range(8)]
+    rows += [(100 + i, f"of and here {i}") for i in range(1200)]
+    got = {r["doc_id"]: [rows[r["doc_id"]][1][s["start"]:s["end"]] for s in r["terms"]]
+           for r in find_pii(check_rows(spark, rows)).where("doc_id < 100").collect()}
+    assert got == {i: ["mailbox"] for i in range(8)}
+
+
 def test_very_long_texts(spark):
     """Thousands of telling words, and thousands of entities, in one text."""
     words = [f"q{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(12000)]
     ips = [f"1.{i // 250}.2.{i % 250}" for i in range(6000)]
     rows = [(1, "a@b.co " + " ".join(words)), (2, " ".join(ips)), (3, " word ".join(ips[:1000]) + " +1 (202) 555-0199 " * 300)]
     rows += [(10 + i, "plain words here") for i in range(300)]
-    df = check_rows(spark, rows)
-    out = {r["doc_id"]: r["text"] for r in sanitise(df).collect()}
+    df = check_rows(spark, rows, prior=1.0)
+    out = {r["doc_id"]: r["text"] for r in sanitise(df, prior=1.0).collect()}
     assert out[1] == "[EMAIL]" + " [TERM]" * 12000 and out[2] == " ".join(["[IP]"] * 6000)
     assert out[10] == "plain words here"
 
@@ -91,10 +108,10 @@ def test_columns_that_clash_with_own_names(spark):
     assert (got["base"], got["terms"], got["row"], got["shown"]) == (5, "b", "s", "t")
 
 
-def check_rows(spark, rows):
+def check_rows(spark, rows, **thresholds):
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = check(df)
-    want = pii_terms([t for _, t in rows])
+    got = check(df, **thresholds)
+    want = pii_terms([t for _, t in rows], **thresholds)
     assert sorted((r["doc_id"], [(s["start"], s["end"]) for s in r["terms"]]) for r in got) == sorted(
         (i, want[k]) for k, (i, _) in enumerate(rows))
     return df
