@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinerank.llm.common import columns, drop, save
+from cinerank.operators.skew import skew_join
 
 # Kinds in their order of rank, and their patterns. Quantifiers
 # are possessive where what follows can't begin inside the run, and a local
@@ -184,15 +185,20 @@ def telling_words(docs: DataFrame, some: DataFrame, *, posterior: float = POSTER
     some = some.where(F.size("base") > 0)
     keys = F.concat(F.transform("base", lambda s: _key(s["kind"], s["value"])), F.transform("base", lambda s: s["kind"]))
     held = some.select("row", F.explode(F.array_distinct(keys)).alias("entity"))
-    entities = held.groupBy("entity").agg(F.count("*").alias("c_e"), F.bit_xor(F.xxhash64("row")).alias("x"),
-                                          F.bit_xor(F.xxhash64("row", F.lit(1))).alias("y"))
+    every, every_path = save(held.groupBy("entity").agg(
+        F.count("*").alias("c_e"), F.bit_xor(F.xxhash64("row")).alias("x"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("y")), "op8-entities")
 
     def in_reach(c_e: Column, c_t: Column) -> Column:
         return posterior * (c_t + prior) <= F.least(c_e, c_t) + c_e * (prior / max(n, 1)) + 1e-9
 
     # the most that a term can tell: one in the very documents of the entity
-    entities = entities.where((F.log2(F.lit(float(n)) / F.col("c_e")) >= bits) & in_reach(F.col("c_e"), F.col("c_e")))
-    own, own_path = save(held.join(entities, "entity").select("row", "c_e", "x", "y").distinct(), "op8-own")
+    entities = every.where((F.log2(F.lit(float(n)) / F.col("c_e")) >= bits) & in_reach(F.col("c_e"), F.col("c_e")))
+    # kinds are hot, but four at most; a value is split where many rows hold it
+    kind = F.col("entity").isin(*KINDS)
+    counts = every.select("entity", F.col("c_e").alias("_n"))
+    own = held.where(kind).join(F.broadcast(entities.where(kind)), "entity").unionByName(
+        skew_join(held.where(~kind), entities.where(~kind), "entity", left_counts=counts, right_hot=False))
+    own, own_path = save(own.select("row", "c_e", "x", "y").distinct(), "op8-own")
 
     all_words = docs.select("text", base_spans(F.col("text")).alias("base")).select(_words(_blanked(F.col("text"), F.col("base"))).alias("w"))
     all_terms = all_words.select(F.explode(F.array_distinct(F.transform("w", F.lower))).alias("term"))
@@ -207,7 +213,7 @@ def telling_words(docs: DataFrame, some: DataFrame, *, posterior: float = POSTER
         (p >= posterior) & (F.log2(p / p_e) >= bits))
     hits = pairs.join(told.select("term", "c_e", "x", "y"), ["term", "c_e", "x", "y"], "left_semi").select("row", "term").distinct()
     hits, _ = save(hits, "op8-terms")
-    drop(docs.sparkSession, own_path, seen_path, words_path, pairs_path)
+    drop(docs.sparkSession, every_path, own_path, seen_path, words_path, pairs_path)
     return hits
 
 
