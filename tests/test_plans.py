@@ -88,3 +88,13 @@ def test_second_layout_skips_row_groups(spark):
         return hit, total
     by_user, by_item = groups(f"{base}/by_user"), groups(f"{base}/by_item")
     assert by_item[0] == 1 and by_user[0] == by_user[1] > 1
+
+
+def test_large_written_tables_are_not_broadcast_by_their_file_size(spark):
+    from cinerank.session import BROADCAST_ROWS, materialize
+    big = materialize(spark.range(BROADCAST_ROWS + 1).selectExpr("id div 1000 AS k", "'the same text in every row' AS v"), "test-big")
+    small = materialize(spark.range(100).selectExpr("id AS k"), "test-small")
+    other = spark.range(10 ** 7).selectExpr("id AS k", "id AS o")
+    assert "BroadcastHashJoin" not in _plan(other.join(big, "k"))
+    assert "BroadcastHashJoin" not in _plan(other.join(big.select("k").distinct(), "k"))
+    assert "BroadcastHashJoin" in _plan(other.join(small, "k"))
