@@ -359,3 +359,21 @@ def test_recent_lists_parse_and_reject(spark):
     assert sorted((r["uid"], r["rank"], r["value"], r["reason"]) for r in bad.collect()) == [
         (1, 3, "x:2", "bad mid"), (1, 4, "9", "expected 2 fields"), (1, 5, "", "expected 2 fields")]
     assert sorted(map(tuple, text.parse_recents(text.render_recents(good.where("rank < 3")))[0].collect())) == [(1, 1, 5, 4.5), (1, 2, 7, 3.0)]
+
+
+def test_candidates_keep_a_request_in_one_row_and_read_on_where_needed(spark, monkeypatch):
+    """The first round holds one row a request, whatever n; users who rated the
+    whole first segment read on; repeated and null rows count as before."""
+    written = []
+    write = realtime.materialize
+    monkeypatch.setattr(realtime, "materialize", lambda df, name: written.append((name, write(df, name))) or written[-1][1])
+    sim = spark.createDataFrame([(1, b, 1 - b / 100) for b in range(2, 80)], "mid bigint, rec_mid bigint, score double")
+    rated = ratings_df(spark, [(7, b, 4.0, 0) for b in range(2, 50)] + [(8, 3, 4.0, 0), (8, 3, 2.0, 1), (8, None, 2.0, 1)])
+    req = spark.createDataFrame([(7, 1), (8, 1), (8, 1), (9, 1), (9, None), (None, 1)], "uid bigint, mid bigint")
+    got = {}
+    for r in realtime.candidate_movies(req.where("uid <> 7"), sim, rated, n=5).collect():
+        got.setdefault(r.uid, []).append((r["rank"], r.rec_mid))
+    assert got == {8: [(1, 2), (2, 4), (3, 5), (4, 6), (5, 7)], 9: [(k, k + 1) for k in range(1, 6)]}
+    assert [t.count() for name, t in written if name == "candidates"] == [2]
+    far = sorted((r["rank"], r.rec_mid) for r in realtime.candidate_movies(req, sim, rated, n=5).where("uid = 7").collect())
+    assert far == [(k, 49 + k) for k in range(1, 6)]
