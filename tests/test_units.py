@@ -377,3 +377,32 @@ def test_candidates_keep_a_request_in_one_row_and_read_on_where_needed(spark, mo
     assert [t.count() for name, t in written if name == "candidates"] == [2]
     far = sorted((r["rank"], r.rec_mid) for r in realtime.candidate_movies(req, sim, rated, n=5).where("uid = 7").collect())
     assert far == [(k, 49 + k) for k in range(1, 6)]
+
+
+def test_cells_copy_a_vector_by_cells_and_not_by_blocks(spark, monkeypatch):
+    """Many small blocks: what enters the groups grows with the cells, and the
+    rows are those of brute force."""
+    import numpy as np
+
+    from cinerank.operators import similarity
+    rng = np.random.default_rng(5)
+    m = rng.standard_normal((400, 6)).astype("float32").astype(float)
+    m[390:] = m[:10]    # copies: ties go to the smaller id
+    sent, group = [], similarity._cell_pair_fn
+    v = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(m)], "mid bigint, features array<double>")
+    monkeypatch.setattr(similarity, "CELLS", 4)
+    got = {(a, b): s for a, b, s in cosine_pairs(v, threshold=0.5, block_rows=8).collect()}
+    unit = m / np.linalg.norm(m, axis=1)[:, None]
+    cos = unit @ unit.T
+    assert set(got) == {(i, j) for i in range(400) for j in range(400) if i != j and cos[i, j] >= 0.5}
+    assert all(abs(s - cos[p]) < 2e-6 for p, s in got.items())
+    plan = similarity.block_plan(v.select(F.col("mid").alias("id"), F.col("features").alias("vec")), 0.5, 8)
+    assert plan.n_blocks > 50 and plan.cells.select("cell").distinct().count() < 12
+    f = v.withColumnRenamed("mid", "id")
+    send = similarity._score_cells
+    monkeypatch.setattr(similarity, "_score_cells", lambda u, i, *a: sent.append(u.count() + i.count()) or send(u, i, *a))
+    top = sorted((r.id, r["rank"], r.other) for r in similarity.top_k_inner_product(f, f, 3, block_rows=8, positive_only=False).collect())
+    prod = m @ m.T
+    assert top == [(i, k + 1, j) for i in range(400) for k, j in enumerate(sorted(range(400), key=lambda j: (-round(prod[i, j], 9), j))[:3])]
+    assert sum(sent) < 400 * 16     # with a copy for each of 50 blocks it was many times as much
+    assert group is similarity._cell_pair_fn
