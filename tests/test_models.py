@@ -71,3 +71,15 @@ def test_als_with_64bit_ids(spark):
     assert recs.where(F.col("uid") < 10 ** 12).count() == 0 and recs.where(F.col("mid") < 3 * 10 ** 12).count() == 0
     assert recs.select("uid").distinct().count() == r.select("uid").distinct().count()
     assert lfm.item_factors(fm).where(F.col("mid") < 3 * 10 ** 12).count() == 0
+
+
+def test_factor_rmse_sends_vectors_with_covered_ratings_only(spark, monkeypatch):
+    written, write = [], lfm.materialize
+    monkeypatch.setattr(lfm, "materialize", lambda df, name: written.append((name, write(df, name))) or written[-1][1])
+    ratings = spark.createDataFrame([(u, m, 3.0) for u in range(20) for m in range(20)] + [(1, 1, 5.0), (None, 1, 2.0), (1, None, 2.0)], "uid bigint, mid bigint, score double")
+    factors = spark.createDataFrame([(0, [1.0, 2.0]), (1, [2.0, 0.5]), (None, [1.0, 1.0])], "mid bigint, features array<double>")
+    got = lfm.factor_rmse(ratings, factors.withColumnRenamed("mid", "uid"), factors).collect()
+    f = {0: (1.0, 2.0), 1: (2.0, 0.5)}
+    errors = [(s - sum(a * b for a, b in zip(f[u], f[m]))) ** 2 for u, m, s in [(0, 0, 3), (0, 1, 3), (1, 0, 3), (1, 1, 3), (1, 1, 5)]]
+    assert got[0].n == 5 and abs(got[0].rmse - math.sqrt(sum(errors) / 5)) < 1e-5
+    assert [t.count() for name, t in written if name == "pairs"] == [4]
