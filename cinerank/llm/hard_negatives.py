@@ -12,6 +12,8 @@ the head of each list, last component first, adds up partial scores, drops
 the rows that can't reach t with the norms that remain, and scores the rest
 exactly. Then t is lowered, which only lengthens the heads, until the windows
 asked for are full or nothing lies below. At t <= 0 every row is scored.
+TOGETHER anchors, each with its own t, read the lists at once, as far as any
+of them needs.
 
 First each anchor's positives are found, then, in the windows
 [LOW %, HIGH %] below their scores, the negatives. A block returns no more
@@ -45,6 +47,7 @@ LOW, HIGH = 80, 100
 SCALE = 256
 BLOCK = 4096
 ANCHORS = 2048
+TOGETHER = 64      # anchors that read the lists together
 _SLACK = 1e-9      # of a bound, for rounding of norms
 
 
@@ -74,36 +77,65 @@ class Lists:
     def scan(self, x: np.ndarray) -> Callable[[float], tuple[np.ndarray, np.ndarray]]:
         """For one anchor: a function of a threshold, which may only fall, to
         all rows that score it or more, with their scores."""
-        x = x[self.order]
-        norms = np.sqrt(np.cumsum(x * x))
-        partial = np.zeros(len(self.v))
-        done = [0] * len(self.lists)
-
-        def reach(t: float) -> tuple[np.ndarray, np.ndarray]:
-            if t <= 0 or not len(x):
-                s = self.v @ x
-                rows = np.flatnonzero(s >= t)
-                return rows, s[rows]
-            need = t * (1 - _SLACK)
-            for d in range(len(x) - 1, -1, -1):
-                rows, values, under = self.lists[d]
-                if norms[d] == 0:
+        reach = self.scan_all(x[None, :])
+        return lambda t: reach([t], np.zeros(1, dtype=np.int64))[0]
+
+    def scan_all(self, x: np.ndarray) -> Callable[[list[float], np.ndarray], list[tuple[np.ndarray, np.ndarray]]]:
+        """The same for the anchors `x`, read together: a function of the
+        thresholds of some of them, and their places, which may only become
+        fewer. A list is read as far as any of them needs it."""
+        x = x[:, self.order]
+        norms = np.sqrt(np.cumsum(x * x, axis=1))
+        n, width = self.v.shape
+        partial = np.zeros((n, len(x)))
+        done = [0] * width
+        # the first component read of a row; the norm of those before it, for 0 none
+        first = np.full(n, width, dtype=np.int64)
+        before = np.concatenate((np.zeros((n, 1)), self.norms), axis=1)
+        anchor_before = np.concatenate((np.zeros((len(x), 1)), norms), axis=1)
+
+        def reach(thresholds: list[float], which: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+            t = np.asarray(thresholds, dtype=np.float64)
+            out: list = [None] * len(t)
+            for j in np.flatnonzero((t <= 0) | (width == 0)):
+                s = self.v @ x[which[j]]
+                rows = np.flatnonzero(s >= t[j])
+                out[j] = (rows, s[rows])
+            above = np.flatnonzero((t > 0) & (width > 0))
+            if not len(above):
+                return out
+            at, need = which[above], t[above] * (1 - _SLACK)
+            some = len(at) < len(x)
+            for d in range(width - 1, -1, -1):
+                most = float((norms[at, d] / need).max())
+                if most == 0:
                     break
-                if x[d] == 0:
-                    continue
-                head = int(np.searchsorted(under, -need / norms[d], side="right"))
+                rows, values, under = self.lists[d]
+                head = int(np.searchsorted(under, -1 / most * (1 - _SLACK), side="right"))
                 if head > done[d]:
-                    at = rows[done[d]:head]
-                    partial[at] += x[d] * values[done[d]:head]
+                    new, values = rows[done[d]:head], values[done[d]:head]
+                    if some:
+                        partial[np.ix_(new, which)] += values[:, None] * x[which, d]
+                    else:
+                        partial[new] += values[:, None] * x[:, d]
                     done[d] = head
+                    first[new] = np.minimum(first[new], d)
             # what is left out of a row are its first components, up to where its norm is too small
-            left = (self.norms * norms < need).sum(1)
-            at = np.maximum(left - 1, 0)
-            rest = np.where(left > 0, self.norms[np.arange(len(at)), at] * norms[at], 0.0)
-            rows = np.flatnonzero(partial + rest >= need)
-            s = self.v[rows] @ x
-            hit = s >= t
-            return rows[hit], s[hit]
+            rest = before[np.arange(n), first][:, None] * anchor_before[at].T[first]
+            rest += partial[:, at] if some else partial
+            row, place = np.nonzero(rest >= need)
+            order = np.argsort(place, kind="stable")
+            row, place = row[order], place[order]
+            s = np.empty(len(row))
+            for lo in range(0, len(row), 65536):
+                part = slice(lo, lo + 65536)
+                s[part] = np.einsum("ij,ij->i", self.v[row[part]], x[at[place[part]]])
+            hit = s >= t[above][place]
+            row, place, s = row[hit], place[hit], s[hit]
+            ends = np.searchsorted(place, np.arange(len(at) + 1))
+            for k, j in enumerate(above):
+                out[j] = (row[ends[k]:ends[k + 1]], s[ends[k]:ends[k + 1]])
+            return out
         return reach
 
 
@@ -120,11 +152,11 @@ def _sides(pdf: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, pd.DataFrame, n
     return a, _matrix(a["v"].to_list(), width), r, _matrix(r["v"].to_list(), width)
 
 
-def best(reach, usable: np.ndarray, ids: np.ndarray, k: int, start: float) -> list[tuple[int, float]]:
-    """The k usable rows of the highest scores, ties by id; all if fewer."""
+def _best(usable: np.ndarray, ids: np.ndarray, k: int, start: float):
+    """Asks for thresholds, is sent what reaches them, returns the k best."""
     t = start
     while True:
-        rows, s = reach(t)
+        rows, s = yield t
         keep = usable[rows]
         rows, s = rows[keep], s[keep]
         if len(rows) >= k or t == -math.inf:
@@ -133,16 +165,15 @@ def best(reach, usable: np.ndarray, ids: np.ndarray, k: int, start: float) -> li
         t = t * 0.75 if t > 1 else -math.inf
 
 
-def windows(reach, usable: np.ndarray, ids: np.ndarray, tops: list[float], k: int,
-            low: int = LOW, high: int = HIGH) -> list[list[tuple[int, float]]]:
-    """For each of the scores `tops`, the first k usable rows of its window."""
+def _windows(usable: np.ndarray, ids: np.ndarray, tops: list[float], k: int, low: int, high: int):
+    """As `_best`: returns the first k rows of each window."""
     floors = [math.ceil(low * p / high) for p in tops]
     live = [i for i, p in enumerate(tops) if floors[i] <= p]
     out: list[list[tuple[int, float]]] = [[] for _ in tops]
     t = max([tops[i] for i in live], default=0.0)
     while live:
         t = max(t * 0.9, min(floors[i] for i in live))
-        rows, s = reach(t)
+        rows, s = yield t
         keep = usable[rows]
         rows, s = rows[keep], s[keep]
         order = np.lexsort((ids[rows], -s))
@@ -158,20 +189,50 @@ def windows(reach, usable: np.ndarray, ids: np.ndarray, tops: list[float], k: in
     return out
 
 
+def _ask(reach, searches: list) -> list:
+    """What the searches return; all of them go down together."""
+    out: list = [None] * len(searches)
+    asked: dict[int, float] = {}
+    answers: dict[int, object] = dict.fromkeys(range(len(searches)))
+    while answers:
+        asked = {}
+        for j, answer in answers.items():
+            try:
+                asked[j] = searches[j].send(answer)
+            except StopIteration as end:
+                out[j] = end.value
+        answers = dict(zip(asked, reach(list(asked.values()), np.fromiter(asked, np.int64)))) if asked else {}
+    return out
+
+
+def best(reach, usable: np.ndarray, ids: np.ndarray, k: int, start: float) -> list[tuple[int, float]]:
+    """The k usable rows of the highest scores, ties by id; all if fewer."""
+    return _ask(lambda t, _: [reach(t[0])], [_best(usable, ids, k, start)])[0]
+
+
+def windows(reach, usable: np.ndarray, ids: np.ndarray, tops: list[float], k: int,
+            low: int = LOW, high: int = HIGH) -> list[list[tuple[int, float]]]:
+    """For each of the scores `tops`, the first k usable rows of its window."""
+    return _ask(lambda t, _: [reach(t[0])], [_windows(usable, ids, tops, k, low, high)])[0]
+
+
 def _positives(k: int):
     def task(pdf: pd.DataFrame) -> pd.DataFrame:
         a, x, r, v = _sides(pdf)
         ids, labels, out = r["vec_id"].to_numpy(), r["label"].to_numpy(), []
-        for label in np.unique(a["label"].to_numpy()):
+        keys, anchor_ids, anchor_labels = a["a_key"].to_numpy(), a["vec_id"].to_numpy(), a["label"].to_numpy()
+        for label in np.unique(anchor_labels):
             at = np.flatnonzero(labels == label)
             if not len(at):
                 continue
             lists, own = Lists(v[at]), ids[at]
             longest = float(lists.norms[:, -1].max()) if v.shape[1] else 0.0
-            for j in np.flatnonzero(a["label"].to_numpy() == label):
-                usable = own != a["vec_id"].iat[j]
-                start = 0.9 * longest * float(np.linalg.norm(x[j]))
-                out += [(a["a_key"].iat[j], i, s) for i, s in best(lists.scan(x[j]), usable, own, k, start)]
+            mine = np.flatnonzero(anchor_labels == label)
+            for lo in range(0, len(mine), TOGETHER):
+                js = mine[lo:lo + TOGETHER]
+                searches = [_best(own != anchor_ids[j], own, k, 0.9 * longest * float(np.linalg.norm(x[j]))) for j in js]
+                for j, found in zip(js, _ask(lists.scan_all(x[js]), searches)):
+                    out += [(keys[j], i, s) for i, s in found]
         return pd.DataFrame(out, columns=["a_key", "vec_id", "score"])
     return task
 
@@ -180,13 +241,14 @@ def _negatives(k: int, low: int, high: int):
     def task(pdf: pd.DataFrame) -> pd.DataFrame:
         a, x, r, v = _sides(pdf)
         ids, labels, out = r["vec_id"].to_numpy(), r["label"].to_numpy(), []
+        keys, anchor_ids, anchor_labels, tops = a["a_key"].to_numpy(), a["vec_id"].to_numpy(), a["label"].to_numpy(), a["tops"].to_list()
         if len(a) and len(r):
             lists = Lists(v)
-            for j in range(len(a)):
-                usable = (labels != a["label"].iat[j]) & (ids != a["vec_id"].iat[j])
-                tops = [float(p) for p in a["tops"].iat[j]]
-                for w, found in enumerate(windows(lists.scan(x[j]), usable, ids, tops, k, low, high)):
-                    out += [(a["a_key"].iat[j], w + 1, i, s) for i, s in found]
+            for lo in range(0, len(a), TOGETHER):
+                js = range(lo, min(lo + TOGETHER, len(a)))
+                searches = [_windows((labels != anchor_labels[j]) & (ids != anchor_ids[j]), ids, [float(p) for p in tops[j]], k, low, high) for j in js]
+                for j, lot in zip(js, _ask(lists.scan_all(x[lo:lo + TOGETHER]), searches)):
+                    out += [(keys[j], w + 1, i, s) for w, found in enumerate(lot) for i, s in found]
         return pd.DataFrame(out, columns=["a_key", "p_rank", "vec_id", "score"])
     return task
 

@@ -1,8 +1,10 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 
+from cinerank.llm import hard_negatives as hn
 from cinerank.llm.hard_negatives import Lists, best, hard_negatives, windows
 
 SCHEMA = "vec_id bigint, embedding array<double>, label int, score double, side string"
@@ -99,3 +101,42 @@ def test_high_threshold_reads_a_part_of_the_lists():
     assert best(lists.scan(x), ids != 0, ids, 3, t) == best(lists.scan(x), ids != 0, ids, 3, -math.inf)
     assert windows(lists.scan(x), ids != 0, ids, [t], 5) == [
         [(int(i), float(v[i] @ x)) for i in sorted(ids[1:], key=lambda i: (-(v[i] @ x), i)) if 0.8 * t <= v[i] @ x <= t][:5]]
+
+
+def test_anchors_read_together_as_one_by_one():
+    rng = np.random.default_rng(6)
+    v = np.floor(256 * rng.normal(0, 0.2, (400, 24)) * (rng.random((400, 24)) < 0.6))
+    lists, x = Lists(v), np.concatenate((v[:6], np.zeros((1, 24)), -v[:1]))
+    s, reach = v @ x.T, lists.scan_all(x)
+    which = np.arange(len(x))
+    for part in [0.9, 0.6, 0.3, 0.05, 0.0, -math.inf]:
+        t = [part * max(1.0, s[:, j].max()) * (1 + j / 50) for j in which]
+        for j, at, (rows, scores) in zip(which, t, reach(t, which), strict=True):
+            assert set(rows.tolist()) == set(np.flatnonzero(s[:, j] >= at).tolist()) and np.array_equal(scores, s[rows, j])
+        which = which[which != {0.9: 2, 0.3: 0}.get(part, -1)]
+
+
+def test_lists_are_not_read_once_an_anchor(monkeypatch):
+    rng = np.random.default_rng(7)
+    v = np.floor(256 * rng.normal(0, 0.125, (600, 32)))
+    reads = [0]
+
+    class Counted(list):
+        def __getitem__(self, d):
+            reads[0] += 1
+            return super().__getitem__(d)
+
+    class Counting(Lists):
+        def __init__(self, v):
+            super().__init__(v)
+            self.lists = Counted(self.lists)
+
+    monkeypatch.setattr(hn, "Lists", Counting)
+    rows = pd.DataFrame({"a_key": None, "vec_id": np.arange(600), "label": np.arange(600) % 2, "v": list(v), "tops": None, "side": 1})
+    few = rows[:60].assign(a_key=np.arange(60), tops=[[float(0.5 * (x @ x))] for x in v[:60]], side=0)
+    found = hn._negatives(5, 80, 100)(pd.concat([few, rows]))
+    assert reads[0] <= 60 * 32 / 4 and set(found["a_key"]) <= set(range(60))
+    for j in range(60):
+        s, p = v @ v[j], 0.5 * (v[j] @ v[j])
+        fit = sorted((-s[i], i) for i in range(600) if i % 2 != j % 2 and 0.8 * p <= s[i] <= p)[:5]
+        assert [(-s, i) for s, i in fit] == list(zip(found[found["a_key"] == j]["score"], found[found["a_key"] == j]["vec_id"]))
