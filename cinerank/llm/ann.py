@@ -2,13 +2,15 @@
 
 Index, over every row. Equal vectors share a node. Each node starts with the
 nearest of some leaves of random hyperplane partitions (a leaf has about LEAF
-nodes; larger ones are split by a hash). Then rounds of NN-descent: the
-neighbours a node has, and up to K nodes that have it, meet in a local join.
-Of the pairs nearer than what either end has, a join offers each member its
-OFFERS nearest and a block passes on each node's KEPT nearest; the K nearest
-of old and offered ones become the list. That goes on until a round changes
-less than CHANGED of the lists, for ROUNDS rounds at most. A round is a Spark
-join that deals nodes out in blocks, with each vector a block needs once.
+nodes; larger ones are split by a hash). Then ROUNDS rounds of NN-descent:
+MEMBERS of the neighbours that a node has, new ones first, and MEMBERS of the
+nodes that have it meet in a local join. Of the pairs nearer than what either
+end has, a join offers each member its OFFERS nearest and a block passes on
+each node's KEPT nearest; the K nearest of old and offered ones become the
+list. A round is a Spark join that deals nodes out in blocks, with each vector
+a block needs once: a vector goes to a block for each node it is a member of
+at most, so TREES and 2 * MEMBERS a round bound its copies on average,
+whatever the number of rows.
 
 Vectors are compared with those of their own length only. All lengths share
 the jobs: leaves, blocks and entries are made for each length, so lists never
@@ -16,13 +18,15 @@ lead from one length to another.
 
 Search. All queries advance together: a round expands the EXPAND nearest
 unexpanded nodes of each query's beam of BEAM nodes by a join with the
-graph, scores what is new, and ends when every beam is expanded. Beams start
-from the query's own neighbours, as it is a node too, and ENTRIES others.
+graph, scores what that query has not scored yet, and ends when every beam is
+expanded. A query's beam is one row of arrays. Beams start from the query's
+own neighbours, as it is a node too, and ENTRIES others.
 
 K, BEAM and EXPAND bound the search, not the data: every row is indexed, and
-a table with at most BEAM nodes is searched whole. Reverse neighbours beyond
-K are skipped in a round of the descent and beyond REVERSE in the search;
-that is the method's sampling, and recall is measured against brute force.
+a table with at most BEAM nodes is searched whole. Members beyond MEMBERS are
+skipped in a round of the descent and reverse neighbours beyond REVERSE in the
+search; that is the method's sampling, and recall is measured against brute
+force.
 """
 
 from __future__ import annotations
@@ -32,7 +36,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,14 +43,14 @@ from cinerank.llm.common import columns, drop, prepare, save
 from cinerank.llm.embedding_dedup import usable
 
 K = 24
-LEAF = 500
-TREES = 3
-ROUNDS = 8
-CHANGED = 0.01
-BLOCK = 4096
+LEAF = 1000
+TREES = 8
+ROUNDS = 2
+MEMBERS = 6
+BLOCK = 512
 REVERSE = 48
 BEAM = 448
-EXPAND = 48
+EXPAND = 112
 ENTRIES = 64
 OFFERS = 4
 KEPT = 10
@@ -91,7 +94,7 @@ def _local_join(block: pd.DataFrame) -> pd.DataFrame:
     has = block["v"].notna()
     vec = block[has].drop_duplicates("u").sort_values("u")
     ids, x, worst = vec["u"].to_numpy(), _matrix(vec["v"]), vec["worst"].to_numpy()
-    member = block[~has].sort_values(["node", "u"], kind="stable")
+    member = block[~has].sort_values(["node", "u", "new"], ascending=[True, True, False]).drop_duplicates(["node", "u"])
     node, u, new = member["node"].to_numpy(), np.searchsorted(ids, member["u"].to_numpy()), member["new"].to_numpy(dtype=bool)
     start = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1]))) if len(node) else np.empty(0, int)
     size = np.diff(np.concatenate((start, [len(node)])))
@@ -128,9 +131,13 @@ def _local_join(block: pd.DataFrame) -> pd.DataFrame:
     return _edges(ids[a[keep]], ids[b[keep]], d[keep], block)
 
 
-def _nearest(edges: DataFrame, k: int, extra: str = "") -> DataFrame:
-    ranked = edges.withColumn("r", F.expr("row_number() over (partition by id order by d, nbr)"))
-    return ranked.where(F.col("r") <= k).drop("r")
+def _nearest(edges: DataFrame, k: int, turn: int) -> DataFrame:
+    """The k nearest of each node, with their rank `r` and whether they are
+    `drawn` as members of the next round. Rows are dealt by id once."""
+    edges = edges.repartition("id").groupBy("id", "nbr").agg(
+        F.min("d").alias("d"), F.min("new").alias("new"), F.first("n").alias("n"), F.first("blocks").alias("blocks"))
+    ranked = edges.withColumn("r", F.expr("row_number() over (partition by id order by d, nbr)")).where(F.col("r") <= k)
+    return ranked.withColumn("drawn", F.expr(f"row_number() over (partition by id order by not new, xxhash64(id, nbr, {turn})) <= {MEMBERS}"))
 
 
 def _reverse(graph: DataFrame, limit: int, order: str) -> DataFrame:
@@ -149,63 +156,73 @@ def build_graph(nodes: DataFrame, *, k: int = K, rounds: int = ROUNDS, leaf: int
     lengths = lengths.select("n", "c", F.greatest(F.ceil(F.log2(F.col("c") / F.lit(float(leaf)))), F.lit(0)).cast("int").alias("bits"),
                              F.ceil(F.col("c") / F.lit(float(BLOCK))).cast("int").alias("blocks"))
     lengths, lengths_path = save(lengths, "op4-lengths")
-    total = lengths.agg(F.sum("c")).first()[0] or 0
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            length = b.column(2).to_numpy()
-            for n in np.unique(length):
-                mine = b.filter(pa.array(length == n))
-                x, bits = _matrix(mine.column(1)), mine.column(3)[0].as_py()
-                planes = np.random.default_rng([seed, n]).normal(size=(trees, bits, n)).astype(np.float32)
-                for t in range(trees):
-                    code = ((x @ planes[t].T > 0) << np.arange(bits)).sum(1) if bits else np.zeros(len(x), dtype=np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [mine.column(0), mine.column(1), mine.column(2), mine.column(4), pa.array(np.full(len(x), t), pa.int32()),
-                         pa.array(code.astype(np.int64))], ["id", "v", "n", "blocks", "tree", "code"])
-
-    dealt = nodes.join(lengths, "n").select("id", "v", "n", "bits", "blocks").mapInArrow(
-        deal, "id long, v binary, n int, blocks int, tree int, code long")
-    dealt, dealt_path = save(dealt, "op4-leaves")
-    sizes = dealt.groupBy("n", "tree", "code").agg(F.ceil(F.count("*") / (2.0 * leaf)).cast("long").alias("parts"))
-    dealt = dealt.join(sizes, ["n", "tree", "code"]).withColumn("part", F.pmod(F.xxhash64("id", "tree"), F.col("parts")))
+
+    def deal(vectors: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                length = b.column(2).to_numpy()
+                for n in np.unique(length):
+                    mine = b.filter(pa.array(length == n))
+                    x, bits = _matrix(mine.column(1)), mine.column(3)[0].as_py()
+                    planes = np.random.default_rng([seed, n]).normal(size=(trees, bits, n)).astype(np.float32)
+                    for t in range(trees):
+                        code = ((x @ planes[t].T > 0) << np.arange(bits)).sum(1) if bits else np.zeros(len(x), dtype=np.int64)
+                        place = [mine.column(2), pa.array(np.full(len(x), t), pa.int32()), pa.array(code.astype(np.int64))]
+                        if vectors:
+                            yield pa.RecordBatch.from_arrays([*place, mine.column(0), mine.column(1), mine.column(4)], ["n", "tree", "code", "id", "v", "blocks"])
+                        else:
+                            yield pa.RecordBatch.from_arrays(place, ["n", "tree", "code"])
+        return run
+
+    dealt = nodes.join(lengths, "n").select("id", "v", "n", "bits", "blocks")
+    sizes = dealt.mapInArrow(deal(False), "n int, tree int, code long").groupBy("n", "tree", "code").agg(
+        F.ceil(F.count("*") / (2.0 * leaf)).cast("long").alias("parts"))
+    sizes, sizes_path = save(sizes, "op4-leaves")
+    dealt = dealt.mapInArrow(deal(True), "n int, tree int, code long, id long, v binary, blocks int").join(sizes, ["n", "tree", "code"])
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("id", "tree"), F.col("parts")))
     first = dealt.groupBy("n", "tree", "code", "part").applyInPandas(_leaf_neighbours(k), _EDGE)
-    first = first.groupBy("id", "nbr").agg(F.min("d").alias("d"), F.first("n").alias("n"), F.first("blocks").alias("blocks"))
-    graph, path = save(_nearest(first, k).withColumn("new", F.lit(True)), "op4-graph")
-    drop(spark, dealt_path, lengths_path)
+    graph, path = save(_nearest(first.withColumn("new", F.lit(True)), k, 0), "op4-graph")
+    drop(spark, sizes_path, lengths_path)
     for turn in range(rounds):
-        mine = graph.select(F.col("id").alias("node"), F.col("nbr").alias("u"), "new", "n", "blocks")
-        back = _reverse(graph, k, f"xxhash64(id, {turn})").select(F.col("nbr").alias("node"), F.col("id").alias("u"), "new", "n", "blocks")
-        member = mine.unionByName(back).groupBy("node", "u").agg(
-            F.max("new").alias("new"), F.first("n").alias("n"), F.first("blocks").alias("blocks")).withColumn(
-            "block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-        member, member_path = save(member, "op4-members")
-        worst = graph.groupBy("id").agg(F.when(F.count("*") >= k, F.max("d")).otherwise(F.lit(float("inf"))).alias("worst"))
+        mine = graph.where("drawn").select(F.col("id").alias("node"), F.col("nbr").alias("u"), "new", "n", "blocks")
+        back = _reverse(graph, MEMBERS, f"not new, xxhash64(id, nbr, {turn})").select(F.col("nbr").alias("node"), F.col("id").alias("u"), "new", "n", "blocks")
+        member = mine.unionByName(back).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        worst = graph.where(F.col("r") == k).select("id", F.col("d").alias("worst"))
         held = nodes.select("id", "v").join(worst, "id", "left").select("id", "v", F.coalesce("worst", F.lit(float("inf"))).alias("worst"))
-        need = member.select("n", "blocks", "block", F.col("u").alias("id")).distinct().join(held, "id").select(
-            "n", "blocks", "block", F.lit(None).cast("long").alias("node"), F.col("id").alias("u"), F.lit(False).alias("new"), "v", "worst")
-        rows = member.select("n", "blocks", "block", "node", "u", "new", F.lit(None).cast("binary").alias("v"), F.lit(0.0).alias("worst")).unionByName(need)
+        need = member.select("n", "block", F.col("u").alias("id")).repartition("id").distinct().join(held, "id")
+        need = need.select("n", "block", F.lit(None).cast("long").alias("node"), F.col("id").alias("u"), F.lit(False).alias("new"), "v", "worst",
+                           F.lit(None).cast("int").alias("blocks"))
+        rows = member.select("n", "block", "node", "u", "new", F.lit(None).cast("binary").alias("v"), F.lit(0.0).alias("worst"), "blocks").unionByName(need)
         offers = rows.groupBy("n", "block").applyInPandas(_local_join, _EDGE).withColumn("new", F.lit(True))
-        merged = graph.withColumn("new", F.lit(False)).unionByName(offers).groupBy("id", "nbr").agg(
-            F.min("d").alias("d"), F.min("new").alias("new"), F.first("n").alias("n"), F.first("blocks").alias("blocks"))
-        after, after_path = save(_nearest(merged, k), "op4-graph")
-        changed = after.where("new").count()
-        drop(spark, path, member_path)
+        before = graph.select("id", "nbr", "d", "n", "blocks", F.expr("new and not drawn").alias("new"))
+        after, after_path = save(_nearest(before.unionByName(offers), k, turn + 1), "op4-graph")
+        drop(spark, path)
         graph, path = after, after_path
-        if changed <= CHANGED * k * total:
-            break
     return graph.select("id", "nbr", "d"), path
 
 
-def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Squared distances of `(q, node, v, w)`, the vectors of a row being of
-    one length."""
-    for b in batches:
-        length = pc.binary_length(b.column(2))
-        for n in pc.unique(length).to_pylist():
-            mine = b.filter(pc.equal(length, n))
-            x = _matrix(mine.column(2)).astype(np.float64) - _matrix(mine.column(3))
-            yield pa.RecordBatch.from_arrays([mine.column(0), mine.column(1), pa.array((x * x).sum(1))], ["q", "node", "d"])
+_STATE = "q long, w binary, ids array<long>, ds array<double>, done array<boolean>, seen array<long>, front array<long>"
+
+
+def _advance(beam: int, expand: int):
+    """One query's rows: its state, and the nodes to score with their vectors."""
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        has = rows["v"].notna()
+        fresh, state = rows[has], rows[~has].iloc[0]
+        q, w = int(state["q"]), state["w"]
+        ids, ds, done = (np.asarray(state[c], dtype=t) for c, t in (("ids", np.int64), ("ds", np.float64), ("done", bool)))
+        seen = np.asarray(state["seen"], dtype=np.int64)
+        if len(fresh):
+            node = fresh["node"].to_numpy(dtype=np.int64)
+            x = _matrix(fresh["v"]).astype(np.float64) - np.frombuffer(w, dtype=np.float32)
+            ids, ds = np.concatenate((ids, node)), np.concatenate((ds, (x * x).sum(1)))
+            done, seen = np.concatenate((done, node == q)), np.concatenate((seen, node))
+        at = np.lexsort((ids, ds))[:beam]
+        ids, ds, done = ids[at], ds[at], done[at].copy()
+        front = np.flatnonzero(~done)[:expand]
+        done[front] = True
+        return pd.DataFrame({"q": [q], "w": [w], "ids": [ids], "ds": [ds], "done": [done], "seen": [seen], "front": [ids[front]]})
+    return run
 
 
 def graph_search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, *, beam: int = BEAM, expand: int = EXPAND,
@@ -214,34 +231,35 @@ def graph_search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, *, beam
     spark = nodes.sparkSession
     prepare(spark)
     adjacent = graph.select("id", "nbr").unionByName(
-        _reverse(graph, reverse, "d, id").select(F.col("nbr").alias("id"), F.col("id").alias("nbr"))).distinct()
-    adjacent, adjacent_path = save(adjacent, "op4-adjacent")
+        _reverse(graph, reverse, "d, id").select(F.col("nbr").alias("id"), F.col("id").alias("nbr")))
+    adjacent, adjacent_path = save(adjacent.groupBy("id").agg(F.collect_set("nbr").alias("nbrs")), "op4-adjacent")
     vectors = nodes.select(F.col("id").alias("node"), "v")
     own = queries.join(nodes.select(F.col("id").alias("q"), F.col("v").alias("w")), "q")
-    own, own_path = save(own, "op4-queries")
-
-    def scored(pairs: DataFrame) -> DataFrame:
-        return pairs.join(vectors, "node").join(own, "q").select("q", "node", "v", "w").mapInArrow(_score, "q long, node long, d double")
 
     # a fixed number of nodes of each length
     start = nodes.select("id", F.length("v").alias("n")).withColumn("h", F.xxhash64("id", F.lit(11)))
-    start = start.withColumn("r", F.expr("row_number() over (partition by n order by h, id)")).where(F.col("r") <= entries).select("id", "n")
-    pairs = (own.select("q", F.col("q").alias("node")).unionByName(own.withColumn("n", F.length("w")).join(start, "n").select("q", F.col("id").alias("node")))
-             .unionByName(own.select("q").join(adjacent, F.col("q") == F.col("id")).select("q", F.col("nbr").alias("node"))).distinct())
-    state = scored(pairs).withColumn("done", F.col("q") == F.col("node"))
-    state, path = save(_beam(state, beam), "op4-beam")
-    while state.where("not done").limit(1).count():
-        ranked = state.where("not done").withColumn("r", F.expr("row_number() over (partition by q order by d, node)"))
-        front = ranked.where(F.col("r") <= expand).select("q", "node")
-        pairs = front.join(adjacent, F.col("node") == F.col("id")).select("q", F.col("nbr").alias("node")).distinct()
-        fresh = pairs.join(state.select("q", "node"), ["q", "node"], "left_anti")
-        again = state.join(front.withColumn("now", F.lit(True)), ["q", "node"], "left").select(
-            "q", "node", "d", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done"))
-        after, after_path = save(_beam(again.unionByName(scored(fresh).withColumn("done", F.lit(False))), beam), "op4-beam")
+    start = start.withColumn("r", F.expr("row_number() over (partition by n order by h, id)")).where(F.col("r") <= entries)
+    start = start.groupBy("n").agg(F.collect_list("id").alias("starts"))
+    state = own.withColumn("n", F.length("w")).join(start, "n").join(adjacent, F.col("q") == F.col("id"), "left").select(
+        "q", "w", *[F.array().cast(f"array<{t}>").alias(c) for c, t in (("ids", "long"), ("ds", "double"), ("done", "boolean"), ("seen", "long"))],
+        F.array_union(F.array_union(F.array("q"), "starts"), F.coalesce("nbrs", F.array().cast("array<long>"))).alias("front"))
+    state, path = save(state, "op4-beam")
+    first = True
+    while first or state.where("size(front) > 0").limit(1).count():
+        if first:
+            fresh = state.select("q", F.explode("front").alias("node"))
+        else:
+            reached = state.select("q", F.explode("front").alias("id")).join(adjacent, "id").select("q", "nbrs", F.lit(None).cast("array<long>").alias("seen"))
+            reached = reached.unionByName(state.select("q", F.lit(None).cast("array<long>").alias("nbrs"), "seen")).groupBy("q").agg(
+                F.array_distinct(F.flatten(F.collect_list("nbrs"))).alias("nbrs"), F.first("seen", ignorenulls=True).alias("seen"))
+            fresh = reached.select("q", F.explode(F.array_except("nbrs", "seen")).alias("node"))
+        held = state.drop("front").select("q", F.lit(None).cast("long").alias("node"), F.lit(None).cast("binary").alias("v"), "w", "ids", "ds", "done", "seen")
+        rows = fresh.join(vectors, "node").select("q", "node", "v").unionByName(held, allowMissingColumns=True)
+        after, after_path = save(rows.groupBy("q").applyInPandas(_advance(beam, expand), _STATE), "op4-beam")
         drop(spark, path)
-        state, path = after, after_path
-    drop(spark, adjacent_path, own_path)
-    return state.select("q", "node", "d")
+        state, path, first = after, after_path, False
+    drop(spark, adjacent_path)
+    return state.select("q", F.explode(F.arrays_zip("ids", "ds")).alias("b")).select("q", F.col("b.ids").alias("node"), F.col("b.ds").alias("d"))
 
 
 def _beam(state: DataFrame, beam: int) -> DataFrame:

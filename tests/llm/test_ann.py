@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from cinerank.llm import ann
 from cinerank.llm.ann import nearest
 from tests.conftest import SF_MID
 
@@ -70,3 +71,22 @@ def test_every_length_is_indexed_and_searched(spark):
         want |= brute([(i, np.float32(e).tolist()) for i, e in rows if i in set(ids)])
     assert set(have) == set(want) == {i for i in range(900) if i % 100 == 0}
     assert recall(have, want) >= 0.9
+
+
+def test_a_round_copies_a_vector_to_few_of_many_blocks(spark, monkeypatch):
+    def tell(block):
+        """An edge to no node for each vector that a block got."""
+        import numpy as np
+        import pandas as pd
+        u = block[block["v"].notna()]["u"].to_numpy()
+        at = -1 - int(block["block"].iat[0])
+        return pd.DataFrame({"id": u, "nbr": np.full(len(u), at), "d": np.full(len(u), -1.0), "n": np.int32(8), "blocks": np.int32(100)})
+
+    monkeypatch.setattr(ann, "_local_join", tell)
+    monkeypatch.setattr(ann, "BLOCK", 4)
+    rng = np.random.default_rng(8)
+    rows = [(i, bytearray(rng.normal(size=8).astype(np.float32).tobytes())) for i in range(400)]
+    nodes = spark.createDataFrame(rows, "id long, v binary")
+    graph, _ = ann.build_graph(nodes, k=100, rounds=1)
+    copies = graph.where("nbr < 0")
+    assert copies.select("id").distinct().count() == 400 and copies.count() <= 400 * 12
