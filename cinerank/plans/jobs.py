@@ -42,16 +42,15 @@ def ingest_job(spark: SparkSession, movies_path: str, ratings_path: str, tags_pa
     out = out_dir.rstrip("/")
     stored, scratch = {}, []
     sorted_by = {"movies": ["mid"], "ratings": ["uid", "mid"], "tags": ["uid", "mid"]}
-    sources = {"movies": (movies_path, text.parse_movies), "ratings": (ratings_path, text.parse_ratings), "tags": (tags_path, text.parse_tags)}
-    for name, (path, parse) in sources.items():
-        good, bad = parse(spark.read.text(path))
-        both = good.withColumn("_ok", F.lit(True)).unionByName(bad.withColumn("_ok", F.lit(False)), allowMissingColumns=True)
+    sources = {"movies": (movies_path, text.MOVIES), "ratings": (ratings_path, text.RATINGS), "tags": (tags_path, text.TAGS)}
+    for name, (path, form) in sources.items():
+        both = text.parse_marked(spark.read.text(path), form)
         where = scratch_path(spark, f"parsed-{name}")
-        both.write.partitionBy("_ok").parquet(where)
+        both.write.parquet(where)
         scratch.append(where)
         both = spark.read.schema(both.schema).parquet(where)
-        tables.save_table(both.where("_ok").select(*good.columns), f"{out}/{name}", sort_by=sorted_by[name])
-        tables.save_table(both.where("not _ok").select(*bad.columns), f"{out}/{name}_rejects")
+        tables.save_table(both.where("_ok").drop("value", "reason", "_ok"), f"{out}/{name}", sort_by=sorted_by[name])
+        tables.save_table(both.where("not _ok").select("value", "reason"), f"{out}/{name}_rejects")
         stored[name] = tables.load_table(spark, f"{out}/{name}")
         if name != "movies":
             tables.save_table(stored[name], f"{out}/{name}_by_item", sort_by=["mid", "uid"])

@@ -27,10 +27,9 @@ def _num(c: Column, typ: str) -> Column:
     return c.try_cast(typ)
 
 
-def _split_parse(lines: DataFrame, sep_regex: str, specs: list[tuple[str, str, bool]],
-                 keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """specs: (name, type, trim) per leading field. Returns (good, rejects),
-    both with the columns `keep` of `lines` before their own."""
+def _fields(lines: DataFrame, sep_regex: str, specs: list[tuple[str, str, bool]], keep: tuple[str, ...] = ()) -> DataFrame:
+    """specs: (name, type, trim) per leading field. Every line with its fields
+    and `_reason`, null where it parses."""
     parts = F.split(F.col("value"), sep_regex)
     cols, checks = [], []
     for i, (name, typ, trim) in enumerate(specs):
@@ -42,29 +41,47 @@ def _split_parse(lines: DataFrame, sep_regex: str, specs: list[tuple[str, str, b
             checks.append(F.when(val.isNull(), F.lit(f"bad {name}")))
     n = len(specs)
     reason = F.coalesce(F.when(F.size(parts) < n, F.lit(f"expected {n} fields")), *checks)
-    parsed = lines.select(*keep, F.col("value"), reason.alias("_reason"), *cols)
+    return lines.select(*keep, F.col("value"), reason.alias("_reason"), *cols)
+
+
+def _split_parse(lines: DataFrame, sep_regex: str, specs: list[tuple[str, str, bool]],
+                 keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Returns (good, rejects), both with the columns `keep` of `lines` before
+    their own."""
+    parsed = _fields(lines, sep_regex, specs, keep)
     good = parsed.where(F.col("_reason").isNull()).drop("_reason", "value")
     bad = parsed.where(F.col("_reason").isNotNull()).select(*keep, "value", F.col("_reason").alias("reason"))
     return good, bad
 
 
+# separator and leading fields of a line
+MOVIES = (r"\^", [("mid", "bigint", True)] + [(f, "string", True) for f in MOVIE_FIELDS[1:]])
+RATINGS = (",", [("uid", "bigint", True), ("mid", "bigint", True), ("score", "double", True), ("ts", "bigint", True)])
+TAGS = (",", [("uid", "bigint", True), ("mid", "bigint", True), ("tag", "string", True), ("ts", "bigint", True)])
+
+
+def parse_marked(lines: DataFrame, form: tuple[str, list[tuple[str, str, bool]]]) -> DataFrame:
+    """Good lines and rejects in one pass: the fields, then `value` and
+    `reason`, null where `_ok`."""
+    parsed = _fields(lines, *form)
+    return parsed.select(*[name for name, _, _ in form[1]], F.when(F.col("_reason").isNotNull(), F.col("value")).alias("value"),
+                         F.col("_reason").alias("reason"), F.col("_reason").isNull().alias("_ok"))
+
+
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
 def parse_movies(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    specs = [("mid", "bigint", True)] + [(f, "string", True) for f in MOVIE_FIELDS[1:]]
-    return _split_parse(lines, r"\^", specs)
+    return _split_parse(lines, *MOVIES)
 
 
 def parse_ratings(lines: DataFrame, sep: str = ",") -> tuple[DataFrame, DataFrame]:
-    specs = [("uid", "bigint", True), ("mid", "bigint", True), ("score", "double", True), ("ts", "bigint", True)]
-    return _split_parse(lines, sep, specs)
+    return _split_parse(lines, sep, RATINGS[1])
 
 
 def parse_tags(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    specs = [("uid", "bigint", True), ("mid", "bigint", True), ("tag", "string", True), ("ts", "bigint", True)]
-    return _split_parse(lines, ",", specs)
+    return _split_parse(lines, *TAGS)
 
 
 def parse_rating_messages(messages: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -45,3 +45,41 @@ def test_jobs_end_to_end(spark):
     q.awaitTermination()
     out = R.stream_recs_long(spark, f"{base}/out")
     assert out.select("uid").distinct().count() == live.select("uid").distinct().count()
+
+
+def test_ingest_parses_each_line_once(spark):
+    lines = spark.createDataFrame([("1,2,3.5,4",), ("x,2,3.5,4",), ("1,2",), (" 5 , 6 ,1.0, 7 ,more",), ("",)], "value string")
+    for form, parse in ((text.RATINGS, text.parse_ratings), (text.TAGS, text.parse_tags), (text.MOVIES, text.parse_movies)):
+        good, bad = parse(lines)
+        both = text.parse_marked(lines, form)
+        kept = both.where("_ok").drop("value", "reason", "_ok")
+        assert kept.schema == good.schema and sorted(map(tuple, kept.collect())) == sorted(map(tuple, good.collect()))
+        out = both.where("not _ok").select("value", "reason")
+        assert sorted(map(tuple, out.collect())) == sorted(map(tuple, bad.collect()))
+        assert both.count() == lines.count()
+
+
+def test_ingest_writes_parsed_lines_from_one_scan(spark, monkeypatch):
+    base = scratch_path(spark, "one-scan")
+    for name, line in (("movies", "1^a^b^c^d^e^f^g^h^i"), ("ratings", "1,1,3.5,4"), ("tags", "1,1,t,4")):
+        spark.createDataFrame([(line,), ("bad",)], "value string").write.text(f"{base}/{name}")
+    scans = []
+
+    def watch(spark, name):
+        scans.append(name)
+        return scratch_path(spark, name)
+
+    plans = []
+    of = type(spark.range(1))
+    write = of.write.fget
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df)
+
+    monkeypatch.setattr(jobs, "scratch_path", watch)
+    monkeypatch.setattr(of, "write", property(seen))
+    stored = jobs.ingest_job(spark, f"{base}/movies", f"{base}/ratings", f"{base}/tags", f"{base}/out", 4)
+    parsed = [p for p in plans if " text" in p]
+    assert len(scans) == len(parsed) == 3 and all(p.count("Relation [") == 1 for p in parsed)
+    assert stored["movies_with_tags"].count() == 1
