@@ -109,3 +109,25 @@ def test_a_third_of_the_requests_on_one_item(spark):
     wide = PairSim(sim.table)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, realtime.candidate_movies(req, wide, rated).collect()))
     assert got.groupBy("uid", "mid").agg(F.max("rank").alias("n")).agg(F.min("n")).first()[0] == 20
+
+
+def test_expansion_of_profiles_is_dealt_out_by_its_pairs(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from cinerank.operators import simindex
+    monkeypatch.setattr(simindex, "CHUNK", 16, raising=False)
+    monkeypatch.setattr(simindex, "TASK_PAIRS", 4000, raising=False)
+    # one profile holds half of the items; a null id, an id twice and one in two profiles
+    members = [(i, "hot" if i % 2 else f"p{i % 6}") for i in range(200)] + [(None, "hot"), (7, "hot"), (7, "p0")]
+    linked = {("hot", "hot"): 1.0, ("p0", "p0"): 1.0, ("p2", "p2"): 1.0, ("hot", "p0"): 0.8, ("p0", "hot"): 0.8, ("p2", "gone"): 0.7}
+    sim = simindex.ProfileSim(spark.createDataFrame(members, "mid bigint, pkey string"),
+                              spark.createDataFrame([(a, b, s, s) for (a, b), s in linked.items()], "pa string, pb string, sim double, score double"))
+    pairs = sim.pairs()
+    want = sorted((a, b, linked[p, q]) for a, p in members for b, q in members
+                  if (p, q) in linked and a is not None and b is not None and a != b)
+    assert pairs.columns == ["mid", "rec_mid", "score"] and sorted(map(tuple, pairs.collect())) == want
+    # a few kilobytes of input, but no task makes most of the pairs
+    sizes = [r["count"] for r in pairs.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) > 2 and max(sizes) < 0.6 * len(want)
+    none = simindex.ProfileSim(sim.members.where("mid < 0"), sim.profile_pairs)
+    assert none.pairs().collect() == []
