@@ -45,6 +45,35 @@ def test_tuning_side_by_side_gives_the_rows_of_one_by_one(spark):
     assert all(abs(a[2] - b[2]) < 1e-9 for a, b in zip(*runs, strict=True))
 
 
+def test_tuning_holds_no_more_than_its_largest_model(spark, monkeypatch):
+    import threading
+    import time
+    active, most, als, rmse, lock = [], [], lfm._als, lfm._indexed_rmse, threading.Lock()
+
+    def started(rank, *rest):
+        with lock:
+            active.append(rank)
+            most.append(sum(active))
+        assert als(rank, *rest).getCheckpointInterval() == 1
+        return als(rank, *rest)
+
+    def ended(model, test):
+        found = rmse(model, test)
+        with lock:
+            active.remove(model.model.rank)
+        return found
+    monkeypatch.setattr(lfm, "_als", started)
+    monkeypatch.setattr(lfm, "_indexed_rmse", ended)
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    res = lfm.tune_als(fx.ratings(spark, SF_SMALL), ranks=(2, 4), regs=(0.01, 0.1, 1.0), max_iter=1).collect()
+    assert len(res) == 6 and len(most) == 6 and max(most) <= 4
+    for _ in range(100):    # Spark drops them in the background; the last model's two may stay
+        if spark.sparkContext._jsc.getPersistentRDDs().size() <= held + 2:
+            break
+        time.sleep(0.2)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= held + 2
+
+
 def test_ml_featurisation_runs(spark):
     recs = content.content_movie_recs_ml(fx.movies(spark, SF_SMALL))
     assert recs.where("score <= 0.6 or mid = rec_mid").count() == 0

@@ -120,8 +120,8 @@ def test_expansion_of_profiles_is_dealt_out_by_its_pairs(spark, monkeypatch):
     # one profile holds half of the items; a null id, an id twice and one in two profiles
     members = [(i, "hot" if i % 2 else f"p{i % 6}") for i in range(200)] + [(None, "hot"), (7, "hot"), (7, "p0")]
     linked = {("hot", "hot"): 1.0, ("p0", "p0"): 1.0, ("p2", "p2"): 1.0, ("hot", "p0"): 0.8, ("p0", "hot"): 0.8, ("p2", "gone"): 0.7}
-    sim = simindex.ProfileSim(spark.createDataFrame(members, "mid bigint, pkey string"),
-                              spark.createDataFrame([(a, b, s, s) for (a, b), s in linked.items()], "pa string, pb string, sim double, score double"))
+    sim = simindex.ProfileSim(spark.createDataFrame(members, "mid bigint, pkey string").coalesce(1),
+                              spark.createDataFrame([(a, b, s, s) for (a, b), s in linked.items()], "pa string, pb string, sim double, score double").coalesce(1))
     pairs = sim.pairs()
     want = sorted((a, b, linked[p, q]) for a, p in members for b, q in members
                   if (p, q) in linked and a is not None and b is not None and a != b)
