@@ -189,9 +189,9 @@ def build_graph(nodes: DataFrame, *, k: int = K, rounds: int = ROUNDS, leaf: int
         member = mine.unionByName(back).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         worst = graph.where(F.col("r") == k).select("id", F.col("d").alias("worst"))
         held = nodes.select("id", "v").join(worst, "id", "left").select("id", "v", F.coalesce("worst", F.lit(float("inf"))).alias("worst"))
-        need = member.select("n", "block", F.col("u").alias("id")).repartition("id").distinct().join(held, "id")
-        need = need.select("n", "block", F.lit(None).cast("long").alias("node"), F.col("id").alias("u"), F.lit(False).alias("new"), "v", "worst",
-                           F.lit(None).cast("int").alias("blocks"))
+        need = member.select("n", "block", F.col("u").alias("id"), "blocks").repartition("id").distinct().join(held, "id")
+        # no column but v is null, as nulls would turn numbers into floats
+        need = need.select("n", "block", F.col("id").alias("node"), F.col("id").alias("u"), F.lit(False).alias("new"), "v", "worst", "blocks")
         rows = member.select("n", "block", "node", "u", "new", F.lit(None).cast("binary").alias("v"), F.lit(0.0).alias("worst"), "blocks").unionByName(need)
         offers = rows.groupBy("n", "block").applyInPandas(_local_join, _EDGE).withColumn("new", F.lit(True))
         before = graph.select("id", "nbr", "d", "n", "blocks", F.expr("new and not drawn").alias("new"))
@@ -253,7 +253,7 @@ def graph_search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, *, beam
             reached = reached.unionByName(state.select("q", F.lit(None).cast("array<long>").alias("nbrs"), "seen")).groupBy("q").agg(
                 F.array_distinct(F.flatten(F.collect_list("nbrs"))).alias("nbrs"), F.first("seen", ignorenulls=True).alias("seen"))
             fresh = reached.select("q", F.explode(F.array_except("nbrs", "seen")).alias("node"))
-        held = state.drop("front").select("q", F.lit(None).cast("long").alias("node"), F.lit(None).cast("binary").alias("v"), "w", "ids", "ds", "done", "seen")
+        held = state.drop("front").select("q", F.col("q").alias("node"), F.lit(None).cast("binary").alias("v"), "w", "ids", "ds", "done", "seen")
         rows = fresh.join(vectors, "node").select("q", "node", "v").unionByName(held, allowMissingColumns=True)
         after, after_path = save(rows.groupBy("q").applyInPandas(_advance(beam, expand), _STATE), "op4-beam")
         drop(spark, path)

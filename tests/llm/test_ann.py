@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 
 from cinerank.llm import ann
@@ -90,3 +91,30 @@ def test_a_round_copies_a_vector_to_few_of_many_blocks(spark, monkeypatch):
     graph, _ = ann.build_graph(nodes, k=100, rounds=1)
     copies = graph.where("nbr < 0")
     assert copies.select("id").distinct().count() == 400 and copies.count() <= 400 * 12
+
+
+def test_rounds_do_not_depend_on_the_order_of_a_blocks_rows(spark, monkeypatch):
+    """Rows of a group come in any order: vectors may be before memberships."""
+    join = ann._local_join
+
+    def vectors_first(block):
+        first = block["v"].notna()
+        return join(pd.concat([block[first], block[~first]], ignore_index=True))
+
+    monkeypatch.setattr(ann, "_local_join", vectors_first)
+    monkeypatch.setattr(ann, "BLOCK", 40)
+    rng = np.random.default_rng(8)
+    x, far = rng.normal(size=(400, 8)).astype(np.float32), 2 ** 60      # ids that no double holds
+    nodes = spark.createDataFrame([(far + i, bytearray(e.tobytes())) for i, e in enumerate(x)], "id long, v binary").repartition(4)
+    seen = []
+
+    def nearest(edges, k, turn, real=ann._nearest):
+        seen.append([r["blocks"] for r in edges.select("blocks").distinct().collect()])
+        return real(edges, k, turn)
+
+    monkeypatch.setattr(ann, "_nearest", nearest)
+    graph, _ = ann.build_graph(nodes, k=5, leaf=60, trees=2)
+    assert seen == [[10]] * 3       # 400 nodes in blocks of 40, whatever came first
+    d = ((x[:, None].astype(np.float64) - x) ** 2).sum(-1)
+    for r in graph.limit(200).collect():
+        assert r["d"] == pytest.approx(d[r["id"] - far, r["nbr"] - far], abs=1e-3)
