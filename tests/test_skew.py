@@ -131,3 +131,27 @@ def test_expansion_of_profiles_is_dealt_out_by_its_pairs(spark, monkeypatch):
     assert len(sizes) > 2 and max(sizes) < 0.6 * len(want)
     none = simindex.ProfileSim(sim.members.where("mid < 0"), sim.profile_pairs)
     assert none.pairs().collect() == []
+
+
+def test_sides_without_hot_keys_keep_their_sizes(spark):
+    """An empty table of hot keys must not make a large side seem empty."""
+    from pyspark.sql import functions as F
+
+    from cinerank.operators.skew import skew_join
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "200000")
+    try:
+        left = spark.range(40_000).selectExpr("id % 20000 AS k", "uuid() AS a").groupBy("k").agg(F.max("a").alias("a"))
+        right = spark.range(40_000).selectExpr("id % 20000 AS k", "uuid() AS b").groupBy("k").agg(F.max("b").alias("b"))
+        for how in ({}, {"right_hot": False}):
+            j = skew_join(left, right, "k", **how)
+            assert len(j.collect()) == 20_000
+            assert "BroadcastHashJoin" not in j._jdf.queryExecution().executedPlan().toString()
+        few = skew_join(left, right.where("k < 3"), "k")    # a small side may still be sent
+        assert len(few.collect()) == 3
+    finally:
+        spark.conf.set(key, before)
+    # null keys meet nothing, however many there are
+    nulls = spark.range(50).selectExpr("if(id < 40, null, id) AS k", "id AS a")
+    assert skew_join(nulls, nulls.withColumnRenamed("a", "b"), "k", split_rows=5).count() == 10
