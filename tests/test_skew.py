@@ -147,9 +147,11 @@ def test_sides_without_hot_keys_keep_their_sizes(spark):
         for how in ({}, {"right_hot": False}):
             j = skew_join(left, right, "k", **how)
             assert len(j.collect()) == 20_000
-            plan = j._jdf.queryExecution().executedPlan().toString().splitlines()
-            assert not [x for x in plan if "BroadcastHashJoin" in x and "Inner" in x]
-            assert [x for x in plan if "SortMergeJoin" in x and "Inner" in x]
+            mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+            plan = j._jdf.queryExecution().explainString(mode).split("== Initial Plan")[0]
+            sent = [x for x in plan.splitlines() if "BroadcastQueryStage" in x and "rowCount" in x]
+            assert len(sent) == 1 and "rowCount=1)" in sent[0]      # the table of hot keys, which is not empty
+            assert "SortMergeJoin Inner" in plan
         few = skew_join(left, right.where("k < 3"), "k")    # a small side may still be sent
         assert len(few.collect()) == 3
     finally:
