@@ -1,0 +1,25 @@
+"""Places in a full order."""
+
+from pyspark.sql import functions as F
+
+from cinerank.functions.ranking import rank_within
+
+def test_a_full_order_is_shuffled_once(spark):
+    """Every pair is sorted by range and written; its rank needs no second shuffle of the pairs."""
+    rows = spark.range(30_000).selectExpr("if(id % 3 = 0, 7, id % 50) AS mid", "id AS rec_mid", "cast(xxhash64(id) % 9 AS double) AS score")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = rank_within(rows.unionByName(spark.range(9).selectExpr("null AS mid", "id AS rec_mid", "1D AS score")), ["mid"], [F.desc("score"), F.asc("rec_mid")])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert got.columns == ["mid", "rec_mid", "score", "rank"]
+    have = {(r.mid, r.rec_mid): r["rank"] for r in got.collect()}
+    want, lists = {}, {}
+    for r in rows.collect():
+        lists.setdefault(r.mid, []).append((-r.score, r.rec_mid))
+    for m, entries in lists.items():
+        want |= {(m, o): k for k, (_, o) in enumerate(sorted(entries), 1)}
+    assert have == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
