@@ -406,3 +406,50 @@ def test_cells_copy_a_vector_by_cells_and_not_by_blocks(spark, monkeypatch):
     assert top == [(i, k + 1, j) for i in range(400) for k, j in enumerate(sorted(range(400), key=lambda j: (-round(prod[i, j], 9), j))[:3])]
     assert sum(sent) < 400 * 16     # with a copy for each of 50 blocks it was many times as much
     assert group is similarity._cell_pair_fn
+
+
+def test_first_k_of_a_cell_sorts_few_pairs(monkeypatch):
+    """The k-th score of a user bounds what is sorted, in floats or doubles."""
+    import numpy as np
+    import pandas as pd
+
+    from cinerank.operators import similarity
+    rng = np.random.default_rng(3)
+    u, it = rng.normal(size=(60, 12)) + 0.4, rng.normal(size=(5000, 12)) + 0.4
+    it[4990:] = it[:10]         # ties
+    sorted_rows, first = [], similarity._first_k
+    monkeypatch.setattr(similarity, "_first_k", lambda r, o, s, k: sorted_rows.append(len(r)) or first(r, o, s, k))
+
+    def run(u, it, k=7, positive_only=True, low=0.0):
+        users = pd.DataFrame({"id": np.arange(len(u)), "vec": list(u), "kth": low, "side": 0})
+        items = pd.DataFrame({"id": np.arange(len(it)), "vec": list(it), "kth": np.nan, "side": 1})
+        out = pd.concat(list(similarity._topk_fn(k, positive_only)(iter([users, items]))))
+        return sorted(zip(out["id"], -out["score"].round(9), out["other"], strict=True))
+
+    def brute(u, it, k=7, positive_only=True):
+        s = np.array([[np.dot(a, b) for b in it] for a in u])
+        return [(i, -round(s[i, j], 9), j) for i in range(len(u))
+                for j in sorted((j for j in range(len(it)) if s[i, j] > (0 if positive_only else -np.inf)), key=lambda j: (-round(s[i, j], 9), j))[:k]]
+    for a, b in ((u, it), (u.astype("float32"), it.astype("float32")), (u * 1e20, it[:400]), (u * 1e-25, it[:400] * 1e25)):
+        assert run(a, b) == brute(a.astype(float), b.astype(float))
+    assert sum(sorted_rows) < 60 * 7 * 40       # 300,000 pairs, of which every positive one was sorted before
+    assert run(u[:5], it[:300], positive_only=False, low=-np.inf) == brute(u[:5], it[:300], positive_only=False)
+    odd = it[:3000].copy()
+    odd[5] = np.nan             # no score, and in nobody's way
+    assert run(u, odd) == brute(u, odd)
+    assert run(u, it[:4]) == brute(u, it[:4])
+
+
+def test_a_cell_of_alike_vectors_leaves_in_bounded_parts():
+    """Where every pair is above the threshold, products and output stay small."""
+    import numpy as np
+    import pandas as pd
+
+    from cinerank.operators import similarity
+    rng = np.random.default_rng(4)
+    n = 1500
+    rows = pd.DataFrame({"id": np.arange(n), "vec": list((np.ones(4) + rng.normal(size=(n, 4)) * 0.01).astype("float32")), "block": 0, "bj": np.nan, "side": 0})
+    ask = pd.DataFrame({"id": [np.nan], "vec": [None], "block": [0], "bj": [0.0], "side": [2]})
+    parts = list(similarity._cell_pair_fn(0.9, False, 2048)(iter([rows, ask])))
+    assert max(map(len, parts)) <= similarity.OUT_ROWS and sum(map(len, parts)) == n * (n - 1)
+    assert len(pd.concat(parts)[["id", "other"]].drop_duplicates()) == n * (n - 1)
