@@ -112,3 +112,13 @@ def test_factor_rmse_sends_vectors_with_covered_ratings_only(spark, monkeypatch)
     errors = [(s - sum(a * b for a, b in zip(f[u], f[m]))) ** 2 for u, m, s in [(0, 0, 3), (0, 1, 3), (1, 0, 3), (1, 1, 3), (1, 1, 5)]]
     assert got[0].n == 5 and abs(got[0].rmse - math.sqrt(sum(errors) / 5)) < 1e-5
     assert [t.count() for name, t in written if name == "pairs"] == [4]
+
+
+def test_blocks_of_a_fit_grow_with_the_ratings(spark, monkeypatch):
+    assert lfm._als_blocks(0) == lfm._als_blocks(40_000_000) == 10 and lfm._als_blocks(216_000_000) == 54
+    asked, als = [], lfm._als
+    monkeypatch.setattr(lfm, "_als", lambda *a: asked.append(a[-1]) or als(*a))
+    monkeypatch.setattr(lfm, "BLOCK_RATINGS", 50)
+    ratings = spark.range(700).selectExpr("id % 40 AS uid", "id % 37 AS mid", "cast(id % 10 AS double) / 2 AS score")
+    model = lfm.train_als(ratings, rank=4, max_iter=1)
+    assert asked == [14] and model.model.userFactors.count() == 40 and model.itemFactors.count() == 37
