@@ -181,3 +181,19 @@ def test_state_mode_keeps_rejects(spark):
     q = _run(spark, base, 1, recents_from="stream")
     q.rejects_query.awaitTermination()
     assert tables.load_table(spark, f"{base}/rejects").count() == 1
+
+
+def test_saved_members_are_not_broadcast_by_their_file_size(spark, monkeypatch):
+    from cinerank import session
+    from cinerank.operators import simindex
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 500)
+    members = spark.range(1000).selectExpr("id AS mid", "concat('p', id % 3) AS pkey")
+    pairs = spark.createDataFrame([(f"p{i}", f"p{i}", 1.0, 1.0) for i in range(3)], "pa string, pb string, sim double, score double")
+    plans, lists = [], simindex.ProfileSim.lists
+    monkeypatch.setattr(simindex.ProfileSim, "lists", lambda self, keys: plans.append(lists(self, keys)) or plans[-1])
+    path = session.scratch_path(spark, "test-members")
+    simindex.ProfileSim(members, pairs).save(path, 4)
+    hints = plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [pb" in hints
+    got = simindex.load_sim(spark, path, 4).postings(spark.createDataFrame([("p1",)], "key string"))
+    assert sum(len(r["partners"]) for r in got.collect()) == 333
